@@ -9,6 +9,7 @@ from verdant.plans.registry import ORACLES, QUERIES
 _MODULES = (
     "verdant.plans.text_queries",
     "verdant.plans.feature_queries",
+    "verdant.plans.metric_queries",
 )
 
 
