@@ -10,6 +10,8 @@ _MODULES = (
     "verdant.plans.text_queries",
     "verdant.plans.feature_queries",
     "verdant.plans.metric_queries",
+    "verdant.plans.model_queries",
+    "verdant.plans.stream_queries",
 )
 
 
