@@ -54,8 +54,9 @@ def clean_numeric(c, on_bad: str = "fail") -> Column:
 def checked_label(c) -> Column:
     """Label: ``1``/``0``/``1.0``/``0.0`` accepted; anything else fails."""
     v = strip_quotes(c).cast("double")
+    raw = F.col(c) if isinstance(c, str) else c
     return F.when(v.isin(0.0, 1.0), v).otherwise(
-        F.raise_error(F.concat(F.lit("label must be 0 or 1, got "), F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit("NULL")))))
+        F.raise_error(F.concat(F.lit("label must be 0 or 1, got "), F.coalesce(raw, F.lit("NULL")))))
 
 
 def parse_pages(raw: DataFrame, has_label: bool, on_bad: str = "fail") -> DataFrame:
@@ -64,16 +65,30 @@ def parse_pages(raw: DataFrame, has_label: bool, on_bad: str = "fail") -> DataFr
     The category keeps its raw text (quotes included), since the dictionary
     is keyed by the unstripped field; all other fields are quote-stripped."""
     lay = page_layout(raw, has_label)
-    cols = [strip_quotes(lay.url).alias("url"), F.col(lay.category).alias("category")]
-    cols += [clean_numeric(c, on_bad).alias(c) for c in lay.numerics]
+    names = _numeric_names(lay.numerics)
+    cols = [strip_quotes(_ref(lay.url)).alias("url"), _ref(lay.category).alias("category")]
+    cols += [clean_numeric(_ref(c), on_bad).alias(n) for c, n in zip(lay.numerics, names)]
     if has_label:
-        cols.append(checked_label(lay.label).alias("label"))
+        cols.append(checked_label(_ref(lay.label)).alias("label"))
     out = raw.select(*cols)
     if on_bad == "null":
-        out = out.dropna(subset=list(lay.numerics))
+        out = out.dropna(subset=names)
     return out
 
 
+def _ref(name: str) -> Column:
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def _numeric_names(raw_names) -> list[str]:
+    """Header names without quotes; positional names when they clash."""
+    names = [n.replace('"', "").strip() for n in raw_names]
+    reserved = {"url", "category", "label"}
+    if len(set(names)) != len(names) or reserved & set(names) or any(not n for n in names):
+        names = [f"x{i + 1}" for i in range(len(names))]
+    return names
+
+
 def category_dictionary(df: DataFrame, col: str = "category",
                         max_categories: int = MAX_CATEGORIES) -> DataFrame:
     """``(category, category_index)``, 0-based, alphabetical.

@@ -51,10 +51,13 @@ def score_curve(df: DataFrame, score: str = "score", label: str = "label",
         bounds = sorted({b for b in (row["q"] or []) if b is not None})
     splits = [float("-inf"), *bounds, float("inf")]
     nb = len(splits) - 1
-    g = (Bucketizer(splits=splits, inputCol="score_d", outputCol="bucket", handleInvalid="keep")
-         .transform(g.withColumn("score_d", _d(F.col("score"))))
-         .withColumn("bucket", (F.lit(nb - 1) - F.col("bucket")).cast("int"))
-         .drop("score_d"))
+    if nb == 1:
+        g = g.withColumn("bucket", F.lit(0))
+    else:
+        g = (Bucketizer(splits=splits, inputCol="score_d", outputCol="bucket", handleInvalid="keep")
+             .transform(g.withColumn("score_d", _d(F.col("score"))))
+             .withColumn("bucket", (F.lit(nb - 1) - F.col("bucket")).cast("int"))
+             .drop("score_d"))
 
     w = Window.partitionBy("bucket").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
     within = g.select("bucket", "score", "pos", "neg",
