@@ -15,12 +15,13 @@ from __future__ import annotations
 
 import time
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from verdant.functions.vectors import sigmoid
 from verdant.operators.broadcast import broadcast_if_small
-from verdant.operators.learners import Fitted
+from verdant.operators.learners import Fitted, sized
 
 NUM_FEATURES = 25000
 
@@ -56,18 +57,21 @@ def fit_text_lr_sgd(docs: DataFrame, id_col: str, tokens: Column, label_col: str
 
     labels = docs.select(F.col(id_col).alias("id"), F.col(label_col).cast("double").alias("label"))
     packed = _packed(hashed_tf(docs, id_col, tokens, num_features))
-    rows = labels.join(packed, "id", "left")
+    rows = labels.join(packed, "id", "left").persist(StorageLevel.MEMORY_AND_DISK)
     n = num_features
 
     def to_lp(r):
         idx = r["idx"] or []
         val = r["val"] or []
         return LabeledPoint(r["label"], SparseVector(n, idx, val))
-    rdd = rows.select("label", "idx", "val").rdd.map(to_lp)
-    t0 = time.perf_counter()
-    model = LogisticRegressionWithSGD.train(rdd, iterations=iterations, step=step,
-                                            miniBatchFraction=mini_batch, regParam=reg)
-    ms = (time.perf_counter() - t0) * 1000.0
+    try:
+        rdd = sized(rows).select("label", "idx", "val").rdd.map(to_lp)
+        t0 = time.perf_counter()
+        model = LogisticRegressionWithSGD.train(rdd, iterations=iterations, step=step,
+                                                miniBatchFraction=mini_batch, regParam=reg)
+        ms = (time.perf_counter() - t0) * 1000.0
+    finally:
+        rows.unpersist()
     spark = docs.sparkSession
     w = model.weights.toArray().tolist()
     scorer = HashedLinearScorer(spark, w, float(model.intercept), num_features)

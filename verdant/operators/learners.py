@@ -44,6 +44,24 @@ class Fitted:
         return self.scorer(df)
 
 
+# Rows per solver partition. Iterative solvers run one distributed aggregate
+# per iteration; tiny partitions only add scheduling (and an extra tree-
+# aggregate stage), while big inputs still get the cluster's full parallelism.
+ROWS_PER_PARTITION = 50_000
+
+
+def sized(df: DataFrame, rows_per_partition: int = ROWS_PER_PARTITION) -> DataFrame:
+    """Coalesce (no shuffle) to ~``rows_per_partition`` rows per partition,
+    between 1 and the cluster's default parallelism."""
+    par = df.sparkSession.sparkContext.defaultParallelism
+    current = df.rdd.getNumPartitions()
+    if current <= 1:
+        return df
+    n = df.count()
+    target = max(1, min(par, -(-n // rows_per_partition)))
+    return df.coalesce(target) if target < current else df
+
+
 def _timed(fn):
     t0 = time.perf_counter()
     out = fn()
@@ -56,7 +74,7 @@ def labeled_points(df: DataFrame, label: str = "label", features: str = "feature
     from pyspark.mllib.regression import LabeledPoint
     from pyspark.mllib.util import MLUtils
 
-    conv = MLUtils.convertVectorColumnsFromML(df.select(label, features), features)
+    conv = MLUtils.convertVectorColumnsFromML(sized(df.select(label, features)), features)
     return conv.rdd.map(lambda r: LabeledPoint(float(r[0]), r[1]))
 
 
@@ -120,6 +138,7 @@ def fit_lr_lbfgs(df: DataFrame, reg: float = 0.0, intercept: bool = False,
     """M2: logistic regression by L-BFGS, two classes, no intercept by default."""
     est = LogisticRegression(maxIter=max_iter, regParam=reg, fitIntercept=intercept,
                              family="binomial", standardization=False)
+    df = sized(df)
     model, ms = _timed(lambda: est.fit(df))
     return Fitted("lr_lbfgs", {"reg": reg, "intercept": intercept}, model, ms, _ml_scorer(model))
 
@@ -129,6 +148,7 @@ def fit_lr_elasticnet(df: DataFrame, max_iter: int = 10, reg: float = 0.3,
     """M3: logistic regression with an elastic-net penalty (training summary
     available as ``fitted.model.summary``)."""
     est = LogisticRegression(maxIter=max_iter, regParam=reg, elasticNetParam=elastic_net)
+    df = sized(df)
     model, ms = _timed(lambda: est.fit(df))
     return Fitted("lr_elasticnet", {"max_iter": max_iter, "reg": reg, "elastic_net": elastic_net},
                   model, ms, _ml_scorer(model))
@@ -137,6 +157,7 @@ def fit_lr_elasticnet(df: DataFrame, max_iter: int = 10, reg: float = 0.3,
 def fit_linear_svc(df: DataFrame, max_iter: int = 25, reg: float = 1.0) -> Fitted:
     """M4 (DataFrame form): linear SVM by OWL-QN, no step size."""
     est = LinearSVC(maxIter=max_iter, regParam=reg, fitIntercept=False, standardization=False)
+    df = sized(df)
     model, ms = _timed(lambda: est.fit(df))
     return Fitted("linear_svc", {"max_iter": max_iter, "reg": reg}, model, ms,
                   _ml_scorer(model, "rawPrediction"))
@@ -148,7 +169,7 @@ def fit_decision_tree(df: DataFrame, impurity: str = "entropy", max_depth: int =
     one-hot encoding is dropped, as with an empty categorical-feature map)."""
     est = DecisionTreeClassifier(impurity=impurity, maxDepth=int(max_depth), maxBins=int(max_bins),
                                  seed=seed)
-    cont = df.withColumn("features", continuous("features"))
+    cont = sized(df.withColumn("features", continuous("features")))
     model, ms = _timed(lambda: est.fit(cont))
 
     def score(d: DataFrame) -> DataFrame:

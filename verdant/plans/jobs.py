@@ -56,13 +56,15 @@ def prepare_pages(train_raw: DataFrame, scale: bool, weights=(0.8, 0.1, 0.1),
     only, and persist the three featurised parts (re-used by every fit)."""
     parsed = parse_pages(train_raw, has_label=True, on_bad=on_bad)
     numerics = [c for c in parsed.columns if c not in ("url", "category", "label")]
-    tagged = parsed.withColumn("_split", split_label(F.xxhash64("url"), weights))
+    # Parsed rows are computed once (text features are the costly part) and
+    # kept; every fit and evaluation below reads the cached rows.
+    tagged = (parsed.withColumn("_split", split_label(F.xxhash64("url"), weights))
+              .persist(StorageLevel.MEMORY_AND_DISK))
     fm = fit_features(tagged.where(F.col("_split") == "train"), numerics, scale, unseen)
     feats = fm.transform(tagged).select("url", "label", "features", "_split")
-    parts = {}
-    for name in ("train", "validation", "test"):
-        parts[name] = (feats.where(F.col("_split") == name).drop("_split")
-                       .persist(StorageLevel.MEMORY_AND_DISK))
+    parts = {name: feats.where(F.col("_split") == name).drop("_split")
+             for name in ("train", "validation", "test")}
+    parts["_rows"] = tagged
     return parts, fm, numerics
 
 

@@ -23,7 +23,7 @@ from verdant.session import ensure_checkpoint_dir
 from verdant.sources.flags import flag_lines
 from verdant.sources.libsvm import read_libsvm, write_libsvm
 from verdant.sources.pages import labelled_page_rows, unlabelled_page_rows
-from verdant.sources.tables import table
+from verdant.sources.tables import spread, table
 
 
 def _pages(spark, sf_dir):
@@ -198,7 +198,7 @@ def q_src_libsvm(spark, sf_dir):
 @query("hashing_tf")
 def q_hashing_tf(spark, sf_dir):
     """25,000-bucket hashed term counts of every document."""
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return hashed_tf(docs, "doc_id", tokenize_spaces("text")).withColumnRenamed("id", "doc_id")
 
 
@@ -206,7 +206,7 @@ def q_hashing_tf(spark, sf_dir):
 def q_m_text_classifier(spark, sf_dir):
     """Spam (toxic) vs ham SGD classifier on hashed counts; scores
     every document."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     lab = table(spark, sf_dir, "labels").select("doc_id", "toxic")
     j = docs.join(lab, "doc_id")
     model = train_spam_classifier(j.where("toxic = 1"), j.where("toxic = 0"), "doc_id", "text")

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from verdant.sources.tables import table
+from verdant.sources.tables import spread, table
 
 FLAG_DDL = ("barcode STRING, m1 INT, m2 INT, m3 INT, m4 INT, m5 INT, m6 INT, label INT")
 FLAG_FEATURES = ("m1", "m2", "m3", "m4", "m5", "m6")
@@ -18,7 +18,7 @@ FLAG_FEATURES = ("m1", "m2", "m3", "m4", "m5", "m6")
 def flag_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One CSV line per labelled document; the six 0/1 flags are simple
     document facts, the label is the quality mark."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "n_chars")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "n_chars"))
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
     j = docs.join(labels, "doc_id")
     flags = [

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from verdant.functions.features import TEXT_FEATURES
-from verdant.sources.tables import table
+from verdant.sources.tables import spread, table
 
 LANG_PATTERN = r'<html lang="(\w+)"'
 
@@ -43,7 +43,7 @@ def labelled_page_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Training stand-in: labelled documents. category = language,
     label = quality. Join on doc_id is left to Catalyst/AQE (labels grows
     with the data, so it is not force-broadcast)."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
     j = docs.join(labels, "doc_id")
     return j.select(
@@ -66,7 +66,7 @@ def page_text(html: Column) -> Column:
 
 def unlabelled_page_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scoring stand-in: raw web pages, category = ``<html lang>``."""
-    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    pages = spread(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     lang = F.regexp_extract("html", LANG_PATTERN, 1)
     text = page_text(F.col("html"))
     return pages.select(
