@@ -183,3 +183,23 @@ def train_spam_classifier(spam: DataFrame, ham: DataFrame, id_col: str, text_col
 __all__ = ["run_page_classification", "prepare_pages", "score_pages", "embeddings_labelled",
            "tree_save_load", "lr_summary_best_threshold", "objective_history", "flag_points",
            "train_spam_classifier", "continuous", "f_measure_by_threshold"]
+
+
+# ---- J6: word count over text files ---------------------------------------------
+
+def run_word_count(spark: SparkSession, input_path: str, stop_path: str | None = None,
+                   counts_out: str | None = None, top_out: str | None = None, k: int = 100):
+    """S3 -> T1 -> P2 -> A2 -> K1, then O1/O2 -> K2. The counts are persisted
+    because both outputs read them. Returns ``(counts, top)``."""
+    from verdant.operators.wordcount import stop_words_frame, top_words, word_count
+    from verdant.sources.sinks import save_ordered_text, save_table
+
+    lines = spark.read.text(input_path)
+    stop = stop_words_frame(spark, stop_path) if stop_path else None
+    counts = word_count(lines, stop).persist(StorageLevel.MEMORY_AND_DISK)
+    if counts_out:
+        save_table(counts, counts_out, fmt="csv")
+    top = top_words(counts, k)
+    if top_out:
+        save_ordered_text(top, top_out)
+    return counts, top

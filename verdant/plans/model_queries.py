@@ -171,8 +171,10 @@ def q_m_lr_elasticnet(spark, sf_dir):
     data = _emb(spark, sf_dir)
     f = fit("lr_elasticnet", data, max_iter=10, reg=0.3, elastic_net=0.8)
     lr_summary_best_threshold(f.model)
+    summary_auc = f.model.summary.areaUnderROC
     out = f.model.transform(data)
-    return out.select("vec_id", "label", vector_to_array("probability")[1].alias("score"), "prediction")
+    return out.select("vec_id", "label", vector_to_array("probability")[1].alias("score"), "prediction",
+                      F.lit(summary_auc).alias("summary_auc"))
 
 
 @query("eval_objective_history")
