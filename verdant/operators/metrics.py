@@ -54,17 +54,20 @@ def score_curve(df: DataFrame, score: str = "score", label: str = "label",
     if nb == 1:
         g = g.withColumn("bucket", F.lit(0))
     else:
+        # Non-nullable bucket: no inferred null filters, so both uses of
+        # ``within`` below plan identically and share one shuffle.
         g = (Bucketizer(splits=splits, inputCol="score_d", outputCol="bucket", handleInvalid="keep")
              .transform(g.withColumn("score_d", _d(F.col("score"))))
-             .withColumn("bucket", (F.lit(nb - 1) - F.col("bucket")).cast("int"))
+             .withColumn("bucket", F.coalesce((F.lit(nb - 1) - F.col("bucket")).cast("int"), F.lit(-1)))
              .drop("score_d"))
 
     w = Window.partitionBy("bucket").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
     within = g.select("bucket", "score", "pos", "neg",
                       F.sum("pos").over(w).alias("cpos"), F.sum("neg").over(w).alias("cneg"))
 
-    # One row per bucket: a bounded table; the window over it is tiny.
-    tot = g.groupBy("bucket").agg(F.sum("pos").alias("bpos"), F.sum("neg").alias("bneg"))
+    # One row per bucket (a bounded table), from the same windowed rows: the
+    # input is scanned and aggregated once; the window over it is tiny.
+    tot = within.groupBy("bucket").agg(F.sum("pos").alias("bpos"), F.sum("neg").alias("bneg"))
     wb = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     wall = Window.partitionBy(F.lit(0))
     offs = tot.select(

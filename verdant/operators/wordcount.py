@@ -8,7 +8,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from verdant.functions.text import java_split, tokenize_spaces, tokenize_words
+from verdant.functions.text import java_split, normalize_words
 from verdant.operators.broadcast import broadcast_if_small
 
 # Default stop list (a user normally passes their own file).
@@ -39,8 +39,15 @@ def stop_words_frame(spark: SparkSession, words: Iterable[str] | DataFrame | str
 
 def explode_words(lines: DataFrame, text_col: str = "value", mode: str = "words") -> DataFrame:
     """One row per token (``word``). ``mode='words'`` is T1, ``'spaces'`` T2."""
-    tok = tokenize_words if mode == "words" else tokenize_spaces
-    return lines.select(F.explode(tok(F.col(text_col))).alias("word"))
+    # Normalise once in a projection; the generator then reads the column
+    # (an expensive expression is not inlined twice into the generator).
+    s = normalize_words(F.col(text_col)) if mode == "words" else F.col(text_col)
+    pattern = r"\s+" if mode == "words" else " "
+    tail = r"\s+$" if mode == "words" else " +$"
+    staged = lines.select(s.alias("_s")).select("_s", F.regexp_replace("_s", tail, "").alias("_t"))
+    toks = F.when((F.col("_t") == "") & (F.col("_s") != ""), F.array().cast("array<string>")) \
+        .otherwise(F.split(F.col("_t"), pattern))
+    return staged.select(F.explode(toks).alias("word"))
 
 
 def remove_stop_words(words: DataFrame, stop: DataFrame, known_rows: int | None = None) -> DataFrame:

@@ -18,9 +18,9 @@ FLAG_FEATURES = ("m1", "m2", "m3", "m4", "m5", "m6")
 def flag_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One CSV line per labelled document; the six 0/1 flags are simple
     document facts, the label is the quality mark."""
-    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "n_chars"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "n_chars")
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
-    j = docs.join(labels, "doc_id")
+    j = spread(docs.join(labels, "doc_id"))
     flags = [
         F.col("lang") == "en",
         F.col("n_chars") > 2000,

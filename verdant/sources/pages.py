@@ -43,9 +43,10 @@ def labelled_page_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Training stand-in: labelled documents. category = language,
     label = quality. Join on doc_id is left to Catalyst/AQE (labels grows
     with the data, so it is not force-broadcast)."""
-    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
-    j = docs.join(labels, "doc_id")
+    # Spread after the join: only labelled documents carry text onward.
+    j = spread(docs.join(labels, "doc_id"))
     return j.select(
         _quoted(F.concat(F.lit("http://"), F.col("source"), F.lit(".example/doc/"),
                          F.col("doc_id").cast("string"))).alias("url"),
