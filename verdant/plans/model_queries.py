@@ -200,7 +200,7 @@ def q_src_libsvm(spark, sf_dir):
 @query("hashing_tf")
 def q_hashing_tf(spark, sf_dir):
     """25,000-bucket hashed term counts of every document."""
-    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
     return hashed_tf(docs, "doc_id", tokenize_spaces("text")).withColumnRenamed("id", "doc_id")
 
 
@@ -208,7 +208,7 @@ def q_hashing_tf(spark, sf_dir):
 def q_m_text_classifier(spark, sf_dir):
     """Spam (toxic) vs ham SGD classifier on hashed counts; scores
     every document."""
-    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
     lab = table(spark, sf_dir, "labels").select("doc_id", "toxic")
     j = docs.join(lab, "doc_id")
     model = train_spam_classifier(j.where("toxic = 1"), j.where("toxic = 0"), "doc_id", "text")

@@ -71,7 +71,7 @@ SELECT doc_id,
 FROM documents""")
 def q_tokenize_spaces(spark, sf_dir):
     """Split whole texts on single blanks, case kept (spam/ham input)."""
-    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
     return docs.select("doc_id", tokenize_spaces("text").alias("tokens"))
 
 
@@ -107,7 +107,7 @@ WITH toks AS (
 SELECT doc_id, term, count(*)::BIGINT AS tf FROM toks GROUP BY doc_id, term""")
 def q_term_frequency(spark, sf_dir):
     """F5 without hashing: raw term counts per document (space tokens)."""
-    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
     return (docs.select("doc_id", F.explode(tokenize_spaces("text")).alias("term"))
             .groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf")))
 
@@ -122,7 +122,7 @@ SQL_BYTE_SUM = """list_sum(list_transform(string_split(text, ''), lambda c:
 SELECT doc_id, (-(coalesce({SQL_BYTE_SUM}, 0)::BIGINT & 255))::INTEGER AS checksum FROM documents""")
 def q_text_checksum(spark, sf_dir):
     """T4: byte checksum of every document text."""
-    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
     return docs.select("doc_id", text_checksum("text").alias("checksum"))
 
 
@@ -133,7 +133,7 @@ FROM documents GROUP BY source""")
 def q_group_checksum(spark, sf_dir):
     """Checksum of all texts of a source (order-free: sums commute), as
     a partial/final aggregate, so a huge source is split across tasks."""
-    docs = spread(table(spark, sf_dir, "documents").select("source", "text"))
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), "doc_id")
     return (docs.select("source", utf16_low_byte_sum("text").alias("b"))
             .groupBy("source")
             .agg(F.count(F.lit(1)).alias("n_docs"), checksum_from_byte_sum(F.sum("b")).alias("checksum")))

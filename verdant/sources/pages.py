@@ -46,7 +46,7 @@ def labelled_page_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
     # Spread after the join: only labelled documents carry text onward.
-    j = spread(docs.join(labels, "doc_id"))
+    j = spread(docs.join(labels, "doc_id"), "doc_id")
     return j.select(
         _quoted(F.concat(F.lit("http://"), F.col("source"), F.lit(".example/doc/"),
                          F.col("doc_id").cast("string"))).alias("url"),
@@ -67,7 +67,7 @@ def page_text(html: Column) -> Column:
 
 def unlabelled_page_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scoring stand-in: raw web pages, category = ``<html lang>``."""
-    pages = spread(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    pages = spread(table(spark, sf_dir, "pages").select("page_id", "url", "html"), "page_id")
     lang = F.regexp_extract("html", LANG_PATTERN, 1)
     text = page_text(F.col("html"))
     return pages.select(

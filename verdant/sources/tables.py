@@ -16,18 +16,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame, target: int | None = None) -> DataFrame:
+def spread(df: DataFrame, *keys: str, target: int | None = None) -> DataFrame:
     """Give CPU-heavy per-row work (tokenising, regexes, checksums) at least
     ``target`` tasks (default: the cluster's parallelism).
 
     A scan is as parallel as its files/row groups. Large inputs already have
     many, and then this is a no-op (no shuffle); a few big row groups would
     otherwise put all text work on a few cores, so those rows (after column
-    pruning) are spread round-robin. Planning-time check only, no job."""
+    pruning) are spread. With ``keys`` (a unique row key) rows are hash
+    partitioned: deterministic on retry without the local sort a round-robin
+    spread needs, and it already clusters later per-key aggregations.
+    Planning-time check only, no job."""
     target = target or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:
         return df
-    return df.repartition(target)
+    return df.repartition(target, *keys) if keys else df.repartition(target)
 
 
 def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,6 +39,6 @@ def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     Same line rule as ``spark.read.text``: split on ``\\n``/``\\r\\n``/``\\r``
     and no empty last line for a trailing terminator.
     """
-    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
     body = F.regexp_replace("text", r"(\r\n|\r|\n)$", "")
     return docs.select("doc_id", F.posexplode(F.split(body, r"\r\n|\r|\n")).alias("line_no", "value"))
