@@ -5,8 +5,10 @@ cumulated in descending score order; a bare ``Window.orderBy`` would pull
 every distinct score into one task, so ``score_curve`` runs an exact
 distributed prefix sum instead:
 
-1. partial + final aggregate by score (a hot score costs one row per task);
-2. score buckets from approximate quantiles (``Bucketizer``: binary search);
+1. partial + final aggregate by score (a hot score costs one row per task),
+   kept, so the input is read once;
+2. score buckets from approximate quantiles of the distinct scores
+   (``Bucketizer``: binary search);
 3. cumulative window *per bucket* (one bucket ~ one task's worth of rows);
 4. per-bucket totals (one row per bucket, a bounded table) turned into
    offsets and broadcast back.
@@ -17,6 +19,7 @@ not depend on summation order.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -39,15 +42,21 @@ def score_curve(df: DataFrame, score: str = "score", label: str = "label",
     if buckets is None:
         buckets = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), 4096))
     lab = F.col(label).cast("long")
+    # The input (often a model's scoring of a large set) is read once: its
+    # per-score aggregate (<= one row per distinct score) is kept and both the
+    # bucket bounds and the curve are computed from it.
     g = (df.where(F.col(score).isNotNull())
          .groupBy(F.col(score).alias("score"))
-         .agg(F.sum(lab).alias("pos"), F.sum(F.lit(1) - lab).alias("neg")))
+         .agg(F.sum(lab).alias("pos"), F.sum(F.lit(1) - lab).alias("neg"))
+         .persist(StorageLevel.MEMORY_AND_DISK))
 
     bounds = []
     if buckets > 1:
+        # Quantiles of the distinct scores: equal numbers of aggregated rows
+        # per bucket, i.e. balanced window tasks.
         probs = [i / buckets for i in range(1, buckets)]
-        row = df.agg(F.percentile_approx(_d(F.col(score)), probs,
-                                         int(1 / QUANTILE_ERROR)).alias("q")).first()
+        row = g.agg(F.percentile_approx(_d(F.col("score")), probs,
+                                        int(1 / QUANTILE_ERROR)).alias("q")).first()
         bounds = sorted({b for b in (row["q"] or []) if b is not None})
     splits = [float("-inf"), *bounds, float("inf")]
     nb = len(splits) - 1
