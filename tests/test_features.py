@@ -88,6 +88,21 @@ def test_scaler_sample_std_and_constant_column(spark, tmp_path):
     assert {r.f[4] for r in fm2.transform(const).select(features_array().alias("f")).collect()} == {0.0}
 
 
+def test_dictionary_from_all_rows_scaler_from_train(spark, tmp_path):
+    from verdant.plans.jobs import prepare_pages
+    rows = [[f'"http://a.example/{i}"', f'"{i}"', '"t"', '"news"' if i % 50 else '"rare"',
+             f'"{i}"', '"1"', f'"{i % 2}"'] for i in range(200)]
+    raw = read_page_tsv(spark, _tsv(tmp_path, "many.tsv", rows))
+    parts, fm, _ = prepare_pages(raw, scale=True)
+    # every category is in the dictionary, whatever part its rows fell into
+    assert sorted(fm.stages[0].labels) == ['"news"', '"rare"']
+    for name in ("train", "validation", "test"):
+        parts[name].select(features_array().alias("f")).collect()
+    scaler = fm.stages[-1]
+    train_x = [r.x1 for r in parts["_rows"].where("_split = 'train'").collect()]
+    assert scaler.mean[2] == pytest.approx(sum(train_x) / len(train_x))
+
+
 def test_hash_split_stable_and_proportional(spark):
     df = spark.range(20000).withColumnRenamed("id", "k")
     parts = hash_split(df, "k")

@@ -83,6 +83,12 @@ def test_stop_words_trimmed_and_anti_joined(spark):
     assert sorted(r.word for r in remove_stop_words(words, stop, 2).collect()) == ["", "cat"]
 
 
+def test_stop_words_jvm_trim(spark):
+    stop = stop_words_frame(spark, spark.createDataFrame([("\tthe\r",), (" and\x0b",)], "value string"))
+    assert sorted(r.word for r in stop.collect()) == ["and", "the"]
+    assert sorted(r.word for r in stop_words_frame(spark, ["\tof "]).collect()) == ["of"]
+
+
 def test_word_count_and_top_k(spark):
     lines = spark.createDataFrame([("b a. a",), ("",), ("C c b",), ("the a",)], "value string")
     counts = {r.word: r["count"] for r in word_count(lines, stop_words_frame(spark, ["the"]), stop_rows=1).collect()}

@@ -75,6 +75,12 @@ def text_checksum(s) -> Column:
     return checksum_from_byte_sum(utf16_low_byte_sum(s))
 
 
+def jvm_trim(s) -> Column:
+    """``String.trim()``: strip every character <= U+0020 at both ends
+    (blanks, tabs, CR, LF and other control characters)."""
+    return F.regexp_replace(_col(s), r"^[\x00-\x20]+|[\x00-\x20]+$", "")
+
+
 def strip_quotes(s) -> Column:
     """P5: remove every double quote."""
     return F.translate(_col(s), '"', "")

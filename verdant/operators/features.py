@@ -141,9 +141,21 @@ def feature_pipeline(numerics: list[str] | tuple[str, ...], scale: bool,
     return Pipeline(stages=stages)
 
 
-def fit_features(df: DataFrame, numerics, scale: bool, unseen: str = "error") -> PipelineModel:
+def fit_features(df: DataFrame, numerics, scale: bool, unseen: str = "error",
+                 scale_rows: DataFrame | None = None) -> PipelineModel:
+    """Fit the feature pipeline. The category dictionary comes from all of
+    ``df`` (it uses no labels); the scaler, when asked, is fitted on
+    ``scale_rows`` (e.g. the training part only) or on ``df``."""
     check_category_count(df)
-    return feature_pipeline(numerics, scale, unseen).fit(df)
+    base = feature_pipeline(numerics, False, unseen)
+    if scale:
+        base.getStages()[-1].setOutputCol("raw_features")
+    base_model = base.fit(df)
+    if not scale:
+        return base_model
+    scaler = StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True)
+    fitted = scaler.fit(base_model.transform(df if scale_rows is None else scale_rows))
+    return PipelineModel(stages=[*base_model.stages, fitted])
 
 
 def continuous(features: str = "features") -> Column:

@@ -8,7 +8,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from verdant.functions.text import java_split, normalize_words
+from verdant.functions.text import java_split, jvm_trim, normalize_words
 from verdant.operators.broadcast import broadcast_if_small
 
 # Default stop list (a user normally passes their own file).
@@ -32,8 +32,8 @@ def stop_words_frame(spark: SparkSession, words: Iterable[str] | DataFrame | str
         words = spark.read.text(words)
     if isinstance(words, DataFrame):
         col = "word" if "word" in words.columns else words.columns[0]
-        return words.select(F.trim(F.col(col)).alias("word")).distinct()
-    uniq = sorted({w.strip() for w in words})
+        return words.select(jvm_trim(F.col(col)).alias("word")).distinct()
+    uniq = sorted({w.strip("".join(chr(c) for c in range(33))) for w in words})
     return spark.createDataFrame([(w,) for w in uniq], "word string")
 
 

@@ -52,15 +52,17 @@ class ClassificationRun:
 
 def prepare_pages(train_raw: DataFrame, scale: bool, weights=(0.8, 0.1, 0.1),
                   on_bad: str = "fail", unseen: str = "error"):
-    """Parse, split by a stable key hash, fit features on the training part
-    only, and persist the three featurised parts (re-used by every fit)."""
+    """Parse, split by a stable key hash, fit the feature model, and keep the
+    parsed rows (re-used by every fit and evaluation)."""
     parsed = parse_pages(train_raw, has_label=True, on_bad=on_bad)
     numerics = [c for c in parsed.columns if c not in ("url", "category", "label")]
     # Parsed rows are computed once (text features are the costly part) and
     # kept; every fit and evaluation below reads the cached rows.
     tagged = (parsed.withColumn("_split", split_label(F.xxhash64("url"), weights))
               .persist(StorageLevel.MEMORY_AND_DISK))
-    fm = fit_features(tagged.where(F.col("_split") == "train"), numerics, scale, unseen)
+    # Dictionary from every labelled row (no labels involved); scaler from
+    # the training part only.
+    fm = fit_features(tagged, numerics, scale, unseen, scale_rows=tagged.where(F.col("_split") == "train"))
     feats = fm.transform(tagged).select("url", "label", "features", "_split")
     parts = {name: feats.where(F.col("_split") == name).drop("_split")
              for name in ("train", "validation", "test")}
