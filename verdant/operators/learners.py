@@ -54,12 +54,10 @@ def sized(df: DataFrame, rows_per_partition: int = ROWS_PER_PARTITION) -> DataFr
     """Coalesce (no shuffle) to ~``rows_per_partition`` rows per partition,
     between 1 and the cluster's default parallelism."""
     par = df.sparkSession.sparkContext.defaultParallelism
-    current = df.rdd.getNumPartitions()
-    if current <= 1:
-        return df
     n = df.count()
     target = max(1, min(par, -(-n // rows_per_partition)))
-    return df.coalesce(target) if target < current else df
+    # coalesce never adds partitions: with <= target it changes nothing.
+    return df.coalesce(target)
 
 
 def _timed(fn):

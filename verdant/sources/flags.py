@@ -20,7 +20,7 @@ def flag_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     document facts, the label is the quality mark."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "n_chars")
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
-    j = spread(docs.join(labels, "doc_id"), "doc_id")
+    j = spread(docs.join(labels, "doc_id"), "doc_id", like=docs)
     flags = [
         F.col("lang") == "en",
         F.col("n_chars") > 2000,

@@ -46,7 +46,7 @@ def labelled_page_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
     # Spread after the join: only labelled documents carry text onward.
-    j = spread(docs.join(labels, "doc_id"), "doc_id")
+    j = spread(docs.join(labels, "doc_id"), "doc_id", like=docs)
     return j.select(
         _quoted(F.concat(F.lit("http://"), F.col("source"), F.lit(".example/doc/"),
                          F.col("doc_id").cast("string"))).alias("url"),

@@ -16,7 +16,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame, *keys: str, target: int | None = None) -> DataFrame:
+def spread(df: DataFrame, *keys: str, target: int | None = None,
+           like: DataFrame | None = None) -> DataFrame:
     """Give CPU-heavy per-row work (tokenising, regexes, checksums) at least
     ``target`` tasks (default: the cluster's parallelism).
 
@@ -26,9 +27,12 @@ def spread(df: DataFrame, *keys: str, target: int | None = None) -> DataFrame:
     pruning) are spread. With ``keys`` (a unique row key) rows are hash
     partitioned: deterministic on retry without the local sort a round-robin
     spread needs, and it already clusters later per-key aggregations.
-    Planning-time check only, no job."""
+
+    The partition count is read from ``like`` (default ``df``), which must be
+    a plain scan/projection, so the check is planning-only: on a plan with an
+    exchange, adaptive execution would run its stages just to report it."""
     target = target or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    if (like if like is not None else df).rdd.getNumPartitions() >= target:
         return df
     return df.repartition(target, *keys) if keys else df.repartition(target)
 
