@@ -5,7 +5,6 @@ import re
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from verdant.functions.text import (WORD_SEPARATORS, text_checksum, tokenize_spaces,
                                     tokenize_words)

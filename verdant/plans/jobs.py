@@ -19,11 +19,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from verdant.functions.text import tokenize_spaces
-from verdant.operators.features import continuous, fit_features, page_layout, parse_pages
+from verdant.operators.features import fit_features, page_layout, parse_pages
 from verdant.operators.hashed_text import fit_text_lr_sgd
 from verdant.operators.learners import (LR_SGD_DEFAULTS, SVM_SGD_DEFAULTS, TREE_DEFAULTS, Fitted,
                                         fit)
-from verdant.operators.metrics import best_threshold, describe_prediction, f_measure_by_threshold
+from verdant.operators.metrics import best_threshold, describe_prediction
 from verdant.operators.split import split_label
 from verdant.operators.tune import evaluate, tune
 from verdant.session import ensure_checkpoint_dir
@@ -179,12 +179,10 @@ def train_spam_classifier(spam: DataFrame, ham: DataFrame, id_col: str, text_col
     data = (spam.select(id_col, text_col).withColumn("label", F.lit(1.0))
             .unionByName(ham.select(id_col, text_col).withColumn("label", F.lit(0.0))))
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
-    return fit_text_lr_sgd(data, id_col, tokenize_spaces(F.col(text_col)), **params)
-
-
-__all__ = ["run_page_classification", "prepare_pages", "score_pages", "embeddings_labelled",
-           "tree_save_load", "lr_summary_best_threshold", "objective_history", "flag_points",
-           "train_spam_classifier", "continuous", "f_measure_by_threshold"]
+    try:
+        return fit_text_lr_sgd(data, id_col, tokenize_spaces(F.col(text_col)), **params)
+    finally:
+        data.unpersist()
 
 
 # ---- J6: word count over text files ---------------------------------------------
