@@ -33,3 +33,20 @@ def test_entry_runs(spark):
     assert len(rows) == 50
     assert {r.description for r in rows} <= {"ephemeral", "evergreen"}
     assert df.where(F.col("prediction").isNull()).count() == 0
+
+
+def test_timed_trigger_picks_up_new_files(spark, tmp_path):
+    from verdant.streaming.error_filter import file_stream, start_filter
+    src = tmp_path / "in"
+    src.mkdir()
+    spark.createDataFrame([("error one",), ("ok",)], "value string").write.parquet(str(src / "a"))
+    sdf = file_stream(spark, str(src) + "/*", "value STRING")
+    q = start_filter(sdf, str(tmp_path / "out"), str(tmp_path / "ck"), interval="1 second")
+    try:
+        q.processAllAvailable()
+        spark.createDataFrame([("late error",), ("fine",)], "value string").write.parquet(str(src / "b"))
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    got = sorted(r.value for r in spark.read.parquet(str(tmp_path / "out")).collect())
+    assert got == ["error one", "late error"]
