@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from verdant.functions.text import tokenize_spaces
 from verdant.operators.hashed_text import hashed_tf
 from verdant.operators.learners import fit
-from verdant.operators.metrics import prediction_report, success_rate
+from verdant.operators.metrics import accuracy, auc, prediction_report, score_curve, success_rate
 from verdant.operators.tune import LR_GRID, TREE_SWEEPS, cross_grid, sweep
 from verdant.plans.jobs import (embeddings_labelled, flag_points, lr_summary_best_threshold,
                                 objective_history, prepare_pages, run_page_classification,
@@ -138,6 +138,18 @@ def q_m_svm_raw_scores(spark, sf_dir):
     return model.transform(test).select("barcode", "label", "score")
 
 
+@query("flag_metrics")
+def q_flag_metrics(spark, sf_dir):
+    """J5 report (+E2, E3): accuracy of the L-BFGS model and AUC of the SVM's
+    raw margins on the same test split, one row."""
+    train, test = _flag_split(spark, sf_dir)
+    lr = fit("lr_lbfgs", train).transform(test)
+    svm = fit("svm_sgd", train, iterations=100, step=1.0, reg=0.01).transform(test)
+    acc = accuracy(lr).first()["accuracy"]
+    raw_auc = auc(score_curve(svm.select("score", "label"))).first()["auc"]
+    return spark.createDataFrame([(acc, raw_auc)], "lbfgs_accuracy double, svm_raw_auc double")
+
+
 # ---- J3 / J4 -----------------------------------------------------------------------
 
 def _emb(spark, sf_dir):
