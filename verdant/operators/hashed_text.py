@@ -5,7 +5,7 @@ Terms are hashed into ``num_features`` buckets with Spark's Murmur3
 expression serves training and scoring, so both see one feature space.
 
 * ``hashed_tf``: ``(id, bucket, tf)`` rows, a partial/final aggregate.
-* Training packs each document's buckets into one sparse labelled point
+* Training packs each document's buckets into one sparse LibSVM line
   (bounded by ``num_features`` entries per document) for the SGD solver.
 * Scoring never builds vectors: tokens are joined to the weight table
   (``num_features`` rows, a proven bound, broadcast) and summed per document.
@@ -15,13 +15,13 @@ from __future__ import annotations
 
 import time
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from verdant.functions.vectors import sigmoid
 from verdant.operators.broadcast import broadcast_if_small
-from verdant.operators.learners import Fitted, sized
+from verdant.operators.learners import Fitted, libsvm_points, sized
+from verdant.session import scratch_path
 
 NUM_FEATURES = 25000
 
@@ -52,26 +52,22 @@ def fit_text_lr_sgd(docs: DataFrame, id_col: str, tokens: Column, label_col: str
     """Logistic regression by SGD on hashed term counts (defaults of
     the no-argument solver: 100 iterations, step 1, full batch, L2 0.01)."""
     from pyspark.mllib.classification import LogisticRegressionWithSGD
-    from pyspark.mllib.linalg import SparseVector
-    from pyspark.mllib.regression import LabeledPoint
 
     labels = docs.select(F.col(id_col).alias("id"), F.col(label_col).cast("double").alias("label"))
     packed = _packed(hashed_tf(docs, id_col, tokens, num_features))
-    rows = labels.join(packed, "id", "left").persist(StorageLevel.MEMORY_AND_DISK)
-    n = num_features
-
-    def to_lp(r):
-        idx = r["idx"] or []
-        val = r["val"] or []
-        return LabeledPoint(r["label"], SparseVector(n, idx, val))
-    try:
-        rdd = sized(rows).select("label", "idx", "val").rdd.map(to_lp)
-        t0 = time.perf_counter()
-        model = LogisticRegressionWithSGD.train(rdd, iterations=iterations, step=step,
-                                                miniBatchFraction=mini_batch, regParam=reg)
-        ms = (time.perf_counter() - t0) * 1000.0
-    finally:
-        rows.unpersist()
+    rows = labels.join(packed, "id", "left")
+    # LibSVM lines ``label i:v ...`` (1-based, ascending) written to shared
+    # storage and parsed by the JVM: no Python per row.
+    pairs = F.transform(F.arrays_zip("idx", "val"),
+                        lambda e: F.concat((e["idx"] + 1).cast("string"), F.lit(":"), e["val"].cast("string")))
+    line = F.concat_ws(" ", F.col("label").cast("string"), F.coalesce(pairs, F.array().cast("array<string>")))
+    path = scratch_path(docs.sparkSession, "hashed-points")
+    sized(rows.select(line.alias("value"))).write.text(path)
+    rdd = libsvm_points(docs.sparkSession, path, num_features)
+    t0 = time.perf_counter()
+    model = LogisticRegressionWithSGD.train(rdd, iterations=iterations, step=step,
+                                            miniBatchFraction=mini_batch, regParam=reg)
+    ms = (time.perf_counter() - t0) * 1000.0
     spark = docs.sparkSession
     w = model.weights.toArray().tolist()
     scorer = HashedLinearScorer(spark, w, float(model.intercept), num_features)

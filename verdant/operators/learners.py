@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from verdant.functions.vectors import linear_margin, sigmoid
 from verdant.operators.features import continuous
+from verdant.session import scratch_path
 
 # Default parameters of the classic page jobs.
 LR_SGD_DEFAULTS = {"iterations": 5, "step": 50.0, "mini_batch": 0.5}
@@ -66,14 +67,36 @@ def _timed(fn):
     return out, (time.perf_counter() - t0) * 1000.0
 
 
-def labeled_points(df: DataFrame, label: str = "label", features: str = "features"):
-    """DataFrame -> RDD[LabeledPoint] for the RDD-based solvers. The vector
-    type conversion runs in the JVM; rows then pass to the solver once."""
-    from pyspark.mllib.regression import LabeledPoint
+def vector_size(df: DataFrame, features: str = "features") -> int:
+    """Width of a vector column: from ML attribute metadata when present,
+    else from one row."""
+    meta = df.schema[features].metadata.get("ml_attr", {})
+    if meta.get("num_attrs"):
+        return int(meta["num_attrs"])
+    row = df.select(F.size(vector_to_array(F.col(features))).alias("n")).first()
+    return int(row["n"]) if row else 0
+
+
+def libsvm_points(spark, path: str, num_features: int):
+    """RDD[LabeledPoint] parsed in the JVM from LibSVM text (no Python
+    worker touches the rows)."""
     from pyspark.mllib.util import MLUtils
+    return MLUtils.loadLibSVMFile(spark.sparkContext, path, numFeatures=num_features)
 
-    conv = MLUtils.convertVectorColumnsFromML(sized(df.select(label, features)), features)
-    return conv.rdd.map(lambda r: LabeledPoint(float(r[0]), r[1]))
+
+def labeled_points(df: DataFrame, label: str = "label", features: str = "features"):
+    """DataFrame -> RDD[LabeledPoint] for the RDD-based solvers.
+
+    The rows are written with Spark's LibSVM writer to the shared checkpoint
+    folder (exact decimal form of every double) and loaded back by the JVM
+    parser: no Python per row, and the solver's input no longer depends on
+    the lineage that produced it."""
+    spark = df.sparkSession
+    data = sized(df.select(F.col(label).cast("double").alias("label"), F.col(features).alias("features")))
+    n = vector_size(df, features)
+    path = scratch_path(spark, "labeled-points")
+    data.write.format("libsvm").save(path)
+    return libsvm_points(spark, path, n)
 
 
 @dataclass
@@ -99,11 +122,12 @@ class LinearScorer:
 
 
 def fit_lr_sgd(df: DataFrame, iterations: int = 5, step: float = 50.0, mini_batch: float = 0.5,
-               reg: float = 0.0, intercept: bool = False) -> Fitted:
+               reg: float = 0.0, intercept: bool = False, points=None) -> Fitted:
     """M1: logistic regression by mini-batch SGD (no regularisation unless
-    given, as in the 4-argument Scala ``train``)."""
+    given, as in the 4-argument Scala ``train``). ``points``: the training
+    set already converted by ``labeled_points`` (shared by a grid search)."""
     from pyspark.mllib.classification import LogisticRegressionWithSGD
-    rdd = labeled_points(df)
+    rdd = points if points is not None else labeled_points(df)
     model, ms = _timed(lambda: LogisticRegressionWithSGD.train(
         rdd, iterations=int(iterations), step=float(step), miniBatchFraction=float(mini_batch),
         regParam=float(reg), intercept=intercept))
@@ -112,10 +136,10 @@ def fit_lr_sgd(df: DataFrame, iterations: int = 5, step: float = 50.0, mini_batc
 
 
 def fit_svm_sgd(df: DataFrame, iterations: int = 25, step: float = 50.0, reg: float = 1.0,
-                mini_batch: float = 1.0, intercept: bool = False) -> Fitted:
+                mini_batch: float = 1.0, intercept: bool = False, points=None) -> Fitted:
     """M4: linear SVM by SGD (hinge loss, L2)."""
     from pyspark.mllib.classification import SVMWithSGD
-    rdd = labeled_points(df)
+    rdd = points if points is not None else labeled_points(df)
     model, ms = _timed(lambda: SVMWithSGD.train(
         rdd, iterations=int(iterations), step=float(step), regParam=float(reg),
         miniBatchFraction=float(mini_batch), intercept=intercept))
@@ -177,6 +201,9 @@ def fit_decision_tree(df: DataFrame, impurity: str = "entropy", max_depth: int =
                   model, ms, score)
 
 
+# Learners fed from an RDD of labelled points (converted once per data set).
+RDD_LEARNERS = ("lr_sgd", "svm_sgd")
+
 LEARNERS = {
     "lr_sgd": fit_lr_sgd,
     "svm_sgd": fit_svm_sgd,

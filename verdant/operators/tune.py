@@ -15,7 +15,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from verdant.operators.learners import Fitted, fit
+from verdant.operators.learners import RDD_LEARNERS, Fitted, fit, labeled_points
 from verdant.operators.metrics import auc_hard
 
 # Sweeps and cross grids of the classic page jobs.
@@ -69,12 +69,21 @@ class GridPoint:
 
 def run_points(learner: str, train: DataFrame, valid: DataFrame, points: list[dict],
                parallelism: int = 4) -> list[GridPoint]:
+    shared = {}
+    if learner in RDD_LEARNERS:
+        # One conversion (a written LibSVM table), cached, for every grid point.
+        shared["points"] = labeled_points(train).cache()
+
     def one(i_p):
         i, p = i_p
-        f = fit(learner, train, **p)
+        f = fit(learner, train, **p, **shared)
         return GridPoint(i, p, evaluate(f, valid), f.train_ms)
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
-        return list(ex.map(one, enumerate(points)))
+    try:
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
+            return list(ex.map(one, enumerate(points)))
+    finally:
+        if "points" in shared:
+            shared["points"].unpersist()
 
 
 def pick_best(points: list[GridPoint]) -> GridPoint:

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -61,5 +62,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return local
 
 
+def scratch_path(spark: SparkSession, prefix: str) -> str:
+    """A fresh path under the checkpoint directory (shared storage)."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{prefix}-{uuid.uuid4().hex}"
+
+
 def default_parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
