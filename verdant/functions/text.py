@@ -61,8 +61,8 @@ def utf16_low_byte_sum(s) -> Column:
         low = (F.lit(56320) + off.bitwiseAND(1023)).bitwiseAND(255)
         return F.when(cp < 65536, cp.bitwiseAND(255)).otherwise(high + low)
 
-    return F.aggregate(F.transform(F.split(_col(s), ""), low_bytes), F.lit(0).cast("long"),
-                       lambda acc, x: acc + x)
+    return F.aggregate(F.split(_col(s), ""), F.lit(0).cast("long"),
+                       lambda acc, c: acc + low_bytes(c))
 
 
 def checksum_from_byte_sum(byte_sum) -> Column:
