@@ -68,7 +68,11 @@ class GridPoint:
 
 
 def run_points(learner: str, train: DataFrame, valid: DataFrame, points: list[dict],
-               parallelism: int = 4) -> list[GridPoint]:
+               parallelism: int | None = None) -> list[GridPoint]:
+    """Fit and evaluate every grid point; ``parallelism`` concurrent fits
+    (default: the cluster's default parallelism, capped at 16)."""
+    if parallelism is None:
+        parallelism = min(16, train.sparkSession.sparkContext.defaultParallelism)
     shared = {}
     if learner in RDD_LEARNERS:
         # One conversion (a written LibSVM table), cached, for every grid point.
@@ -92,7 +96,7 @@ def pick_best(points: list[GridPoint]) -> GridPoint:
 
 
 def sweep(spark: SparkSession, learner: str, train: DataFrame, valid: DataFrame,
-          name: str, grid: dict[str, list], parallelism: int = 4) -> DataFrame:
+          name: str, grid: dict[str, list], parallelism: int | None = None) -> DataFrame:
     """Vary one parameter; report ``(param, value, auc, train_ms)``."""
     pts = run_points(learner, train, valid, expand(grid), parallelism)
     rows = [(name, str(g.params[name]), g.auc, float(g.train_ms)) for g in pts]
@@ -100,7 +104,7 @@ def sweep(spark: SparkSession, learner: str, train: DataFrame, valid: DataFrame,
 
 
 def cross_grid(learner: str, train: DataFrame, valid: DataFrame, grid: dict[str, list],
-               parallelism: int = 4, refit: bool = True) -> tuple[Fitted | None, GridPoint, list[GridPoint]]:
+               parallelism: int | None = None, refit: bool = True) -> tuple[Fitted | None, GridPoint, list[GridPoint]]:
     """Evaluate the full cross grid on ``valid``; refit the best
     parameters on train ∪ validation (the corrected refit)."""
     pts = run_points(learner, train, valid, expand(grid), parallelism)
@@ -110,7 +114,7 @@ def cross_grid(learner: str, train: DataFrame, valid: DataFrame, grid: dict[str,
 
 
 def tune(spark: SparkSession, learner: str, train: DataFrame, valid: DataFrame,
-         sweeps=None, grid=None, parallelism: int = 4,
+         sweeps=None, grid=None, parallelism: int | None = None,
          on_sweep: Callable[[DataFrame], None] | None = None):
     """G6 tuning branch: all sweeps, then the cross grid, then the refit.
     Returns ``(model, best_point, sweep_report)``."""

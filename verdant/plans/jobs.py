@@ -93,7 +93,7 @@ def score_pages(score_raw: DataFrame, fm, model: Fitted, refit_scaler: bool = Fa
 
 def run_page_classification(spark: SparkSession, train_raw: DataFrame, score_raw: DataFrame,
                             learner: str = "lr_sgd", tune_params: bool = False,
-                            params: dict | None = None, parallelism: int = 4,
+                            params: dict | None = None, parallelism: int | None = None,
                             refit_scaler: bool = False, sweeps=None, grid=None) -> ClassificationRun:
     """Prepare -> train (default parameters, or sweeps + cross grid) ->
     validation and test AUC -> score the unlabelled pages."""
