@@ -131,3 +131,14 @@ def test_feature_queries_match_duckdb_small(spark, duck, name):
     from tests.helpers import assert_same
     import __spark_entry__ as E
     assert_same(E.queries()[name](spark, "/root/testdata/sf0.001"), duck.execute(E.oracle_sql()[name]))
+
+
+def test_large_labels_path_equals_broadcast_path(spark):
+    """Forcing the 'labels too big to broadcast' plan gives the same rows."""
+    from verdant.sources.pages import labelled_page_rows
+    sf = "/root/testdata/sf0.001"
+    a = labelled_page_rows(spark, sf)
+    b = labelled_page_rows(spark, sf, max_broadcast_rows=10)
+    assert a.columns == b.columns
+    assert sorted(a.collect()) == sorted(b.collect())
+    assert sorted(flag_lines(spark, sf).collect()) == sorted(flag_lines(spark, sf, max_broadcast_rows=10).collect())

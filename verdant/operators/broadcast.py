@@ -18,3 +18,8 @@ def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
                        known_rows: int | None = None) -> DataFrame:
     n = known_rows if known_rows is not None else df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
+
+
+def is_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
+    """Row count <= ``max_rows`` (reads at most ``max_rows + 1`` rows)."""
+    return df.limit(max_rows + 1).count() <= max_rows

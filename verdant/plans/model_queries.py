@@ -11,6 +11,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from verdant.functions.text import tokenize_spaces
+from verdant.operators.broadcast import broadcast_if_small
 from verdant.operators.hashed_text import hashed_tf
 from verdant.operators.learners import fit
 from verdant.operators.metrics import accuracy, auc, prediction_report, score_curve, success_rate
@@ -222,6 +223,6 @@ def q_m_text_classifier(spark, sf_dir):
     every document."""
     docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
     lab = table(spark, sf_dir, "labels").select("doc_id", "toxic")
-    j = docs.join(lab, "doc_id")
+    j = docs.join(broadcast_if_small(lab), "doc_id")
     model = train_spam_classifier(j.where("toxic = 1"), j.where("toxic = 0"), "doc_id", "text")
     return model.scorer.score(docs, "doc_id", tokenize_spaces("text"))

@@ -9,29 +9,40 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from verdant.operators.broadcast import MAX_BROADCAST_ROWS, is_small
 from verdant.sources.tables import spread, table
 
 FLAG_DDL = ("barcode STRING, m1 INT, m2 INT, m3 INT, m4 INT, m5 INT, m6 INT, label INT")
 FLAG_FEATURES = ("m1", "m2", "m3", "m4", "m5", "m6")
 
 
-def flag_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _doc_facts(d: DataFrame, *keep: str) -> DataFrame:
+    """Per-document 0/1 facts (computed from the text, map-side)."""
+    return d.select(
+        "doc_id", *keep,
+        (F.col("lang") == "en").cast("int").alias("f_en"),
+        (F.col("n_chars") > 2000).cast("int").alias("f_long"),
+        F.col("text").rlike("[0-9]").cast("int").alias("f_digit"),
+        F.col("text").contains("@").cast("int").alias("f_at"),
+        F.col("text").contains('"').cast("int").alias("f_quote"))
+
+
+def flag_lines(spark: SparkSession, sf_dir: str,
+               max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """One CSV line per labelled document; the six 0/1 flags are simple
-    document facts, the label is the quality mark."""
+    document facts (language, length, toxicity, digits, '@', quotes), the
+    label is the quality mark. Labels under a counted bound are broadcast;
+    beyond it the facts are computed map-side and only they are shuffled."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "n_chars")
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
-    j = spread(docs.join(labels, "doc_id"), "doc_id", like=docs)
-    flags = [
-        F.col("lang") == "en",
-        F.col("n_chars") > 2000,
-        F.col("toxic") == 1,
-        F.col("text").rlike("[0-9]"),
-        F.col("text").contains("@"),
-        F.col("text").contains('"'),
-    ]
-    return j.select(F.concat_ws(",", F.col("doc_id").cast("string"),
-                                *[f.cast("int").cast("string") for f in flags],
-                                F.col("quality").cast("string")).alias("value"))
+    if is_small(labels, max_broadcast_rows):
+        j = spread(docs.join(F.broadcast(labels), "doc_id"), "doc_id", like=docs)
+        facts = _doc_facts(j, "quality", "toxic")
+    else:
+        facts = _doc_facts(spread(docs, "doc_id")).join(labels, "doc_id")
+    cols = [F.col("doc_id"), F.col("f_en"), F.col("f_long"), (F.col("toxic") == 1).cast("int"),
+            F.col("f_digit"), F.col("f_at"), F.col("f_quote"), F.col("quality")]
+    return facts.select(F.concat_ws(",", *[c.cast("string") for c in cols]).alias("value"))
 
 
 def parse_flags(lines: DataFrame, text_col: str = "value") -> DataFrame:

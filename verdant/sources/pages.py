@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from verdant.functions.features import TEXT_FEATURES
+from verdant.operators.broadcast import MAX_BROADCAST_ROWS, is_small
 from verdant.sources.tables import spread, table
 
 LANG_PATTERN = r'<html lang="(\w+)"'
@@ -39,25 +40,39 @@ def text_feature_fields(text: Column) -> list[Column]:
     return [_num_field(fn(text)).alias(name) for name, fn in TEXT_FEATURES]
 
 
-def labelled_page_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Training stand-in: labelled documents. category = language,
-    label = quality. Join on doc_id is left to Catalyst/AQE (labels grows
-    with the data, so it is not force-broadcast)."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
-    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
-    # Spread after the join: only labelled documents carry text onward.
-    j = spread(docs.join(labels, "doc_id"), "doc_id", like=docs)
-    return j.select(
+def _doc_fields(d: DataFrame, *extra: Column) -> DataFrame:
+    """Page-layout fields of documents (everything but the label)."""
+    return d.select(
+        "doc_id",
         _quoted(F.concat(F.lit("http://"), F.col("source"), F.lit(".example/doc/"),
                          F.col("doc_id").cast("string"))).alias("url"),
         _quoted(F.col("doc_id").cast("string")).alias("urlid"),
         _quoted(F.col("source")).alias("boilerplate"),
         _quoted(F.coalesce(F.col("lang"), F.lit("?"))).alias("category"),
         *text_feature_fields(F.col("text")),
-        _quoted(F.col("quality").cast("string")).alias("label"),
+        *extra,
     )
 
 
+def labelled_page_rows(spark: SparkSession, sf_dir: str,
+                       max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Training stand-in: labelled documents. category = language,
+    label = quality.
+
+    Labels under a counted bound are broadcast: documents are filtered
+    map-side and only labelled texts are processed. Beyond it, the text
+    features (a few numbers per document) are computed map-side first and
+    only those small rows are shuffled for the join, never the texts."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    label = _quoted(F.col("quality").cast("string")).alias("label")
+    if is_small(labels, max_broadcast_rows):
+        j = spread(docs.join(F.broadcast(labels), "doc_id"), "doc_id", like=docs)
+        return _doc_fields(j, label).drop("doc_id")
+    fields = _doc_fields(spread(docs, "doc_id"))
+    return fields.join(labels, "doc_id").select(*fields.drop("doc_id").columns, label)
+
+
 def page_text(html: Column) -> Column:
     """Visible text of a page: scripts, styles and tags removed."""
     t = F.regexp_replace(html, r"(?s)<script[^>]*>.*?</script>", " ")
