@@ -5,9 +5,11 @@ margin or probability of class 1) and ``prediction`` (0.0/1.0).
 
 * SGD logistic regression and SGD linear SVM keep the step size and
   mini-batch knobs, which only the RDD-based ``pyspark.mllib`` API has. The
-  solver runs in the JVM; the DataFrame is converted to labelled points once
-  per fit. Their scoring is a dot product in a SQL expression (no Python per
-  row), since the weight vector is small and fixed after training.
+  solver runs in the JVM on labelled points that Spark writes as LibSVM text
+  to the shared checkpoint folder and parses back in the JVM (once per fit,
+  or once per grid search). Their scoring is a dot product in a SQL
+  expression (no Python per row), since the weight vector is small and fixed
+  after training.
 * L-BFGS / OWL-QN logistic regression, linear SVC and decision trees use the
   DataFrame ``pyspark.ml`` estimators directly.
 """
