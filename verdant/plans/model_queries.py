@@ -197,7 +197,9 @@ def q_eval_objective_history(spark, sf_dir):
     return objective_history(spark, f.model)
 
 
-@query("src_libsvm")
+@query("src_libsvm", oracle="""
+SELECT (label < 5)::INT::DOUBLE AS label, list_transform(embedding, lambda x: x::DOUBLE) AS features
+FROM embeddings""")
 def q_src_libsvm(spark, sf_dir):
     """Embeddings written as LibSVM text (shared checkpoint storage),
     read back with the LibSVM source."""

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,11 +16,7 @@ def read_libsvm(spark: SparkSession, path: str, num_features: int | None = None)
 
 
 def write_libsvm(df: DataFrame, path: str, label: str = "label", features: str = "features") -> None:
-    """Write non-zero entries as ``i:v`` (1-based), one text line per row."""
-    arr = vector_to_array(F.col(features), "float64")
-    pairs = F.filter(F.transform(arr, lambda v, i: F.struct(i.alias("i"), v.alias("v"))),
-                     lambda s: s["v"] != 0.0)
-    text = F.transform(pairs, lambda s: F.concat((s["i"] + 1).cast("string"), F.lit(":"),
-                                                 s["v"].cast("string")))
-    line = F.concat_ws(" ", F.col(label).cast("string"), F.concat_ws(" ", text))
-    df.select(F.trim(line).alias("value")).write.mode("errorifexists").text(path)
+    """Spark's LibSVM writer: ``label i:v ...`` (1-based), doubles in their
+    shortest exact decimal form, so a read-back gives the same values."""
+    (df.select(F.col(label).cast("double").alias("label"), F.col(features).alias("features"))
+     .write.mode("errorifexists").format("libsvm").save(path))
