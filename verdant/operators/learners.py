@@ -86,19 +86,46 @@ def libsvm_points(spark, path: str, num_features: int):
     return MLUtils.loadLibSVMFile(spark.sparkContext, path, numFeatures=num_features)
 
 
-def labeled_points(df: DataFrame, label: str = "label", features: str = "features"):
-    """DataFrame -> RDD[LabeledPoint] for the RDD-based solvers.
+@dataclass
+class LabeledPoints:
+    """RDD of labelled points for the RDD-based solvers, with its width."""
+    rdd: Any
+    num_features: int
+
+    def cache(self) -> "LabeledPoints":
+        self.rdd.cache()
+        return self
+
+    def unpersist(self) -> None:
+        self.rdd.unpersist()
+
+    def train_args(self) -> dict:
+        # Zero start and labels already checked: the solver wrapper then skips
+        # its own first-row and label-validation jobs on every fit.
+        return {"initialWeights": [0.0] * self.num_features, "validateData": False}
+
+
+def labeled_points(df: DataFrame, label: str = "label", features: str = "features") -> LabeledPoints:
+    """DataFrame -> labelled points for the RDD-based solvers.
 
     The rows are written with Spark's LibSVM writer to the shared checkpoint
     folder (exact decimal form of every double) and loaded back by the JVM
     parser: no Python per row, and the solver's input no longer depends on
-    the lineage that produced it."""
+    the lineage that produced it. Labels are checked (0/1) and rows counted
+    in one aggregation, which also sizes the partitions."""
     spark = df.sparkSession
-    data = sized(df.select(F.col(label).cast("double").alias("label"), F.col(features).alias("features")))
+    y = F.col(label).cast("double")
+    stats = df.agg(F.count(F.lit(1)).alias("n"),
+                   F.sum(F.coalesce(~y.isin(0.0, 1.0), F.lit(True)).cast("long")).alias("bad")).first()
+    if stats["bad"]:
+        raise ValueError(f"{stats['bad']} labels are not 0 or 1")
+    par = spark.sparkContext.defaultParallelism
+    target = max(1, min(par, -(-stats["n"] // ROWS_PER_PARTITION)))
     n = vector_size(df, features)
     path = scratch_path(spark, "labeled-points")
-    data.write.format("libsvm").save(path)
-    return libsvm_points(spark, path, n)
+    df.select(y.alias("label"), F.col(features).alias("features")).coalesce(target) \
+        .write.format("libsvm").save(path)
+    return LabeledPoints(libsvm_points(spark, path, n), n)
 
 
 @dataclass
@@ -129,10 +156,10 @@ def fit_lr_sgd(df: DataFrame, iterations: int = 5, step: float = 50.0, mini_batc
     given, as in the 4-argument Scala ``train``). ``points``: the training
     set already converted by ``labeled_points`` (shared by a grid search)."""
     from pyspark.mllib.classification import LogisticRegressionWithSGD
-    rdd = points if points is not None else labeled_points(df)
+    pts = points if points is not None else labeled_points(df)
     model, ms = _timed(lambda: LogisticRegressionWithSGD.train(
-        rdd, iterations=int(iterations), step=float(step), miniBatchFraction=float(mini_batch),
-        regParam=float(reg), intercept=intercept))
+        pts.rdd, iterations=int(iterations), step=float(step), miniBatchFraction=float(mini_batch),
+        regParam=float(reg), intercept=intercept, **pts.train_args()))
     sc = LinearScorer(list(map(float, model.weights)), float(model.intercept), "logistic")
     return Fitted("lr_sgd", {"iterations": iterations, "step": step, "mini_batch": mini_batch}, model, ms, sc)
 
@@ -141,10 +168,10 @@ def fit_svm_sgd(df: DataFrame, iterations: int = 25, step: float = 50.0, reg: fl
                 mini_batch: float = 1.0, intercept: bool = False, points=None) -> Fitted:
     """M4: linear SVM by SGD (hinge loss, L2)."""
     from pyspark.mllib.classification import SVMWithSGD
-    rdd = points if points is not None else labeled_points(df)
+    pts = points if points is not None else labeled_points(df)
     model, ms = _timed(lambda: SVMWithSGD.train(
-        rdd, iterations=int(iterations), step=float(step), regParam=float(reg),
-        miniBatchFraction=float(mini_batch), intercept=intercept))
+        pts.rdd, iterations=int(iterations), step=float(step), regParam=float(reg),
+        miniBatchFraction=float(mini_batch), intercept=intercept, **pts.train_args()))
     sc = LinearScorer(list(map(float, model.weights)), float(model.intercept), "svm")
     return Fitted("svm_sgd", {"iterations": iterations, "step": step, "reg": reg}, model, ms, sc)
 
