@@ -185,42 +185,43 @@ def _ml_scorer(model, score_from: str = "probability"):
 
 
 def fit_lr_lbfgs(df: DataFrame, reg: float = 0.0, intercept: bool = False,
-                 max_iter: int = 100) -> Fitted:
+                 max_iter: int = 100, presized: bool = False) -> Fitted:
     """M2: logistic regression by L-BFGS, two classes, no intercept by default."""
     est = LogisticRegression(maxIter=max_iter, regParam=reg, fitIntercept=intercept,
                              family="binomial", standardization=False)
-    df = sized(df)
+    df = df if presized else sized(df)
     model, ms = _timed(lambda: est.fit(df))
     return Fitted("lr_lbfgs", {"reg": reg, "intercept": intercept}, model, ms, _ml_scorer(model))
 
 
 def fit_lr_elasticnet(df: DataFrame, max_iter: int = 10, reg: float = 0.3,
-                      elastic_net: float = 0.8) -> Fitted:
+                      elastic_net: float = 0.8, presized: bool = False) -> Fitted:
     """M3: logistic regression with an elastic-net penalty (training summary
     available as ``fitted.model.summary``)."""
     est = LogisticRegression(maxIter=max_iter, regParam=reg, elasticNetParam=elastic_net)
-    df = sized(df)
+    df = df if presized else sized(df)
     model, ms = _timed(lambda: est.fit(df))
     return Fitted("lr_elasticnet", {"max_iter": max_iter, "reg": reg, "elastic_net": elastic_net},
                   model, ms, _ml_scorer(model))
 
 
-def fit_linear_svc(df: DataFrame, max_iter: int = 25, reg: float = 1.0) -> Fitted:
+def fit_linear_svc(df: DataFrame, max_iter: int = 25, reg: float = 1.0, presized: bool = False) -> Fitted:
     """M4 (DataFrame form): linear SVM by OWL-QN, no step size."""
     est = LinearSVC(maxIter=max_iter, regParam=reg, fitIntercept=False, standardization=False)
-    df = sized(df)
+    df = df if presized else sized(df)
     model, ms = _timed(lambda: est.fit(df))
     return Fitted("linear_svc", {"max_iter": max_iter, "reg": reg}, model, ms,
                   _ml_scorer(model, "rawPrediction"))
 
 
 def fit_decision_tree(df: DataFrame, impurity: str = "entropy", max_depth: int = 10,
-                      max_bins: int = 10, seed: int = 0) -> Fitted:
+                      max_bins: int = 10, seed: int = 0, presized: bool = False) -> Fitted:
     """M5: decision tree, all features continuous (attribute metadata from
     one-hot encoding is dropped, as with an empty categorical-feature map)."""
     est = DecisionTreeClassifier(impurity=impurity, maxDepth=int(max_depth), maxBins=int(max_bins),
                                  seed=seed)
-    cont = sized(df.withColumn("features", continuous("features")))
+    cont = df.withColumn("features", continuous("features"))
+    cont = cont if presized else sized(cont)
     model, ms = _timed(lambda: est.fit(cont))
 
     def score(d: DataFrame) -> DataFrame:

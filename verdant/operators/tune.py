@@ -15,7 +15,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from verdant.operators.learners import RDD_LEARNERS, Fitted, fit, labeled_points
+from verdant.operators.learners import RDD_LEARNERS, Fitted, fit, labeled_points, sized
 from verdant.operators.metrics import auc_hard
 
 # Sweeps and cross grids of the classic page jobs.
@@ -77,6 +77,10 @@ def run_points(learner: str, train: DataFrame, valid: DataFrame, points: list[di
     if learner in RDD_LEARNERS:
         # One conversion (a written LibSVM table), cached, for every grid point.
         shared["points"] = labeled_points(train).cache()
+    else:
+        # One count sizes the partitions for every grid point.
+        train = sized(train)
+        shared["presized"] = True
 
     def one(i_p):
         i, p = i_p
