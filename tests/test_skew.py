@@ -69,3 +69,14 @@ def test_broadcast_only_under_bound(spark):
     assert broadcast_if_small(big, max_rows=10) is big
     assert broadcast_if_small(small, max_rows=10) is not small
     assert broadcast_if_small(big, max_rows=10, known_rows=3) is not big
+
+
+def test_spread_only_small_inputs(spark, capsys):
+    from verdant.sources.tables import SPREAD_LIMIT, spread
+    big = spark.range(0, 10000, numPartitions=SPREAD_LIMIT + 4)
+    assert spread(big, "id") is big                      # large input: never reshuffled
+    small = spark.range(0, 10000, numPartitions=1)
+    out = spread(small, "id")
+    assert out.rdd.getNumPartitions() == min(spark.sparkContext.defaultParallelism, SPREAD_LIMIT)
+    out.explain()
+    assert "hashpartitioning(id" in capsys.readouterr().out   # keyed, no round-robin sort
