@@ -1,17 +1,32 @@
-"""The corpus pipeline: documents in, packed training batches out."""
+"""The corpus pipeline: documents in, packed training batches out.
+
+Each stage takes (spark, docs, sf_dir) and works on all rows its predecessor
+kept; its result is written as Parquet and read again as the next one's docs.
+All stages but the last return the columns of documents.
+"""
 
 from __future__ import annotations
 
-from verdant.llm import mixing, packing, quality
+from verdant.llm import linedup, mixing, packing, quality, setsketch
 from verdant.llm.common import written
 from verdant.sources.tables import table
 
 
 def quality_rules(spark, docs, sf_dir):
-    """Documents that the label model rejects go."""
+    """Documents that the base rules or the label model reject go."""
     return quality.keep_good(docs)
 
 
+def line_dedup(spark, docs, sf_dir):
+    """Blocks of lines that an earlier document holds go; documents left without a word go."""
+    return linedup.dedup_lines(docs)
+
+
+def near_dedup(spark, docs, sf_dir):
+    """One document of each group of near-duplicates (five words, similarity 0.8) stays."""
+    return setsketch.keep_one_each(docs)
+
+
 def mix_sources(spark, docs, sf_dir):
     """Sources at their target weights; documents taken twice are two rows."""
     return mixing.mix_sources(docs)
@@ -22,13 +37,15 @@ def pack(spark, docs, sf_dir):
     return packing.pack(docs)
 
 
-STAGES = [("quality rules", quality_rules), ("mixing", mix_sources), ("packing", pack)]
+STAGES = [("quality rules", quality_rules), ("line dedup", line_dedup), ("near dedup", near_dedup),
+          ("mixing", mix_sources), ("packing", pack)]
 
-# Alignment and label models have no SQL form; tests hold run() against a brute-force version.
+# Label models and alignments have no SQL form; tests hold run() against a plain-Python version.
 ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
+    """Rows of the last stage over the whole of documents."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), "stage-" + name.replace(" ", "-"))

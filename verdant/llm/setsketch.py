@@ -280,8 +280,8 @@ s AS MATERIALIZED (SELECT DISTINCT doc_id, sh FROM (
 n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 common AS MATERIALIZED (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM s x JOIN s y ON x.sh = y.sh AND x.doc_id < y.doc_id GROUP BY 1, 2),
 links AS MATERIALIZED (SELECT a, b FROM common JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * k >= 80 * (p.n + q.n - k)),
-both AS MATERIALIZED (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
-reach AS (SELECT doc_id, doc_id AS c FROM documents UNION SELECT reach.doc_id, both.b FROM reach JOIN both ON reach.c = both.a),
+pairs AS MATERIALIZED (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT doc_id, doc_id AS c FROM documents UNION SELECT reach.doc_id, pairs.b FROM reach JOIN pairs ON reach.c = pairs.a),
 comp AS (SELECT doc_id, min(c) AS component_id FROM reach GROUP BY doc_id)
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, comp.component_id, d.doc_id = comp.component_id AS kept
 FROM documents d LEFT JOIN n USING (doc_id) JOIN comp USING (doc_id)

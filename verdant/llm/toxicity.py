@@ -1,7 +1,8 @@
 """Toxicity by weak supervision.
 
-1. Lexicons come from the labelled rows: words, and beginnings of five and six
-   letters, that are several times as frequent among toxic texts as among others.
+1. Lexicons come from at most ``LEXICON_ROWS`` labelled rows (chosen by a hash of
+   their text): words, and beginnings of five and six letters, that are several
+   times as frequent among toxic texts as among others.
 2. Nine voters look at a text: six lexicon voters (two for each kind of entry),
    the share of words that hit any entry, the number of different entries hit,
    and an exclamation pattern. Each votes toxic, clean, or abstains.
@@ -11,25 +12,25 @@
    the class and on the one voter it shares most information with. Labelled rows
    keep their label. It is fitted on the histogram of vote patterns, which has at
    most 3^9 patterns for each of the labels 0, 1 and none.
-4. A logistic regression on hashed shares of words and beginnings is trained on
-   the posterior labels of at most ``FIT_ROWS`` rows (chosen by a hash of their
-   text) and scores every text.
+4. A logistic regression on what the voters see (the hits of each lexicon as
+   shares of the words, their summed evidence, how many entries and words were
+   hit) is trained on the posterior labels of the whole learning fold and scores
+   every text. The texts are read once for votes and features.
 
-Defined results: a null or empty text is scored with no features (the
-classifier's intercept); a row with a null id is held out; repeated rows count
+Defined results: a null or empty text has all features zero; a row with a null id is held out; repeated rows count
 as often as they occur; if no row of the learning fold is labelled toxic, or none
 is labelled clean, every score is the share of toxic labels (0 without labels).
 """
 
 from __future__ import annotations
 
+import math
 import re
 
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import HashingTF, Normalizer
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,9 +38,8 @@ from verdant.llm.common import written
 from verdant.llm.hyperlang import in_fold
 
 LEXICON_ROWS = 20_000    # labelled rows at most from which lexicons are drawn
-FIT_ROWS = 30_000        # rows at most on which the classifier is trained
 LEXICON = 900            # entries at most
-BUCKETS = 1 << 16
+LEAST_DOCS, LEAST_SHARE, LEAST_RATIO = 4, 0.01, 6.0   # of an entry: toxic documents, their share, how many times as frequent
 BEGINNINGS = (5, 6)
 TOXIC, CLEAN, ABSTAIN = 1, 0, 2
 N_VOTERS = 9
@@ -64,19 +64,21 @@ def _at_most(rows: DataFrame, most: int) -> DataFrame:
     return rows if part == 1.0 else rows.where(F.pmod(F.xxhash64("text", F.lit(7)), F.lit(1_000_000)) < int(part * 1_000_000))
 
 
-def learn_lexicon(labelled: DataFrame, entries: int) -> dict[str, int]:
-    """Entry -> voter. Frequent and telling entries first, dealt in turn to the two voters of their kind."""
+def learn_lexicon(labelled: DataFrame, entries: int) -> dict[str, tuple[int, float]]:
+    """Entry -> (voter, log ratio). Frequent and telling entries first, dealt in
+    turn to the two voters of their kind."""
     sample = written(labelled.select("text", "toxic"), "toxic-sample")
     size = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    bad, good = size.get(1, 0), size.get(0, 0)
     seen = sample.select("toxic", F.explode(F.array_distinct(features(tokens(F.col("text"))))).alias("f"))
     df = seen.groupBy("f").agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good"))
-    ratio = ((F.col("bad") + 0.5) / (size[1] + 1)) / ((F.col("good") + 0.5) / (size[0] + 1))
-    best = (df.where((F.col("bad") >= 3) & (ratio >= 6)).withColumn("gain", F.col("bad") * F.log(ratio))
-            .orderBy(F.desc("gain"), "f").limit(entries).collect())
+    ratio = ((F.col("bad") + 0.5) / (bad + 1)) / ((F.col("good") + 0.5) / (good + 1))
+    best = (df.where((F.col("bad") >= max(LEAST_DOCS, LEAST_SHARE * bad)) & (ratio >= LEAST_RATIO))
+            .withColumn("weight", F.log(ratio)).orderBy(F.desc(F.col("bad") * F.col("weight")), "f").limit(entries).collect())
     turn, out = {"w": 0, "5": 0, "6": 0}, {}
     for row in best:
         kind = row["f"][0]
-        out[row["f"]] = 2 * "w56".index(kind) + turn[kind] % 2
+        out[row["f"]] = 2 * "w56".index(kind) + turn[kind] % 2, row["weight"]
         turn[kind] += 1
     return out
 
@@ -84,7 +86,7 @@ def learn_lexicon(labelled: DataFrame, entries: int) -> dict[str, int]:
 class _Entries(dict):
     """Lexicon entries of a word, remembered for frequent words."""
 
-    def __init__(self, lexicon: dict[str, int]):
+    def __init__(self, lexicon: dict[str, tuple[int, float]]):
         self.lexicon = lexicon
 
     def __missing__(self, word: str) -> tuple[str, ...]:
@@ -95,31 +97,37 @@ class _Entries(dict):
         return found
 
 
-def votes_of(text: str | None, entries: _Entries) -> str:
-    """The votes as a string of nine digits."""
+def look_at(text: str | None, entries: _Entries) -> tuple[str, list[float]]:
+    """The nine votes as a string of digits, and the features of the classifier."""
     text = text or ""
     words = _TOKEN.findall(text.lower())
-    hits, any_hit, different = [0] * 6, 0, set()
+    hits, any_hit, evidence, different = [0] * 6, 0, 0.0, set()
     for found in filter(None, map(entries.__getitem__, words)):
         any_hit += 1
         different.update(found)
+        evidence += max(entries.lexicon[e][1] for e in found)
         for e in found:
-            hits[entries.lexicon[e]] += 1
+            hits[entries.lexicon[e][0]] += 1
     n = max(len(words), 1)
-    out = [TOXIC if h and h >= 0.008 * n else CLEAN if not h and n >= 20 else ABSTAIN for h in hits]
-    out.append(TOXIC if any_hit >= 0.03 * n else CLEAN if any_hit <= 0.005 * n else ABSTAIN)
-    out.append(TOXIC if len(different) >= 6 else CLEAN if not different else ABSTAIN)
     shouts = text.count("!")
-    out.append(TOXIC if shouts > 0.3 * n else CLEAN if not shouts else ABSTAIN)
-    return "".join(map(str, out))
+    votes = [TOXIC if h and h >= 0.008 * n else CLEAN if not h and n >= 20 else ABSTAIN for h in hits]
+    votes.append(TOXIC if any_hit >= 0.012 * n and any_hit > 1 else CLEAN if any_hit <= 0.006 * n else ABSTAIN)
+    votes.append(TOXIC if len(different) >= 6 else CLEAN if len(different) <= 1 else ABSTAIN)
+    votes.append(TOXIC if shouts > 0.3 * n else CLEAN if not shouts else ABSTAIN)
+    percent = lambda x: min(100.0 * x / n, 3.0)
+    seen = [*map(percent, hits), percent(any_hit), min(100.0 * evidence / n, 10.0), math.log1p(len(different)), math.log1p(any_hit),
+            math.log1p(evidence), min(shouts / n, 1.0)]
+    return "".join(map(str, votes)), seen
 
 
-def _vote_batches(lexicon: dict[str, int]):
+def _look_batches(lexicon: dict[str, tuple[int, float]]):
     def run(batches):
         entries = _Entries(lexicon)
         for batch in batches:
-            votes = [votes_of(t, entries) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(votes, pa.string())], names=["doc_id", "votes"])
+            seen = [look_at(t, entries) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("held_out"), pa.array([v for v, _ in seen], pa.string()),
+                 pa.array([x for _, x in seen], pa.list_(pa.float64()))], names=["doc_id", "held_out", "votes", "x"])
     return run
 
 
@@ -193,12 +201,6 @@ def posterior_labels(voted: DataFrame) -> DataFrame:
                                               "votes string, label int, toxic double")
 
 
-def _hashed(frame: DataFrame) -> DataFrame:
-    counted = HashingTF(numFeatures=BUCKETS, inputCol="f", outputCol="tf").transform(
-        frame.withColumn("f", features(tokens(F.col("text")))).drop("text"))
-    return Normalizer(p=1.0, inputCol="tf", outputCol="x").transform(counted).drop("f", "tf")
-
-
 def score_toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                    label_col: str = "toxic", parts: int = 4, part: int = 2, threshold: float = 0.3) -> DataFrame:
     """``(doc_id, held_out, score, predicted)``, one row per row of ``docs``.
@@ -209,8 +211,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id"
         .where(F.col("label").isin(0, 1) & ~in_fold(F.col("doc_id"), parts, part)) \
         .groupBy("doc_id").agg(F.max("label").alias("label"))
     counts = {r["label"]: r["n"] for r in seen.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    learning = rows.where(~F.col("held_out")).select("doc_id", "text")
-    labelled = learning.join(seen, "doc_id").withColumnRenamed("label", "toxic")
+    labelled = rows.where(~F.col("held_out")).select("doc_id", "text").join(seen, "doc_id").withColumnRenamed("label", "toxic")
     held = {0, 1} <= {r["toxic"] for r in labelled.select("toxic").distinct().collect()}
     if not held:
         share = counts.get(1, 0) / max(sum(counts.values()), 1)
@@ -218,14 +219,14 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id"
         return out.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
     lexicon = learn_lexicon(_at_most(labelled, LEXICON_ROWS), LEXICON)
     kind = rows.schema["doc_id"].dataType.simpleString()
-    voted = written(learning.mapInArrow(_vote_batches(lexicon), f"doc_id {kind}, votes string")
-                    .join(seen, "doc_id", "left").select("doc_id", "votes", F.coalesce("label", F.lit(-1)).alias("label")), "toxic-votes")
-    weak = F.broadcast(posterior_labels(voted))     # at most 3^10 rows
-    fit = _at_most(learning, FIT_ROWS).join(voted.dropDuplicates(["doc_id"]), "doc_id").join(weak, ["votes", "label"])
-    split = F.explode(F.array(F.struct(F.lit(1.0).alias("y"), F.col("toxic").alias("w")),
-                              F.struct(F.lit(0.0).alias("y"), (1 - F.col("toxic")).alias("w"))))
-    train = written(fit.select("text", split.alias("s")).select("text", "s.y", "s.w").where("w > 0.001"), "toxic-train")
-    model = LogisticRegression(featuresCol="x", labelCol="y", weightCol="w", regParam=1e-3, maxIter=60).fit(_hashed(train).persist())
-    scored = model.transform(_hashed(rows))
-    out = scored.select("doc_id", "held_out", F.element_at(vector_to_array("probability"), 2).alias("score"))
+    looked = written(rows.mapInArrow(_look_batches(lexicon), f"doc_id {kind}, held_out boolean, votes string, x array<double>")
+                     .join(seen, "doc_id", "left").withColumn("label", F.coalesce("label", F.lit(-1)))
+                     .withColumn("x", array_to_vector("x")), "toxic-looked")
+    learning = looked.where("not held_out")
+    weak = F.broadcast(posterior_labels(learning.select("votes", "label")))     # at most 3^10 rows
+    soft = F.explode(F.array(F.struct(F.lit(1.0).alias("y"), F.col("toxic").alias("w")),
+                             F.struct(F.lit(0.0).alias("y"), (1 - F.col("toxic")).alias("w"))))
+    train = learning.join(weak, ["votes", "label"]).select("x", soft.alias("s")).select("x", "s.y", "s.w").where("w > 0.001")
+    model = LogisticRegression(featuresCol="x", labelCol="y", weightCol="w", regParam=1e-4, maxIter=100).fit(train)
+    out = model.transform(looked).select("doc_id", "held_out", F.element_at(vector_to_array("probability"), 2).alias("score"))
     return out.withColumn("predicted", (F.col("score") >= threshold).cast("int"))

@@ -156,7 +156,7 @@ def build_graph(x: np.ndarray) -> list[np.ndarray]:
     return lists
 
 
-def _build_shard(key, table: pa.Table) -> pa.Table:
+def _build_shard(key, table):
     reps = table.column("rep").to_numpy()
     lists = build_graph(unit_rows(table.column("vector")))
     return pa.table({"label": pa.array([key[0].as_py()] * len(reps), pa.int64()), "rep": pa.array(reps),
@@ -234,7 +234,7 @@ def _roots(n: int, u: np.ndarray, v: np.ndarray) -> np.ndarray:
 
 
 def _search_shard(threshold: float):
-    def run(key, table: pa.Table) -> pa.Table:
+    def run(key, table):
         """Rows of two shards of a cluster (``side`` 0: searched, 1: queries; one
         shard with itself has side 0 only) -> links and root of each vector."""
         cluster = key[1].as_py()
