@@ -95,10 +95,10 @@ def test_dictionary_from_all_rows_scaler_from_train(spark, tmp_path):
     raw = read_page_tsv(spark, _tsv(tmp_path, "many.tsv", rows))
     parts, fm, _ = prepare_pages(raw, scale=True)
     # every category is in the dictionary, whatever part its rows fell into
-    assert sorted(fm.stages[0].labels) == ['"news"', '"rare"']
+    assert [r.category for r in fm.dictionary.orderBy("category_index").collect()] == ['"news"', '"rare"']
     for name in ("train", "validation", "test"):
         parts[name].select(features_array().alias("f")).collect()
-    scaler = fm.stages[-1]
+    scaler = fm.scaler
     train_x = [r.x1 for r in parts["_rows"].where("_split = 'train'").collect()]
     assert scaler.mean[2] == pytest.approx(sum(train_x) / len(train_x))
 
@@ -126,7 +126,7 @@ def test_flag_lines_parse(spark):
 
 
 @pytest.mark.parametrize("name", ["clean_numeric", "category_onehot", "page_features", "standard_scale",
-                                  "hash_split", "parse_flag_csv", "score_rows"])
+                                  "hash_split", "parse_flag_csv", "score_rows", "page_tsv", "random_split", "category_index"])
 def test_feature_queries_match_duckdb_small(spark, duck, name):
     from tests.helpers import assert_same
     import __spark_entry__ as E
@@ -138,7 +138,7 @@ def test_large_labels_path_equals_broadcast_path(spark):
     from verdant.sources.pages import labelled_page_rows
     sf = "/root/testdata/sf0.001"
     a = labelled_page_rows(spark, sf)
-    b = labelled_page_rows(spark, sf, max_broadcast_rows=10)
+    b = labelled_page_rows(spark, sf, max_broadcast_bytes=10)
     assert a.columns == b.columns
     assert sorted(a.collect()) == sorted(b.collect())
-    assert sorted(flag_lines(spark, sf).collect()) == sorted(flag_lines(spark, sf, max_broadcast_rows=10).collect())
+    assert sorted(flag_lines(spark, sf).collect()) == sorted(flag_lines(spark, sf, max_broadcast_bytes=10).collect())

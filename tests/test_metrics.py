@@ -107,3 +107,15 @@ def test_large_distinct_scores_many_buckets(spark):
         tp += py
         fp += 1 - py
         assert (rtp, rfp) == (tp, fp)
+
+
+def test_missing_score_fails(spark):
+    rows = spark.createDataFrame([(0.2, 1.0), (None, 1.0), (0.4, 0.0)], "score double, label double")
+    with pytest.raises(Exception, match="no score"):
+        auc(score_curve(rows)).collect()
+
+
+def test_more_buckets_than_default_accuracy(spark):
+    rows = spark.range(4000).selectExpr("cast(id as double) as score", "cast(id % 3 = 0 as double) as label")
+    few, many = (sorted(tuple(r) for r in score_curve(rows, buckets=b).collect()) for b in (1, 2000))
+    assert few == many

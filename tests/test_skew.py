@@ -63,12 +63,15 @@ def test_hot_source_checksum(spark):
         assert out[src] == -(b & 255)
 
 
-def test_broadcast_only_under_bound(spark):
-    small = spark.range(5)
-    big = spark.range(50)
-    assert broadcast_if_small(big, max_rows=10) is big
-    assert broadcast_if_small(small, max_rows=10) is not small
-    assert broadcast_if_small(big, max_rows=10, known_rows=3) is not big
+def test_broadcast_only_under_bound(spark, tmp_path):
+    spark.range(5000).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    jobs = spark.sparkContext.statusTracker()
+    before = set(jobs.getJobIdsForGroup())
+    assert broadcast_if_small(df, max_bytes=10) is df
+    assert broadcast_if_small(df, max_bytes=1 << 20) is not df
+    assert broadcast_if_small(df, max_bytes=10, known_rows=3) is not df
+    assert set(jobs.getJobIdsForGroup()) == before          # decided without a job
 
 
 def test_spread_only_small_inputs(spark, capsys):

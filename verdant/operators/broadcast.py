@@ -1,8 +1,9 @@
 """Broadcast only behind a size check.
 
-A side is hinted for broadcast only when its row count is known (or counted)
-to be below a bound; otherwise the plan is left to Catalyst/AQE, which picks a
-shuffle join, or a broadcast once runtime statistics prove the side small.
+The check reads the optimizer's size estimate in bytes (file sizes for a plain
+scan), so it costs no job. A side whose estimate is above the bound is left to
+Catalyst and AQE, which picks a shuffle join, or a broadcast once runtime
+statistics prove the side small.
 """
 
 from __future__ import annotations
@@ -10,16 +11,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Dimension-style tables above this many rows are never force-broadcast.
-MAX_BROADCAST_ROWS = 1_000_000
+MAX_BROADCAST_BYTES = 32 << 20
+MAX_KNOWN_ROWS = 100_000     # of a table that the driver made itself and whose rows it knows
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
-                       known_rows: int | None = None) -> DataFrame:
-    n = known_rows if known_rows is not None else df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+def estimated_bytes(df: DataFrame) -> int:
+    """Size that the optimizer expects, from table statistics and file sizes."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def is_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """Row count <= ``max_rows`` (reads at most ``max_rows + 1`` rows)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def is_small(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
+    return estimated_bytes(df) <= max_bytes
+
+
+def broadcast_if_small(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES, known_rows: int | None = None) -> DataFrame:
+    small = is_small(df, max_bytes) if known_rows is None else known_rows <= MAX_KNOWN_ROWS
+    return F.broadcast(df) if small else df

@@ -1,25 +1,25 @@
 """Feature engineering on page rows (F1-F4, P5-P6): positional parsing,
 category dictionary, full one-hot, assembly and standard scaling.
 
-Model-side stages are Spark ML transformers (JVM, distributed); the
-dictionary and one-hot also have plain SQL forms used by the oracle queries.
+The category dictionary is a table: it is ranked without a single-task window,
+joined on, and never collected, so the number of categories has no bound. The
+one-hot block is sparse. Encoding, assembly and scaling are Spark ML
+transformers (JVM, distributed).
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, OneHotEncoderModel, StandardScaler, StandardScalerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from verdant.functions.text import question_to_zero, strip_quotes
+from verdant.session import written
 
-# Upper bound on distinct categories: the one-hot block has one slot per
-# category, so this bounds the vector width (and what the indexer collects).
-MAX_CATEGORIES = 10_000
+UNSEEN = ("error", "keep", "drop")
 
 
 @dataclass(frozen=True)
@@ -89,18 +89,20 @@ def _numeric_names(raw_names) -> list[str]:
     return names
 
 
-def category_dictionary(df: DataFrame, col: str = "category",
-                        max_categories: int = MAX_CATEGORIES) -> DataFrame:
+def category_dictionary(df: DataFrame, col: str = "category") -> DataFrame:
     """``(category, category_index)``, 0-based, alphabetical.
 
-    The distinct set is size-checked before the (single-partition) ranking
-    window, which therefore never holds more than ``max_categories`` rows."""
-    distinct = df.select(F.col(col).alias("category")).distinct()
-    n = distinct.limit(max_categories + 1).count()
-    if n > max_categories:
-        raise ValueError(f"more than {max_categories} distinct categories in {col}")
-    w = Window.orderBy("category")
-    return distinct.select("category", (F.row_number().over(w) - 1).alias("category_index"))
+    The distinct categories are range-partitioned and sorted; an index is the
+    number of rows in the partitions before (one row per partition is summed)
+    plus the place in the partition."""
+    ordered = written(df.select(F.col(col).alias("category")).where(F.col("category").isNotNull()).distinct()
+                      .orderBy("category").select("category", F.monotonically_increasing_id().alias("id"))
+                      .withColumn("part", F.shiftright("id", 33)), "categories")
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = ordered.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    offsets = sizes.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    return ordered.join(offsets, "part").select(
+        "category", (F.col("offset") + F.col("id").bitwiseAND((1 << 33) - 1)).cast("int").alias("category_index"))
 
 
 def one_hot_array(index: Column, width: int) -> Column:
@@ -109,53 +111,58 @@ def one_hot_array(index: Column, width: int) -> Column:
                        lambda i: F.when(i == index, F.lit(1.0)).otherwise(F.lit(0.0)))
 
 
-def check_category_count(df: DataFrame, col: str = "category",
-                         max_categories: int = MAX_CATEGORIES) -> int:
-    n = df.select(col).distinct().limit(max_categories + 1).count()
-    if n > max_categories:
-        raise ValueError(f"more than {max_categories} distinct categories in {col}")
-    return n
-
-
-def feature_pipeline(numerics: list[str] | tuple[str, ...], scale: bool,
-                     unseen: str = "error") -> Pipeline:
-    """F1-F4 as one Spark ML pipeline.
-
-    StringIndexer (alphabetical, so the layout is reproducible) ->
-    OneHotEncoder(dropLast=False): one slot per category, none dropped ->
-    VectorAssembler([one-hot, numerics...]) -> optional StandardScaler with
-    mean and unit sample std (a constant column scales to 0.0).
-    ``unseen='error'`` fails on a category not seen in fitting; ``keep``
-    gives it an extra all-zero-trained slot."""
-    stages = [
-        StringIndexer(inputCol="category", outputCol="category_index",
-                      stringOrderType="alphabetAsc", handleInvalid=unseen),
-        OneHotEncoder(inputCols=["category_index"], outputCols=["category_vec"], dropLast=False,
-                      handleInvalid="keep" if unseen == "keep" else "error"),
-        VectorAssembler(inputCols=["category_vec", *numerics],
-                        outputCol="raw_features" if scale else "features"),
-    ]
-    if scale:
-        stages.append(StandardScaler(inputCol="raw_features", outputCol="features",
-                                     withMean=True, withStd=True))
-    return Pipeline(stages=stages)
+def with_category_index(df: DataFrame, dictionary: DataFrame, unseen: str = "error") -> DataFrame:
+    """``category_index`` (double) by a join with the dictionary. A category that
+    it does not hold fails (``error``), gets the index after the last
+    (``keep``), or its row goes (``drop``)."""
+    if unseen not in UNSEEN:
+        raise ValueError(f"unseen must be one of {UNSEEN}")
+    found = dictionary.select(F.col("category"), F.col("category_index").cast("double").alias("category_index"))
+    if unseen == "drop":
+        return df.join(found, "category")
+    out = df.join(found, "category", "left")
+    if unseen == "error":
+        missing = F.raise_error(F.concat(F.lit("unseen category "), F.coalesce("category", F.lit("NULL")))).cast("double")
+        return out.withColumn("category_index", F.coalesce("category_index", missing))
+    return out.withColumn("category_index", F.coalesce("category_index", F.lit(float(dictionary.count()))))
+
+
+@dataclass
+class FeatureModel:
+    """Fitted F1-F4: dictionary, one-hot (one slot per category, none dropped),
+    assembly of ``[one-hot, numerics...]`` and, if fitted, standard scaling."""
+    dictionary: DataFrame
+    encoder: OneHotEncoderModel
+    numerics: tuple[str, ...]
+    unseen: str = "error"
+    scaler: StandardScalerModel | None = None
+
+    def assembled(self, df: DataFrame, output: str = "raw_features") -> DataFrame:
+        hot = self.encoder.transform(with_category_index(df, self.dictionary, self.unseen))
+        return VectorAssembler(inputCols=["category_vec", *self.numerics], outputCol=output).transform(hot)
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return self.scaler.transform(self.assembled(df)) if self.scaler else self.assembled(df, "features")
+
+
+def fit_scaler(assembled: DataFrame) -> StandardScalerModel:
+    """mean and sample standard deviation; a constant column scales to 0.0."""
+    return StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True).fit(assembled)
 
 
 def fit_features(df: DataFrame, numerics, scale: bool, unseen: str = "error",
-                 scale_rows: DataFrame | None = None) -> PipelineModel:
-    """Fit the feature pipeline. The category dictionary comes from all of
-    ``df`` (it uses no labels); the scaler, when asked, is fitted on
-    ``scale_rows`` (e.g. the training part only) or on ``df``."""
-    check_category_count(df)
-    base = feature_pipeline(numerics, False, unseen)
+                 scale_rows: DataFrame | None = None) -> FeatureModel:
+    """Fit the feature steps. The category dictionary comes from all of ``df``
+    (it uses no labels); the scaler, when asked, is fitted on ``scale_rows``
+    (e.g. the training part only) or on ``df``."""
+    dictionary = written(category_dictionary(df), "category-index")
+    encoder = OneHotEncoder(inputCols=["category_index"], outputCols=["category_vec"], dropLast=False,
+                            handleInvalid="keep" if unseen == "keep" else "error")
+    model = FeatureModel(dictionary, encoder.fit(dictionary.withColumn("category_index", F.col("category_index").cast("double"))),
+                         tuple(numerics), unseen)
     if scale:
-        base.getStages()[-1].setOutputCol("raw_features")
-    base_model = base.fit(df)
-    if not scale:
-        return base_model
-    scaler = StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True)
-    fitted = scaler.fit(base_model.transform(df if scale_rows is None else scale_rows))
-    return PipelineModel(stages=[*base_model.stages, fitted])
+        model.scaler = fit_scaler(model.assembled(df if scale_rows is None else scale_rows))
+    return model
 
 
 def continuous(features: str = "features") -> Column:

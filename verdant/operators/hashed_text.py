@@ -5,8 +5,9 @@ Terms are hashed into ``num_features`` buckets with Spark's Murmur3
 expression serves training and scoring, so both see one feature space.
 
 * ``hashed_tf``: ``(id, bucket, tf)`` rows, a partial/final aggregate.
-* Training packs each document's buckets into one sparse LibSVM line
-  (bounded by ``num_features`` entries per document) for the SGD solver.
+* Training packs each row's buckets into one sparse labelled point (bounded by
+  ``num_features`` entries) for the SGD solver. Rows are told apart by a row
+  number of their own, so documents that share an id stay apart.
 * Scoring never builds vectors: tokens are joined to the weight table
   (``num_features`` rows, a proven bound, broadcast) and summed per document.
 """
@@ -19,8 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from verdant.functions.vectors import sigmoid
-from verdant.operators.broadcast import broadcast_if_small
-from verdant.operators.learners import Fitted, libsvm_points, sized
+from verdant.operators.learners import Fitted, load_points
 from verdant.session import scratch_path
 
 NUM_FEATURES = 25000
@@ -39,11 +39,21 @@ def hashed_tf(docs: DataFrame, id_col: str, tokens: Column,
             .groupBy("id", "bucket").agg(F.count(F.lit(1)).cast("double").alias("tf")))
 
 
-def _packed(tf: DataFrame) -> DataFrame:
-    """One row per document: sorted bucket and count arrays (<= num_features)."""
-    return (tf.groupBy("id")
-            .agg(F.sort_array(F.collect_list(F.struct("bucket", "tf"))).alias("e"))
-            .select("id", F.col("e.bucket").alias("idx"), F.col("e.tf").alias("val")))
+def point_lines(docs: DataFrame, tokens: Column, label: Column, num_features: int = NUM_FEATURES) -> DataFrame:
+    """One line ``(label,(size,[buckets],[counts]))`` per row of ``docs``.
+
+    A row's number is made before the shuffle from its place in its input
+    split, and its label travels along: no join, and a task that runs again
+    makes the same numbers. A row without tokens has no entries."""
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), label.cast("double").alias("y"), tokens.alias("terms"))
+    bucket = F.when(F.col("term").isNotNull(), term_bucket("term", num_features))
+    counts = (rows.select("row", "y", F.explode_outer("terms").alias("term")).select("row", "y", bucket.alias("bucket"))
+              .groupBy("row", "y", "bucket").agg(F.count(F.lit(1)).cast("double").alias("tf")))
+    packed = counts.groupBy("row", "y").agg(F.sort_array(F.collect_list(
+        F.when(F.col("bucket").isNotNull(), F.struct("bucket", "tf")))).alias("e"))
+    listed = lambda c: F.array_join(c.cast("array<string>"), ",")
+    return packed.select(F.concat(F.lit("("), F.col("y").cast("string"), F.lit(f",({num_features},["), listed(F.col("e.bucket")),
+                                  F.lit("],["), listed(F.col("e.tf")), F.lit("]))")).alias("value"))
 
 
 def fit_text_lr_sgd(docs: DataFrame, id_col: str, tokens: Column, label_col: str = "label",
@@ -53,17 +63,9 @@ def fit_text_lr_sgd(docs: DataFrame, id_col: str, tokens: Column, label_col: str
     the no-argument solver: 100 iterations, step 1, full batch, L2 0.01)."""
     from pyspark.mllib.classification import LogisticRegressionWithSGD
 
-    labels = docs.select(F.col(id_col).alias("id"), F.col(label_col).cast("double").alias("label"))
-    packed = _packed(hashed_tf(docs, id_col, tokens, num_features))
-    rows = labels.join(packed, "id", "left")
-    # LibSVM lines ``label i:v ...`` (1-based, ascending) written to shared
-    # storage and parsed by the JVM: no Python per row.
-    pairs = F.transform(F.arrays_zip("idx", "val"),
-                        lambda e: F.concat((e["idx"] + 1).cast("string"), F.lit(":"), e["val"].cast("string")))
-    line = F.concat_ws(" ", F.col("label").cast("string"), F.coalesce(pairs, F.array().cast("array<string>")))
     path = scratch_path(docs.sparkSession, "hashed-points")
-    sized(rows.select(line.alias("value"))).write.text(path)
-    rdd = libsvm_points(docs.sparkSession, path, num_features)
+    point_lines(docs, tokens, F.col(label_col), num_features).write.text(path)
+    rdd = load_points(docs.sparkSession, path)
     t0 = time.perf_counter()
     # Labels are 1.0/0.0 by construction: start from zeros, skip re-validation.
     model = LogisticRegressionWithSGD.train(rdd, iterations=iterations, step=step,
@@ -87,16 +89,17 @@ class HashedLinearScorer:
         self.threshold = threshold
         nz = [(i, float(x)) for i, x in enumerate(weights) if x != 0.0]
         self.weights = spark.createDataFrame(nz, "bucket int, w double")
-        self.n_weights = len(nz)
 
     def score(self, docs: DataFrame, id_col: str, tokens: Column) -> DataFrame:
-        toks = docs.select(F.col(id_col).alias("id"), F.explode_outer(tokens).alias("term"))
+        # Rows that share an id are scored each.
+        rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), tokens.alias("terms"))
+        toks = rows.select("row", "id", F.explode_outer("terms").alias("term"))
         # hash(NULL) is the seed, so a document without tokens must not hash.
         b = toks.withColumn("bucket", F.when(F.col("term").isNotNull(),
                                              term_bucket("term", self.num_features).cast("int")))
-        wt = broadcast_if_small(self.weights, max_rows=self.num_features, known_rows=self.n_weights)
+        wt = F.broadcast(self.weights)      # at most num_features rows
         m = (b.join(wt, "bucket", "left")
-             .groupBy("id").agg(F.coalesce(F.sum("w"), F.lit(0.0)).alias("m")))
+             .groupBy("row", "id").agg(F.coalesce(F.sum("w"), F.lit(0.0)).alias("m")))
         s = sigmoid(F.col("m") + F.lit(self.intercept))
         return m.select(F.col("id").alias(id_col), s.alias("score"),
                         (s > F.lit(self.threshold)).cast("double").alias("prediction"))

@@ -4,14 +4,16 @@
 margin or probability of class 1) and ``prediction`` (0.0/1.0).
 
 * SGD logistic regression and SGD linear SVM keep the step size and
-  mini-batch knobs, which only the RDD-based ``pyspark.mllib`` API has. The
-  solver runs in the JVM on labelled points that Spark writes as LibSVM text
-  to the shared checkpoint folder and parses back in the JVM (once per fit,
-  or once per grid search). Their scoring is a dot product in a SQL
-  expression (no Python per row), since the weight vector is small and fixed
-  after training.
+  mini-batch knobs, which only the RDD-based ``pyspark.mllib`` API has. Their
+  rows are written as labelled-point text by SQL expressions to the shared
+  checkpoint folder, once per fit or grid search, and parsed back by the JVM
+  loader. Python sees a single row (the solver wrapper's type check). Their
+  scoring is a SQL expression over the fitted weights.
 * L-BFGS / OWL-QN logistic regression, linear SVC and decision trees use the
   DataFrame ``pyspark.ml`` estimators directly.
+
+No learner changes the partitioning of its input: a training set that comes in
+n partitions is trained in n tasks.
 """
 
 from __future__ import annotations
@@ -47,22 +49,6 @@ class Fitted:
         return self.scorer(df)
 
 
-# Rows per solver partition. Iterative solvers run one distributed aggregate
-# per iteration; tiny partitions only add scheduling (and an extra tree-
-# aggregate stage), while big inputs still get the cluster's full parallelism.
-ROWS_PER_PARTITION = 50_000
-
-
-def sized(df: DataFrame, rows_per_partition: int = ROWS_PER_PARTITION) -> DataFrame:
-    """Coalesce (no shuffle) to ~``rows_per_partition`` rows per partition,
-    between 1 and the cluster's default parallelism."""
-    par = df.sparkSession.sparkContext.defaultParallelism
-    n = df.count()
-    target = max(1, min(par, -(-n // rows_per_partition)))
-    # coalesce never adds partitions: with <= target it changes nothing.
-    return df.coalesce(target)
-
-
 def _timed(fn):
     t0 = time.perf_counter()
     out = fn()
@@ -79,11 +65,11 @@ def vector_size(df: DataFrame, features: str = "features") -> int:
     return int(row["n"]) if row else 0
 
 
-def libsvm_points(spark, path: str, num_features: int):
-    """RDD[LabeledPoint] parsed in the JVM from LibSVM text (no Python
-    worker touches the rows)."""
+def load_points(spark, path: str):
+    """RDD of labelled points from text ``(label,features)``. The loader and its
+    parser are the JVM's: the lineage holds no Python step."""
     from pyspark.mllib.util import MLUtils
-    return MLUtils.loadLibSVMFile(spark.sparkContext, path, numFeatures=num_features)
+    return MLUtils.loadLabeledPoints(spark.sparkContext, path)
 
 
 @dataclass
@@ -108,24 +94,19 @@ class LabeledPoints:
 def labeled_points(df: DataFrame, label: str = "label", features: str = "features") -> LabeledPoints:
     """DataFrame -> labelled points for the RDD-based solvers.
 
-    The rows are written with Spark's LibSVM writer to the shared checkpoint
-    folder (exact decimal form of every double) and loaded back by the JVM
-    parser: no Python per row, and the solver's input no longer depends on
-    the lineage that produced it. Labels are checked (0/1) and rows counted
-    in one aggregation, which also sizes the partitions."""
+    Each row becomes the line ``(label,vector)`` (sparse vectors stay sparse,
+    doubles in their exact decimal form), written at the input's own
+    parallelism and loaded by the JVM. A label other than 0 or 1 fails the
+    write."""
     spark = df.sparkSession
     y = F.col(label).cast("double")
-    stats = df.agg(F.count(F.lit(1)).alias("n"),
-                   F.sum(F.coalesce(~y.isin(0.0, 1.0), F.lit(True)).cast("long")).alias("bad")).first()
-    if stats["bad"]:
-        raise ValueError(f"{stats['bad']} labels are not 0 or 1")
-    par = spark.sparkContext.defaultParallelism
-    target = max(1, min(par, -(-stats["n"] // ROWS_PER_PARTITION)))
+    checked = F.when(y.isin(0.0, 1.0), y).otherwise(F.raise_error(
+        F.concat(F.lit("label must be 0 or 1, got "), F.coalesce(F.col(label).cast("string"), F.lit("NULL")))).cast("double"))
     n = vector_size(df, features)
     path = scratch_path(spark, "labeled-points")
-    df.select(y.alias("label"), F.col(features).alias("features")).coalesce(target) \
-        .write.format("libsvm").save(path)
-    return LabeledPoints(libsvm_points(spark, path, n), n)
+    df.select(F.concat(F.lit("("), checked.cast("string"), F.lit(","), F.col(features).cast("string"), F.lit(")"))
+              .alias("value")).write.text(path)
+    return LabeledPoints(load_points(spark, path), n)
 
 
 @dataclass
@@ -185,43 +166,39 @@ def _ml_scorer(model, score_from: str = "probability"):
 
 
 def fit_lr_lbfgs(df: DataFrame, reg: float = 0.0, intercept: bool = False,
-                 max_iter: int = 100, presized: bool = False) -> Fitted:
+                 max_iter: int = 100) -> Fitted:
     """M2: logistic regression by L-BFGS, two classes, no intercept by default."""
     est = LogisticRegression(maxIter=max_iter, regParam=reg, fitIntercept=intercept,
                              family="binomial", standardization=False)
-    df = df if presized else sized(df)
     model, ms = _timed(lambda: est.fit(df))
     return Fitted("lr_lbfgs", {"reg": reg, "intercept": intercept}, model, ms, _ml_scorer(model))
 
 
 def fit_lr_elasticnet(df: DataFrame, max_iter: int = 10, reg: float = 0.3,
-                      elastic_net: float = 0.8, presized: bool = False) -> Fitted:
+                      elastic_net: float = 0.8) -> Fitted:
     """M3: logistic regression with an elastic-net penalty (training summary
     available as ``fitted.model.summary``)."""
     est = LogisticRegression(maxIter=max_iter, regParam=reg, elasticNetParam=elastic_net)
-    df = df if presized else sized(df)
     model, ms = _timed(lambda: est.fit(df))
     return Fitted("lr_elasticnet", {"max_iter": max_iter, "reg": reg, "elastic_net": elastic_net},
                   model, ms, _ml_scorer(model))
 
 
-def fit_linear_svc(df: DataFrame, max_iter: int = 25, reg: float = 1.0, presized: bool = False) -> Fitted:
+def fit_linear_svc(df: DataFrame, max_iter: int = 25, reg: float = 1.0) -> Fitted:
     """M4 (DataFrame form): linear SVM by OWL-QN, no step size."""
     est = LinearSVC(maxIter=max_iter, regParam=reg, fitIntercept=False, standardization=False)
-    df = df if presized else sized(df)
     model, ms = _timed(lambda: est.fit(df))
     return Fitted("linear_svc", {"max_iter": max_iter, "reg": reg}, model, ms,
                   _ml_scorer(model, "rawPrediction"))
 
 
 def fit_decision_tree(df: DataFrame, impurity: str = "entropy", max_depth: int = 10,
-                      max_bins: int = 10, seed: int = 0, presized: bool = False) -> Fitted:
+                      max_bins: int = 10, seed: int = 0) -> Fitted:
     """M5: decision tree, all features continuous (attribute metadata from
     one-hot encoding is dropped, as with an empty categorical-feature map)."""
     est = DecisionTreeClassifier(impurity=impurity, maxDepth=int(max_depth), maxBins=int(max_bins),
                                  seed=seed)
     cont = df.withColumn("features", continuous("features"))
-    cont = cont if presized else sized(cont)
     model, ms = _timed(lambda: est.fit(cont))
 
     def score(d: DataFrame) -> DataFrame:

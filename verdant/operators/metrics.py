@@ -6,7 +6,7 @@ every distinct score into one task, so ``score_curve`` runs an exact
 distributed prefix sum instead:
 
 1. partial + final aggregate by score (a hot score costs one row per task),
-   kept, so the input is read once;
+   written to the scratch folder, so the input is read once;
 2. score buckets from approximate quantiles of the distinct scores
    (``Bucketizer``: binary search);
 3. cumulative window *per bucket* (one bucket ~ one task's worth of rows);
@@ -19,15 +19,11 @@ not depend on summation order.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from verdant.operators.broadcast import broadcast_if_small
-
-DEFAULT_BUCKETS = 64
-QUANTILE_ERROR = 0.001
+from verdant.session import written
 
 
 def _d(c: Column) -> Column:
@@ -37,26 +33,26 @@ def _d(c: Column) -> Column:
 def score_curve(df: DataFrame, score: str = "score", label: str = "label",
                 buckets: int | None = None) -> DataFrame:
     """Per distinct score, descending: ``score, pos, neg, tp, fp, P, N`` where
-    ``tp``/``fp`` count positives/negatives with a score >= this one."""
+    ``tp``/``fp`` count positives/negatives with a score >= this one. A row
+    without a score fails: leaving it out would change every count."""
     spark = df.sparkSession
     if buckets is None:
-        buckets = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), 4096))
+        buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
     lab = F.col(label).cast("long")
     # The input (often a model's scoring of a large set) is read once: its
-    # per-score aggregate (<= one row per distinct score) is kept and both the
-    # bucket bounds and the curve are computed from it.
-    g = (df.where(F.col(score).isNotNull())
-         .groupBy(F.col(score).alias("score"))
-         .agg(F.sum(lab).alias("pos"), F.sum(F.lit(1) - lab).alias("neg"))
-         .persist(StorageLevel.MEMORY_AND_DISK))
+    # per-score aggregate (<= one row per distinct score) is written and both
+    # the bucket bounds and the curve are computed from it.
+    kind = df.schema[score].dataType
+    known = F.coalesce(F.col(score), F.raise_error(F.lit("a row has no score")).cast(kind))
+    g = written(df.groupBy(known.alias("score"))
+                .agg(F.sum(lab).alias("pos"), F.sum(F.lit(1) - lab).alias("neg")), "scores")
 
     bounds = []
     if buckets > 1:
         # Quantiles of the distinct scores: equal numbers of aggregated rows
         # per bucket, i.e. balanced window tasks.
         probs = [i / buckets for i in range(1, buckets)]
-        row = g.agg(F.percentile_approx(_d(F.col("score")), probs,
-                                        int(1 / QUANTILE_ERROR)).alias("q")).first()
+        row = g.agg(F.percentile_approx(_d(F.col("score")), probs, max(1000, 4 * buckets)).alias("q")).first()
         bounds = sorted({b for b in (row["q"] or []) if b is not None})
     splits = [float("-inf"), *bounds, float("inf")]
     nb = len(splits) - 1
@@ -85,7 +81,7 @@ def score_curve(df: DataFrame, score: str = "score", label: str = "label",
         F.coalesce(F.sum("bneg").over(wb), F.lit(0)).alias("oneg"),
         F.sum("bpos").over(wall).alias("P"),
         F.sum("bneg").over(wall).alias("N"))
-    j = within.join(broadcast_if_small(offs, known_rows=nb), "bucket")
+    j = within.join(F.broadcast(offs), "bucket")     # at most one row per bucket
     return j.select("score", "pos", "neg",
                     (F.col("opos") + F.col("cpos")).alias("tp"),
                     (F.col("oneg") + F.col("cneg")).alias("fp"),

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from verdant.operators.learners import RDD_LEARNERS, Fitted, fit, labeled_points, sized
+from verdant.operators.learners import RDD_LEARNERS, Fitted, fit, labeled_points
 from verdant.operators.metrics import auc_hard
 
 # Sweeps and cross grids of the classic page jobs.
@@ -48,6 +48,11 @@ PLANS = {
 }
 
 
+# Every running SGD fit keeps its own copy of the training set (the solver's
+# bridge persists it), so only a few run at a time.
+CONCURRENT_FITS = 2
+
+
 def expand(grid: dict[str, list]) -> list[dict]:
     """Cross product in the nested-loop order of the keys (first key outermost)."""
     keys = list(grid)
@@ -68,19 +73,14 @@ class GridPoint:
 
 
 def run_points(learner: str, train: DataFrame, valid: DataFrame, points: list[dict],
-               parallelism: int | None = None) -> list[GridPoint]:
-    """Fit and evaluate every grid point; ``parallelism`` concurrent fits
-    (default: the cluster's default parallelism, capped at 16)."""
-    if parallelism is None:
-        parallelism = min(16, train.sparkSession.sparkContext.defaultParallelism)
-    shared = {}
+               parallelism: int = CONCURRENT_FITS, converted=None) -> list[GridPoint]:
+    """Fit and evaluate every grid point, ``parallelism`` fits at a time.
+    ``converted``: the training set already converted for the RDD learners."""
+    shared, own = {}, None
     if learner in RDD_LEARNERS:
-        # One conversion (a written LibSVM table), cached, for every grid point.
-        shared["points"] = labeled_points(train).cache()
-    else:
-        # One count sizes the partitions for every grid point.
-        train = sized(train)
-        shared["presized"] = True
+        # One conversion (a written table), cached, for every grid point.
+        own = None if converted is not None else labeled_points(train).cache()
+        shared["points"] = converted if converted is not None else own
 
     def one(i_p):
         i, p = i_p
@@ -90,8 +90,8 @@ def run_points(learner: str, train: DataFrame, valid: DataFrame, points: list[di
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
             return list(ex.map(one, enumerate(points)))
     finally:
-        if "points" in shared:
-            shared["points"].unpersist()
+        if own is not None:
+            own.unpersist()
 
 
 def pick_best(points: list[GridPoint]) -> GridPoint:
@@ -100,36 +100,42 @@ def pick_best(points: list[GridPoint]) -> GridPoint:
 
 
 def sweep(spark: SparkSession, learner: str, train: DataFrame, valid: DataFrame,
-          name: str, grid: dict[str, list], parallelism: int | None = None) -> DataFrame:
+          name: str, grid: dict[str, list], parallelism: int = CONCURRENT_FITS, converted=None) -> DataFrame:
     """Vary one parameter; report ``(param, value, auc, train_ms)``."""
-    pts = run_points(learner, train, valid, expand(grid), parallelism)
+    pts = run_points(learner, train, valid, expand(grid), parallelism, converted)
     rows = [(name, str(g.params[name]), g.auc, float(g.train_ms)) for g in pts]
     return spark.createDataFrame(rows, "param string, value string, auc double, train_ms double")
 
 
 def cross_grid(learner: str, train: DataFrame, valid: DataFrame, grid: dict[str, list],
-               parallelism: int | None = None, refit: bool = True) -> tuple[Fitted | None, GridPoint, list[GridPoint]]:
+               parallelism: int = CONCURRENT_FITS, refit: bool = True, converted=None) -> tuple[Fitted | None, GridPoint, list[GridPoint]]:
     """Evaluate the full cross grid on ``valid``; refit the best
     parameters on train ∪ validation (the corrected refit)."""
-    pts = run_points(learner, train, valid, expand(grid), parallelism)
+    pts = run_points(learner, train, valid, expand(grid), parallelism, converted)
     best = pick_best(pts)
     model = fit(learner, train.unionByName(valid), **best.params) if refit else None
     return model, best, pts
 
 
 def tune(spark: SparkSession, learner: str, train: DataFrame, valid: DataFrame,
-         sweeps=None, grid=None, parallelism: int | None = None,
+         sweeps=None, grid=None, parallelism: int = CONCURRENT_FITS,
          on_sweep: Callable[[DataFrame], None] | None = None):
     """G6 tuning branch: all sweeps, then the cross grid, then the refit.
     Returns ``(model, best_point, sweep_report)``."""
     default_sweeps, default_grid = PLANS[learner]
     sweeps = default_sweeps if sweeps is None else sweeps
     grid = default_grid if grid is None else grid
-    reports = [sweep(spark, learner, train, valid, name, g, parallelism) for name, g in sweeps]
-    report = reports[0]
-    for r in reports[1:]:
-        report = report.unionByName(r)
-    if on_sweep:
-        on_sweep(report)
-    model, best, _ = cross_grid(learner, train, valid, grid, parallelism)
+    # Converted once for all sweeps and the grid.
+    converted = labeled_points(train).cache() if learner in RDD_LEARNERS else None
+    try:
+        reports = [sweep(spark, learner, train, valid, name, g, parallelism, converted) for name, g in sweeps]
+        report = reports[0]
+        for r in reports[1:]:
+            report = report.unionByName(r)
+        if on_sweep:
+            on_sweep(report)
+        model, best, _ = cross_grid(learner, train, valid, grid, parallelism, converted=converted)
+    finally:
+        if converted is not None:
+            converted.unpersist()
     return model, best, report

@@ -1,9 +1,10 @@
 """Session construction and cluster-safe scratch locations.
 
 The library never invents a machine-local folder on a cluster: lineage is cut
-with ``DataFrame.checkpoint()`` into ``spark.checkpoint.dir`` (or the
-SparkContext checkpoint dir), which the cluster must name. Only when neither is
-set (tests, local runs) do we create one under the system temp folder.
+by a table written under ``spark.checkpoint.dir`` (or the SparkContext
+checkpoint dir), which the cluster must name. Only a ``local`` master (tests,
+development) may leave both unset; it gets a folder under the system temp
+folder. Any other master raises.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
     "spark.ui.enabled": "false",
@@ -21,6 +22,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
@@ -47,7 +49,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Checkpoint directory from the session; set a local one only if unset."""
+    """Checkpoint directory from the session; a local one is made only if it is
+    unset and the master is local."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -56,7 +59,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return configured
-    # Unset: local test/dev run only.
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="verdant-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(local)
     return local
@@ -67,5 +71,9 @@ def scratch_path(spark: SparkSession, prefix: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{prefix}-{uuid.uuid4().hex}"
 
 
-def default_parallelism(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+def written(df: DataFrame, prefix: str) -> DataFrame:
+    """Write ``df`` under the checkpoint directory and read it back: it is
+    computed once, its lineage is cut, and nothing stays cached."""
+    path = scratch_path(df.sparkSession, prefix)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from verdant.operators.broadcast import MAX_BROADCAST_ROWS, is_small
+from verdant.operators.broadcast import MAX_BROADCAST_BYTES, is_small
 from verdant.sources.tables import spread, table
 
 FLAG_DDL = ("barcode STRING, m1 INT, m2 INT, m3 INT, m4 INT, m5 INT, m6 INT, label INT")
@@ -28,14 +28,14 @@ def _doc_facts(d: DataFrame, *keep: str) -> DataFrame:
 
 
 def flag_lines(spark: SparkSession, sf_dir: str,
-               max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+               max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """One CSV line per labelled document; the six 0/1 flags are simple
     document facts (language, length, toxicity, digits, '@', quotes), the
-    label is the quality mark. Labels under a counted bound are broadcast;
+    label is the quality mark. Labels whose files are under a bound are broadcast;
     beyond it the facts are computed map-side and only they are shuffled."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "n_chars")
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
-    if is_small(labels, max_broadcast_rows):
+    if is_small(labels, max_broadcast_bytes):
         j = spread(docs.join(F.broadcast(labels), "doc_id"), "doc_id", like=docs)
         facts = _doc_facts(j, "quality", "toxic")
     else:
@@ -46,8 +46,8 @@ def flag_lines(spark: SparkSession, sf_dir: str,
 
 
 def parse_flags(lines: DataFrame, text_col: str = "value") -> DataFrame:
-    """CSV line -> ``(barcode, label double, m1..m6 double)``."""
-    rec = F.from_csv(F.col(text_col), FLAG_DDL)
+    """CSV line -> ``(barcode, label double, m1..m6 double)``; a field that is no number fails."""
+    rec = F.from_csv(F.col(text_col), FLAG_DDL, {"mode": "FAILFAST"})
     return lines.select(rec.alias("r")).select(
         F.col("r.barcode").alias("barcode"),
         F.col("r.label").cast("double").alias("label"),

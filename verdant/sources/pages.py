@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from verdant.functions.features import TEXT_FEATURES
-from verdant.operators.broadcast import MAX_BROADCAST_ROWS, is_small
+from verdant.operators.broadcast import MAX_BROADCAST_BYTES, is_small
 from verdant.sources.tables import spread, table
 
 LANG_PATTERN = r'<html lang="(\w+)"'
@@ -28,6 +28,12 @@ def read_page_tsv(spark: SparkSession, path: str) -> DataFrame:
             .option("escape", "").option("inferSchema", False).csv(path))
 
 
+def write_page_tsv(df: DataFrame, path: str) -> None:
+    """The layout that ``read_page_tsv`` reads: one header per file, fields as they are."""
+    (df.write.option("sep", "\t").option("header", True).option("quote", "").option("escapeQuotes", False)
+     .option("emptyValue", "").csv(path))
+
+
 def _quoted(c: Column) -> Column:
     return F.concat(F.lit('"'), c, F.lit('"'))
 
@@ -55,18 +61,18 @@ def _doc_fields(d: DataFrame, *extra: Column) -> DataFrame:
 
 
 def labelled_page_rows(spark: SparkSession, sf_dir: str,
-                       max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+                       max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """Training stand-in: labelled documents. category = language,
     label = quality.
 
-    Labels under a counted bound are broadcast: documents are filtered
+    Labels whose files are under a bound are broadcast: documents are filtered
     map-side and only labelled texts are processed. Beyond it, the text
     features (a few numbers per document) are computed map-side first and
     only those small rows are shuffled for the join, never the texts."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
     label = _quoted(F.col("quality").cast("string")).alias("label")
-    if is_small(labels, max_broadcast_rows):
+    if is_small(labels, max_broadcast_bytes):
         j = spread(docs.join(F.broadcast(labels), "doc_id"), "doc_id", like=docs)
         return _doc_fields(j, label).drop("doc_id")
     fields = _doc_fields(spread(docs, "doc_id"))
