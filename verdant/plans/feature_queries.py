@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from verdant.operators.broadcast import broadcast_if_small
-from verdant.operators.features import (MAX_CATEGORIES, category_dictionary, features_array,
-                                        fit_features, one_hot_array, page_layout, parse_pages)
+from verdant.operators.features import (category_dictionary, features_array, fit_features, one_hot_array,
+                                        page_layout, parse_pages)
 from verdant.operators.split import split_counts, split_label, union_labelled
 from verdant.functions.text import strip_quotes
 from verdant.plans.registry import query
+from verdant.session import scratch_path, written
 from verdant.sources.flags import flag_lines, parse_flags
-from verdant.sources.pages import labelled_page_rows, unlabelled_page_rows
+from verdant.sources.pages import labelled_page_rows, read_page_tsv, unlabelled_page_rows, write_page_tsv
 from verdant.sources.tables import table
 
 NUMERICS = ("x_chars", "x_lines", "x_tokens", "x_punct", "x_distinct")
@@ -127,12 +127,11 @@ def q_category_index(spark, sf_dir):
 WITH {SQL_RAW_TRAIN}, {SQL_PARSED}
 SELECT url, oh AS category_onehot FROM onehot""")
 def q_category_onehot(spark, sf_dir):
-    """full one-hot (no level dropped) via a broadcast of the size-checked
-    dictionary."""
-    parsed = _parsed_train(spark, sf_dir)
+    """full one-hot (no level dropped) by a join with the dictionary."""
+    parsed = written(_parsed_train(spark, sf_dir), "pages")
     d = category_dictionary(parsed)
     width = d.count()
-    j = parsed.join(broadcast_if_small(d, MAX_CATEGORIES, known_rows=width), "category")
+    j = parsed.join(d, "category")
     return j.select("url", one_hot_array(F.col("category_index"), width).alias("category_onehot"))
 
 
@@ -140,9 +139,9 @@ def q_category_onehot(spark, sf_dir):
 WITH {SQL_RAW_TRAIN}, {SQL_PARSED}
 SELECT url, f AS features FROM feat""")
 def q_page_features(spark, sf_dir):
-    """the fitted Spark ML feature pipeline (indexer, one-hot, assembler)
-    applied to all labelled pages, vector shown as an array."""
-    parsed = _parsed_train(spark, sf_dir)
+    """the fitted feature model (dictionary, one-hot, assembler) applied to
+    all labelled pages, vector shown as an array."""
+    parsed = written(_parsed_train(spark, sf_dir), "pages")
     model = fit_features(parsed, NUMERICS, scale=False)
     return model.transform(parsed).select("url", features_array("features").alias("features"))
 
@@ -158,7 +157,7 @@ scaled AS (
 SELECT url, list(v ORDER BY i) AS features FROM scaled GROUP BY url""")
 def q_standard_scale(spark, sf_dir):
     """StandardScaler(withMean, withStd) on the assembled vectors."""
-    parsed = _parsed_train(spark, sf_dir)
+    parsed = written(_parsed_train(spark, sf_dir), "pages")
     model = fit_features(parsed, NUMERICS, scale=True)
     return model.transform(parsed).select(
         "url", F.transform(features_array("features"), r6).alias("features"))
@@ -188,13 +187,25 @@ def q_split_counts(spark, sf_dir):
     return split_counts(_tagged(spark, sf_dir))
 
 
-@query("random_split")
+@query("random_split", oracle="""
+SELECT 'http://' || d.source || '.example/doc/' || d.doc_id::VARCHAR AS url,
+       CASE WHEN ((((d.doc_id % 2147483648) * 2654435761) % 4294967296) * 10000) >> 32 < 6000 THEN 0 ELSE 1 END AS part
+FROM documents d JOIN labels l ON d.doc_id = l.doc_id""")
 def q_random_split(spark, sf_dir):
-    """R2: seeded sampler split 0.6/0.4 (seed 11) of the labelled pages."""
-    parsed = _parsed_train(spark, sf_dir)
-    a, b = parsed.randomSplit([0.6, 0.4], seed=11)
-    return a.withColumn("part", F.lit(0)).unionByName(b.withColumn("part", F.lit(1))) \
-        .select("url", "part")
+    """R2 as a repeatable split 0.6/0.4 of the labelled pages by a key hash: the
+    same on every cluster size."""
+    raw = labelled_page_rows(spark, sf_dir)
+    part = split_label(strip_quotes("urlid").cast("long"), (0.6, 0.4), ("0", "1"))
+    return raw.select(strip_quotes("url").alias("url"), part.cast("int").alias("part"))
+
+
+@query("page_tsv", oracle=f"WITH {SQL_RAW_TRAIN}, {SQL_PARSED} SELECT * FROM parsed")
+def q_page_tsv(spark, sf_dir):
+    """The labelled pages written as tab-separated files with a header each,
+    read back by the positional reader and parsed."""
+    path = scratch_path(spark, "page-tsv")
+    write_page_tsv(labelled_page_rows(spark, sf_dir), path)
+    return parse_pages(read_page_tsv(spark, path), has_label=True)
 
 
 @query("label_union", oracle="""

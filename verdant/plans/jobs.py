@@ -13,20 +13,20 @@ from typing import Any
 
 from pyspark import StorageLevel
 from pyspark.ml.classification import DecisionTreeClassificationModel
-from pyspark.ml.feature import StandardScaler, StandardScalerModel, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from verdant.functions.text import tokenize_spaces
-from verdant.operators.features import fit_features, page_layout, parse_pages
+from verdant.operators.features import fit_features, fit_scaler, page_layout, parse_pages
 from verdant.operators.hashed_text import fit_text_lr_sgd
 from verdant.operators.learners import (LR_SGD_DEFAULTS, SVM_SGD_DEFAULTS, TREE_DEFAULTS, Fitted,
                                         fit)
-from verdant.operators.metrics import best_threshold, describe_prediction
+from verdant.operators.metrics import auc, best_threshold, describe_prediction, f_measure_by_threshold, score_curve
 from verdant.operators.split import split_label
-from verdant.operators.tune import evaluate, tune
-from verdant.session import ensure_checkpoint_dir
+from verdant.operators.tune import CONCURRENT_FITS, evaluate, tune
+from verdant.session import ensure_checkpoint_dir, written
 from verdant.sources.flags import FLAG_FEATURES, parse_flags
 
 DEFAULTS = {"lr_sgd": LR_SGD_DEFAULTS, "svm_sgd": SVM_SGD_DEFAULTS, "decision_tree": TREE_DEFAULTS}
@@ -46,8 +46,13 @@ class ClassificationRun:
     feature_model: Any = None
 
     def unpersist(self):
-        for p in self.parts.values():
-            p.unpersist()
+        """Release what was kept for training. ``scored`` does not depend on it."""
+        release(self.parts)
+
+
+def release(parts: dict) -> None:
+    for p in parts.values():
+        p.unpersist()
 
 
 def prepare_pages(train_raw: DataFrame, scale: bool, weights=(0.8, 0.1, 0.1),
@@ -78,13 +83,9 @@ def score_pages(score_raw: DataFrame, fm, model: Fitted, refit_scaler: bool = Fa
     ``refit_scaler=True`` instead re-fits the scaler on the scoring rows."""
     page_layout(score_raw, has_label=False)
     parsed = parse_pages(score_raw, has_label=False, on_bad=on_bad)
-    if refit_scaler and isinstance(fm.stages[-1], StandardScalerModel):
-        df = parsed
-        for st in fm.stages[:-1]:
-            df = st.transform(df)
-        scaler = StandardScaler(inputCol="raw_features", outputCol="features", withMean=True,
-                                withStd=True).fit(df)
-        feats = scaler.transform(df)
+    if refit_scaler and fm.scaler is not None:
+        raw = fm.assembled(parsed)
+        feats = fit_scaler(raw).transform(raw)
     else:
         feats = fm.transform(parsed)
     out = model.transform(feats.select("url", "features"))
@@ -93,12 +94,16 @@ def score_pages(score_raw: DataFrame, fm, model: Fitted, refit_scaler: bool = Fa
 
 def run_page_classification(spark: SparkSession, train_raw: DataFrame, score_raw: DataFrame,
                             learner: str = "lr_sgd", tune_params: bool = False,
-                            params: dict | None = None, parallelism: int | None = None,
-                            refit_scaler: bool = False, sweeps=None, grid=None) -> ClassificationRun:
+                            params: dict | None = None, parallelism: int = CONCURRENT_FITS,
+                            refit_scaler: bool = False, sweeps=None, grid=None, on_bad: str = "fail",
+                            unseen: str = "error", measure: bool = True) -> ClassificationRun:
     """Prepare -> train (default parameters, or sweeps + cross grid) ->
-    validation and test AUC -> score the unlabelled pages."""
+    validation and test AUC (unless ``measure`` is false) -> score the
+    unlabelled pages. ``on_bad`` (fail, zero, null) says what a field that is
+    no number becomes, ``unseen`` (error, keep, drop) what a page of an unknown
+    category does."""
     scale = SCALED.get(learner, True)
-    parts, fm, _ = prepare_pages(train_raw, scale)
+    parts, fm, _ = prepare_pages(train_raw, scale, on_bad=on_bad, unseen=unseen)
     train, valid, test = parts["train"], parts["validation"], parts["test"]
     report = None
     if tune_params:
@@ -107,9 +112,9 @@ def run_page_classification(spark: SparkSession, train_raw: DataFrame, score_raw
     else:
         best_params = dict(DEFAULTS.get(learner, {}), **(params or {}))
         model = fit(learner, train, **best_params)
-    v_auc = evaluate(model, valid)
-    t_auc = evaluate(model, test)
-    scored = score_pages(score_raw, fm, model, refit_scaler)
+    v_auc = evaluate(model, valid) if measure else None
+    t_auc = evaluate(model, test) if measure else None
+    scored = score_pages(score_raw, fm, model, refit_scaler, on_bad)
     return ClassificationRun(scored, model, v_auc, t_auc, best_params, report, parts, fm)
 
 
@@ -130,7 +135,8 @@ def embeddings_labelled(emb: DataFrame) -> DataFrame:
 def tree_save_load(spark: SparkSession, model, path: str | None = None, overwrite: bool = False):
     """K3/K4: save the fitted tree under the checkpoint directory (shared
     storage), load it back; returns ``(loaded, path, message)``. An existing
-    path yields a message instead of an exception unless ``overwrite``."""
+    path yields a message and no model (what lies there is another one) unless
+    ``overwrite``."""
     base = ensure_checkpoint_dir(spark)
     path = path or f"{base.rstrip('/')}/models/tree-{uuid.uuid4().hex}"
     w = model.write()
@@ -138,22 +144,22 @@ def tree_save_load(spark: SparkSession, model, path: str | None = None, overwrit
         w = w.overwrite()
     try:
         w.save(path)
-        msg = "saved"
     except Exception as e:  # noqa: BLE001 - reported, as the classic job does
         if "already exists" not in str(e):
             raise
-        msg = "output path already exists; remove it first"
-    return DecisionTreeClassificationModel.load(path), path, msg
+        return None, path, "output path already exists; remove it first"
+    return DecisionTreeClassificationModel.load(path), path, "saved"
 
 
 # ---- J4: elastic-net logistic regression summary -----------------------------
 
-def lr_summary_best_threshold(model) -> float:
-    """E8 on the training summary's F-measure table, then E9 on the model."""
-    fm = model.summary.fMeasureByThreshold.withColumnRenamed("F-Measure", "f_measure")
-    t = best_threshold(fm).first()["threshold"]
-    model.setThreshold(t)
-    return t
+def exact_summary(fitted: Fitted, data: DataFrame) -> tuple[float, float]:
+    """E8-E10 from the exact curve of the predictions on ``data``: sets the
+    model's threshold to the one with the best F-measure; returns it and the AUC."""
+    curve = score_curve(fitted.transform(data).select("score", "label"))
+    t = best_threshold(f_measure_by_threshold(curve)).first()["threshold"]
+    fitted.model.setThreshold(t)
+    return t, auc(curve).first()["auc"]
 
 
 def objective_history(spark: SparkSession, model) -> DataFrame:
@@ -189,14 +195,14 @@ def train_spam_classifier(spam: DataFrame, ham: DataFrame, id_col: str, text_col
 
 def run_word_count(spark: SparkSession, input_path: str, stop_path: str | None = None,
                    counts_out: str | None = None, top_out: str | None = None, k: int = 100):
-    """S3 -> T1 -> P2 -> A2 -> K1, then O1/O2 -> K2. The counts are persisted
+    """S3 -> T1 -> P2 -> A2 -> K1, then O1/O2 -> K2. The counts are written once
     because both outputs read them. Returns ``(counts, top)``."""
     from verdant.operators.wordcount import stop_words_frame, top_words, word_count
     from verdant.sources.sinks import save_ordered_text, save_table
 
     lines = spark.read.text(input_path)
     stop = stop_words_frame(spark, stop_path) if stop_path else None
-    counts = word_count(lines, stop).persist(StorageLevel.MEMORY_AND_DISK)
+    counts = written(word_count(lines, stop), "word-counts")
     if counts_out:
         save_table(counts, counts_out, fmt="csv")
     top = top_words(counts, k)

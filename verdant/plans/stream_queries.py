@@ -9,7 +9,9 @@ from verdant.streaming.error_filter import EVENT_SCHEMA, run_error_filter_once
 @query("stream_error_filter",
        oracle="SELECT event_id, user_id, event_type FROM events WHERE contains(event_type, 'error')")
 def q_stream_error_filter(spark, sf_dir):
-    """The events directory as a file stream, the shared line filter,
-    an exactly-once file sink; the rows written are the result."""
-    out = run_error_filter_once(spark, sf_dir, EVENT_SCHEMA, col="event_type", glob="events.parquet")
+    """The events table (one file or a folder of files) as a file stream,
+    the shared line filter, an exactly-once file sink; the rows written are the
+    result."""
+    # A pattern that only this name matches: the source then takes a file as well as a folder.
+    out = run_error_filter_once(spark, f"{sf_dir.rstrip('/')}/events.parque[t]", EVENT_SCHEMA, col="event_type")
     return out.select("event_id", "user_id", "event_type")

@@ -9,6 +9,8 @@ from verdant.functions.text import (contains, text_checksum, tokenize_spaces, to
 from verdant.operators.wordcount import (DEFAULT_STOP_WORDS, explode_words, remove_stop_words,
                                          session_rank, stop_words_frame, top_words, word_count)
 from verdant.plans.registry import query
+from verdant.session import scratch_path
+from verdant.sources.sinks import save_ordered_text, save_table
 from verdant.sources.tables import document_lines, spread, table
 
 # ---- DuckDB building blocks (same semantics as the Spark expressions) ------
@@ -98,6 +100,25 @@ def q_wordcount_top100(spark, sf_dir):
     return top_words(word_count(document_lines(spark, sf_dir), stop, stop_rows=n), 100)
 
 
+@query("sink_wordcount", oracle=SQL_WORDCOUNT)
+def q_sink_wordcount(spark, sf_dir):
+    """K1: the counts saved as a table and read back."""
+    stop, n = _stop(spark)
+    path = scratch_path(spark, "word-counts")
+    save_table(word_count(document_lines(spark, sf_dir), stop, stop_rows=n), path)
+    return spark.read.schema("word string, count long").parquet(path)
+
+
+@query("sink_top100", oracle=SQL_WORDCOUNT.replace("SELECT word, count(*)::BIGINT AS count", "SELECT word AS value")
+       + "\nORDER BY count(*) DESC, word LIMIT 100")
+def q_sink_top100(spark, sf_dir):
+    """K2: the top 100 words saved as one ordered text file and read back."""
+    stop, n = _stop(spark)
+    path = scratch_path(spark, "top-words")
+    save_ordered_text(top_words(word_count(document_lines(spark, sf_dir), stop, stop_rows=n), 100), path)
+    return spark.read.text(path)
+
+
 @query("term_frequency", oracle=r"""
 WITH toks AS (
   SELECT doc_id,
