@@ -137,10 +137,15 @@ class LabelModel:
     def __init__(self, patterns: np.ndarray, weights: np.ndarray, labels: np.ndarray, rounds: int = 40):
         """``patterns``: one row of votes each; ``labels``: 0, 1 or -1 (none)."""
         known = labels >= 0
-        n = patterns.shape[1]
-        share = np.where((patterns == TOXIC).sum(1) > (patterns == CLEAN).sum(1), 0.9, 0.1)
-        toxic = np.where(known, labels, share)
-        self.parent = [-1] * n
+        self.parent = [-1] * patterns.shape[1]
+        if {0, 1} <= set(labels[known].tolist()):       # the labelled rows alone first
+            toxic, own = np.where(known, labels, 0.5), np.where(known, weights, 0.0)
+            self.parent = self._tree(patterns, own, toxic)
+            self._estimate(patterns, own, toxic)
+            toxic = np.where(known, labels, self.posterior(patterns))
+        else:
+            more = (patterns == TOXIC).sum(1) > (patterns == CLEAN).sum(1)
+            toxic = np.where(known, labels, np.where(more, 0.9, 0.1))
         for step in range(rounds):
             if step == rounds // 2:
                 self.parent = self._tree(patterns, weights, toxic)
