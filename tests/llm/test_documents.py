@@ -179,12 +179,12 @@ def test_near_duplicate_chain_is_one_component(spark):
 
 
 def test_loose_groups_lose_no_link(spark, monkeypatch):
-    """Many texts about the threshold in shared bands, with few pivots a round."""
+    """Many texts about the threshold in shared bands, in small blocks."""
     monkeypatch.setattr(setsketch, "SMALL_BAND", 4)
-    monkeypatch.setattr(setsketch, "PIVOTS", 4)
+    monkeypatch.setattr(setsketch, "BLOCK", 9)
     rng = random.Random(4)
     base, rows = X.prose(rng, 60).split(), []
-    for i in range(24):
+    for i in range(70):
         words = list(base)
         for _ in range(rng.randrange(3, 9)):
             words[rng.randrange(60)] = f"v{rng.randrange(4)}"

@@ -13,12 +13,14 @@ registers agree about as often as the sets overlap (locality-sensitive).
    (1 - 0.8^5)^40 = 1.3e-7.
 3. Of a band's documents, only pairs with the smallest one are formed. They are
    dropped if the set sizes alone rule the similarity out, or if the likelihood
-   estimate from the registers is 0.25 (over 8 standard deviations) below it.
+   estimate from the registers is 0.17 (6 standard deviations) below it.
    The rest are confirmed on full sets, the most similar pair of each document
    first and then those still in different components.
-4. Bands whose documents are still in different components get further pivots,
-   until every pair in a band has been looked at or is connected anyway. So no
-   link between different texts is lost and no group is expanded into pairs.
+4. Where a band's documents are still in different components, all pairs
+   between components are estimated: by a join in bands of up to ``SMALL_BAND``
+   documents, in blocks of ``BLOCK`` documents of larger ones, which return only
+   the pairs that may be links. So no link between different texts is lost, and
+   what is connected already is never expanded into pairs.
 
 Defined results: a text with fewer words than a shingle is one shingle; without
 words (or null) the set is empty and linked with nothing; rows that share an id
@@ -31,7 +33,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from verdant.llm.common import connected_components, written
@@ -40,9 +42,9 @@ BASE = 1.001            # b: nearly the resolution of full minima in two bytes
 RATE = 20.0             # a
 LIMIT = 65_534          # q
 BANDS, ROWS = 40, 5
-SLACK = 0.25            # below the threshold by which an estimate may fall short
-SMALL_BAND = 32         # bands of so many documents are looked at whole
-PIVOTS = 8              # pivots a round in larger bands
+SLACK = 0.17            # below the threshold by which an estimate may fall short
+SMALL_BAND = 32         # bands of up to so many documents are joined with themselves
+BLOCK = 1024            # documents of a larger band that one task compares with as many
 _CHUNK = 4096
 
 _rng = np.random.default_rng(20240607)
@@ -168,6 +170,30 @@ def _estimate_batches(percent: int):
     return run
 
 
+def _likely_in_block(percent: int):
+    """Rows ``(rep, c, side, n_shingles, registers)`` of two blocks of a band -> the pairs that may be links."""
+    def run(key, table):
+        same = key[1].as_py() == key[2].as_py()
+        side, reps, c = (table.column(x).to_numpy() for x in ("side", "rep", "c"))
+        sizes = table.column("n_shingles").to_numpy().astype(float)
+        regs = np.frombuffer(b"".join(table.column("registers").to_pylist()), dtype=np.uint16).reshape(len(reps), -1)
+        one = np.flatnonzero(side == 0)
+        two = one if same else np.flatnonzero(side == 1)
+        out_a, out_b, out_j = [], [], []
+        for i in one:
+            near = two[(c[two] != c[i]) & (100 * np.minimum(sizes[two], sizes[i]) >= percent * np.maximum(sizes[two], sizes[i]))]
+            near = near[reps[near] > reps[i]] if same else near
+            # Registers that differ bound the estimate from above; the search runs on what is left.
+            near = near[(regs[near] == regs[i]).mean(axis=1) >= (percent / 100 - SLACK) / 2]
+            if len(near):
+                j = estimate(np.repeat(regs[i][None], len(near), axis=0), regs[near], np.full(len(near), sizes[i]), sizes[near])
+                keep = j >= percent / 100 - SLACK
+                out_a.append(np.minimum(reps[i], reps[near[keep]])), out_b.append(np.maximum(reps[i], reps[near[keep]])), out_j.append(j[keep])
+        join = lambda x, kind: pa.array(np.concatenate(x) if x else np.empty(0), kind)
+        return pa.table({"a": join(out_a, pa.int64()), "b": join(out_b, pa.int64()), "likely": join(out_j, pa.float64())})
+    return run
+
+
 def _confirm_batches(size: int, percent: int):
     def run(batches):
         for batch in batches:
@@ -221,27 +247,36 @@ def duplicate_links(reps: DataFrame, texts: DataFrame, *, shingle: int, percent:
     def united(links: DataFrame) -> DataFrame:
         return connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
 
-    star = likely(entries.where("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct())
-    best = star.groupBy("b").agg(F.max(F.struct("likely", "a")).alias("m")).select("m.a", "b")
-    links = confirmed(best)
-    components = united(links)
-    links = links.unionByName(confirmed(apart(star.join(best, ["a", "b"], "left_anti"), components)))
-    components = written(united(links), "near-components")
-    left = entries.where("rep <> pivot").select("band", "rep")
-    while True:
-        named = _labelled(left, "rep", components, "c")
-        mixed = named.groupBy("band").agg(F.count("*").alias("n"), F.min("c").alias("lo"), F.max("c").alias("hi"))
-        ranked = written(named.join(mixed.where("lo <> hi").select("band", "n"), "band").withColumn(
-            "rn", F.row_number().over(Window.partitionBy("band").orderBy("rep"))), "near-left")
-        if ranked.isEmpty():
-            return components
-        first = (F.col("n") <= SMALL_BAND) | (F.col("rn") <= PIVOTS)
-        one = ranked.where(first).select("band", F.col("rep").alias("a"), F.col("c").alias("ca"), F.col("rn").alias("ra"))
-        two = ranked.select("band", F.col("rep").alias("b"), F.col("c").alias("cb"), F.col("rn").alias("rb"))
-        pairs = one.join(two, "band").where("ra < rb and ca <> cb").select("a", "b").distinct()
-        links = links.unionByName(confirmed(likely(pairs)))
-        components = written(united(links), "near-components")
-        left = ranked.where(~first).select("band", "rep")
+    def settled(pairs: DataFrame, links: DataFrame | None, components: DataFrame | None):
+        """Links and components after looking at ``pairs``: the likeliest pair of
+        each document first, then those still apart."""
+        best = pairs.groupBy("b").agg(F.max(F.struct("likely", "a")).alias("m")).select("m.a", "b")
+        first = confirmed(best)
+        links = first if links is None else links.unionByName(first)
+        components = united(links)
+        links = links.unionByName(confirmed(apart(pairs.join(best, ["a", "b"], "left_anti"), components)))
+        return links, written(united(links), "near-components")
+
+    links, components = settled(likely(entries.where("rep <> pivot").select(
+        F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()), None, None)
+    named = _labelled(entries.where("rep <> pivot").select("band", "rep"), "rep", components, "c")
+    mixed = named.groupBy("band").agg(F.count("*").alias("n"), F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi")
+    left = written(named.join(mixed.select("band", "n"), "band"), "near-left")
+    if left.isEmpty():
+        return components
+    few = left.where(F.col("n") <= SMALL_BAND)
+    one, two = (few.select("band", F.col("rep").alias(x), F.col("c").alias(f"c{x}")) for x in "ab")
+    pairs = likely(one.join(two, "band").where("a < b and ca <> cb").select("a", "b").distinct())
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    many = (left.where(F.col("n") > SMALL_BAND).join(sketch, "rep").withColumn("blocks", blocks)
+            .withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")))
+    columns = ["band", "rep", "c", "n_shingles", "registers"]
+    asked = many.select(*columns, F.col("block").alias("i"), F.explode(F.sequence(F.col("block"), F.col("blocks") - 1)).alias("j"), F.lit(0).alias("side"))
+    other = many.select(*columns, F.col("block").alias("o"), F.explode(F.sequence(F.lit(0), F.col("block") - 1)).alias("i"), F.lit(1).alias("side")) \
+        .where("i >= 0 and i < o").select(*columns, "i", F.col("o").alias("j"), "side")
+    blocked = asked.unionByName(other).groupBy("band", "i", "j").applyInArrow(_likely_in_block(percent), f"a {kind}, b {kind}, likely double")
+    pairs = written(pairs.unionByName(blocked).dropDuplicates(["a", "b"]), "near-more")
+    return settled(pairs, links, components)[1]
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
