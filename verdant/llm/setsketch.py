@@ -13,14 +13,16 @@ registers agree about as often as the sets overlap (locality-sensitive).
    (1 - 0.8^5)^40 = 1.3e-7.
 3. Of a band's documents, only pairs with the smallest one are formed. They are
    dropped if the set sizes alone rule the similarity out, or if the likelihood
-   estimate from the registers is 0.17 (6 standard deviations) below it.
+   estimate from the registers is 6 standard deviations below it.
    The rest are confirmed on full sets, the most similar pair of each document
    first and then those still in different components.
 4. Where a band's documents are still in different components, all pairs
-   between components are estimated: by a join in bands of up to ``SMALL_BAND``
-   documents, in blocks of ``BLOCK`` documents of larger ones, which return only
-   the pairs that may be links. So no link between different texts is lost, and
-   what is connected already is never expanded into pairs.
+   between components are looked at: by a join in bands of up to ``SMALL_BAND``
+   documents, and within blocks of ``BLOCK`` documents of larger ones. A block
+   skips pairs whose registers agree too rarely, that agree in an earlier band,
+   or that it has connected already, confirms the rest on full sets, and returns
+   the links that join components: fewer than it has documents. So no link
+   between different texts is lost, and no group is expanded into pairs.
 
 Defined results: a text with fewer words than a shingle is one shingle; without
 words (or null) the set is empty and linked with nothing; rows that share an id
@@ -42,11 +44,19 @@ BASE = 1.001            # b: nearly the resolution of full minima in two bytes
 RATE = 20.0             # a
 LIMIT = 65_534          # q
 BANDS, ROWS = 40, 5
-SLACK = 0.17            # below the threshold by which an estimate may fall short
+SIGMAS = 6.0            # standard deviations by which an estimate may fall short of the threshold
 SMALL_BAND = 32         # bands of up to so many documents are joined with themselves
 BLOCK = 1024            # documents of a larger band that one task compares with as many
 _CHUNK = 4096
 
+
+
+def least_estimate(percent: int, n: int) -> float:
+    """What the estimate from ``n`` registers of a pair at the threshold stays above."""
+    p = percent / 100
+    return p - SIGMAS * float(np.sqrt(p * (1 - p) / n))
+
+
 _rng = np.random.default_rng(20240607)
 _MUL = _rng.integers(1, 2**63, size=4096, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ADD = _rng.integers(0, 2**63, size=4096, dtype=np.uint64)
@@ -164,33 +174,56 @@ def _estimate_batches(percent: int):
                       for c in ("ra", "rb"))
             na, nb = (batch.column(c).to_numpy().astype(float) for c in ("na", "nb"))
             j = estimate(ra, rb, na, nb)
-            keep = pa.array(j >= percent / 100 - SLACK)
+            keep = pa.array(j >= least_estimate(percent, ra.shape[1]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("a"), batch.column("b"), pa.array(j)], names=["a", "b", "likely"]).filter(keep)
     return run
 
 
-def _likely_in_block(percent: int):
-    """Rows ``(rep, c, side, n_shingles, registers)`` of two blocks of a band -> the pairs that may be links."""
+def _links_in_block(shingle: int, percent: int, rows: int):
+    """Rows ``(rep, c, side, k, n_shingles, registers, text)`` of two blocks of
+    band ``k`` -> links between their components ``c``, a spanning set of them."""
     def run(key, table):
         same = key[1].as_py() == key[2].as_py()
         side, reps, c = (table.column(x).to_numpy() for x in ("side", "rep", "c"))
-        sizes = table.column("n_shingles").to_numpy().astype(float)
+        sizes, texts = table.column("n_shingles").to_numpy(), table.column("text").cast(pa.binary())
         regs = np.frombuffer(b"".join(table.column("registers").to_pylist()), dtype=np.uint16).reshape(len(reps), -1)
+        band = int(table.column("k")[0].as_py())
         one = np.flatnonzero(side == 0)
         two = one if same else np.flatnonzero(side == 1)
-        out_a, out_b, out_j = [], [], []
-        for i in one:
+        sets: dict[int, np.ndarray] = {}
+        root: dict[int, int] = {}
+        links = []
+
+        def find(x):
+            while root.get(x, x) != x:
+                root[x] = root.get(root[x], root[x])
+                x = root[x]
+            return x
+
+        def shingles(i):
+            if i not in sets:
+                sets[i] = shingle_set(words_of(texts[i].as_py()), shingle)
+            return sets[i]
+
+        for i in one.tolist():
             near = two[(c[two] != c[i]) & (100 * np.minimum(sizes[two], sizes[i]) >= percent * np.maximum(sizes[two], sizes[i]))]
             near = near[reps[near] > reps[i]] if same else near
-            # Registers that differ bound the estimate from above; the search runs on what is left.
-            near = near[(regs[near] == regs[i]).mean(axis=1) >= (percent / 100 - SLACK) / 2]
-            if len(near):
-                j = estimate(np.repeat(regs[i][None], len(near), axis=0), regs[near], np.full(len(near), sizes[i]), sizes[near])
-                keep = j >= percent / 100 - SLACK
-                out_a.append(np.minimum(reps[i], reps[near[keep]])), out_b.append(np.maximum(reps[i], reps[near[keep]])), out_j.append(j[keep])
-        join = lambda x, kind: pa.array(np.concatenate(x) if x else np.empty(0), kind)
-        return pa.table({"a": join(out_a, pa.int64()), "b": join(out_b, pa.int64()), "likely": join(out_j, pa.float64())})
+            equal = regs[near] == regs[i]
+            often = equal.mean(axis=1) >= least_estimate(percent, regs.shape[1])
+            near, equal = near[often], equal[often]
+            if not len(near):
+                continue
+            near = near[equal.reshape(len(near), -1, rows).all(axis=2).argmax(axis=1) == band]
+            for j in near.tolist():
+                x, y = find(int(c[i])), find(int(c[j]))
+                if x != y:
+                    a, b = shingles(i), shingles(j)
+                    both = len(np.intersect1d(a, b, assume_unique=True))
+                    if 100 * both >= percent * (len(a) + len(b) - both):
+                        root[max(x, y)] = min(x, y)
+                        links.append((int(reps[i]), int(reps[j])))
+        return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
     return run
 
 
@@ -221,9 +254,9 @@ def duplicate_links(reps: DataFrame, texts: DataFrame, *, shingle: int, percent:
     kind = reps.schema["rep"].dataType.simpleString()
     sliced = F.array(*[F.xxhash64(F.lit(k), F.substring(F.col("registers"), 2 * rows * k + 1, 2 * rows))
                        for k in range(bands)])
-    banded = reps.select("rep", F.explode(sliced).alias("band"))
+    banded = reps.select("rep", F.posexplode(sliced).alias("k", "band"))
     shared = banded.groupBy("band").agg(F.min("rep").alias("pivot"), F.count("*").alias("n")).where("n > 1")
-    entries = written(banded.join(shared, "band").select("band", "rep", "pivot"), "near-bands")
+    entries = written(banded.join(shared, "band").select("k", "band", "rep", "pivot"), "near-bands")
     # The texts that may be compared are written once; all rounds read them.
     involved = entries.select("rep").distinct()
     texts = written(texts.join(involved, "rep", "left_semi").dropDuplicates(["rep"]), "near-texts")
@@ -247,36 +280,31 @@ def duplicate_links(reps: DataFrame, texts: DataFrame, *, shingle: int, percent:
     def united(links: DataFrame) -> DataFrame:
         return connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
 
-    def settled(pairs: DataFrame, links: DataFrame | None, components: DataFrame | None):
-        """Links and components after looking at ``pairs``: the likeliest pair of
-        each document first, then those still apart."""
-        best = pairs.groupBy("b").agg(F.max(F.struct("likely", "a")).alias("m")).select("m.a", "b")
-        first = confirmed(best)
-        links = first if links is None else links.unionByName(first)
-        components = united(links)
-        links = links.unionByName(confirmed(apart(pairs.join(best, ["a", "b"], "left_anti"), components)))
-        return links, written(united(links), "near-components")
-
-    links, components = settled(likely(entries.where("rep <> pivot").select(
-        F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()), None, None)
-    named = _labelled(entries.where("rep <> pivot").select("band", "rep"), "rep", components, "c")
+    star = likely(entries.where("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct())
+    best = star.groupBy("b").agg(F.max(F.struct("likely", "a")).alias("m")).select("m.a", "b")
+    links = confirmed(best)
+    links = links.unionByName(confirmed(apart(star.join(best, ["a", "b"], "left_anti"), united(links))))
+    components = written(united(links), "near-components")
+
+    named = _labelled(entries.where("rep <> pivot").select("k", "band", "rep"), "rep", components, "c")
     mixed = named.groupBy("band").agg(F.count("*").alias("n"), F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi")
     left = written(named.join(mixed.select("band", "n"), "band"), "near-left")
     if left.isEmpty():
         return components
     few = left.where(F.col("n") <= SMALL_BAND)
     one, two = (few.select("band", F.col("rep").alias(x), F.col("c").alias(f"c{x}")) for x in "ab")
-    pairs = likely(one.join(two, "band").where("a < b and ca <> cb").select("a", "b").distinct())
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    many = (left.where(F.col("n") > SMALL_BAND).join(sketch, "rep").withColumn("blocks", blocks)
-            .withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")))
-    columns = ["band", "rep", "c", "n_shingles", "registers"]
-    asked = many.select(*columns, F.col("block").alias("i"), F.explode(F.sequence(F.col("block"), F.col("blocks") - 1)).alias("j"), F.lit(0).alias("side"))
-    other = many.select(*columns, F.col("block").alias("o"), F.explode(F.sequence(F.lit(0), F.col("block") - 1)).alias("i"), F.lit(1).alias("side")) \
-        .where("i >= 0 and i < o").select(*columns, "i", F.col("o").alias("j"), "side")
-    blocked = asked.unionByName(other).groupBy("band", "i", "j").applyInArrow(_likely_in_block(percent), f"a {kind}, b {kind}, likely double")
-    pairs = written(pairs.unionByName(blocked).dropDuplicates(["a", "b"]), "near-more")
-    return settled(pairs, links, components)[1]
+    more = confirmed(likely(one.join(two, "band").where("a < b and ca <> cb").select("a", "b").distinct()))
+    # Larger bands: each pair of blocks meets in one task, with registers and texts.
+    many = (left.where(F.col("n") > SMALL_BAND).withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
+            .withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")).join(sketch, "rep").join(texts, "rep"))
+    columns = ["k", "band", "rep", "c", "n_shingles", "registers", "text"]
+    asked = many.select(*columns, F.col("block").alias("i"), F.explode(F.sequence(F.col("block"), F.col("blocks") - 1)).alias("j"),
+                        F.lit(0).alias("side"))
+    other = (many.where("block > 0").select(*columns, F.explode(F.sequence(F.lit(0), F.col("block") - 1)).alias("i"),
+                                            F.col("block").alias("j"), F.lit(1).alias("side")))
+    blocked = written(asked.unionByName(other).groupBy("band", "i", "j")
+                      .applyInArrow(_links_in_block(shingle, percent, rows), f"a {kind}, b {kind}"), "near-blocks")
+    return written(united(links.unionByName(more).unionByName(blocked)), "near-components")
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
