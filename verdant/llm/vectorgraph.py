@@ -10,8 +10,8 @@ smallest id first, so a group of copies is one node of the graph.
    robustly (a candidate goes if a kept one is ``ALPHA`` times nearer to it than
    the node is), edges get their reverse, and what the medoid cannot reach is
    linked to the nearest reached node. A vector's lists from all its shards are united.
-3. Every vector is searched in the shards of its clusters: greedily from the
-   medoid with a beam, then from every node found within range to its
+3. Every vector is searched in the shards of its clusters: greedily with a beam
+   from the medoid (and from its own node in the shard that holds it), then from every node found within range to its
    neighbours, until no new one is in range. Pairs are verified in double
    precision. A pair that meets in two clusters counts in the first.
 4. Recall is audited: for up to ``AUDIT`` vectors, chosen by a hash, all links
@@ -44,6 +44,7 @@ CANDIDATES, DEGREE, ALPHA = 48, 24, 1.2
 BEAM, WIDTH = 16, 4
 RANGE_SLACK = 0.03
 QUERY_BLOCK = 256
+LOOK_AT = 1 << 19        # neighbours of expanded nodes that are looked at together
 AUDIT = 256
 MIN_RECALL = 0.99
 OVERLAPS = (2, 4, 8)
@@ -163,9 +164,12 @@ def _build_shard(key, table):
                      "near": pa.array([reps[i].tolist() for i in lists], pa.list_(pa.int64()))})
 
 
-def range_search(q: np.ndarray, x: np.ndarray, graph: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+def range_search(q: np.ndarray, x: np.ndarray, graph: np.ndarray, threshold: float,
+                 members: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """(query, member) pairs with a dot product of ``threshold`` at least that the
-    graph leads to. ``graph``: neighbours of each member, filled up with -1."""
+    graph leads to. ``graph``: neighbours of each member, filled up with -1.
+    The search enters at the medoid; with ``members`` (the queries are the rows
+    of ``x``) also at the query's own node."""
     n, start = len(x), medoid_of(x)
     q32, x32 = q.astype(np.float32), x.astype(np.float32)
     out_q, out_m = [], []
@@ -178,20 +182,30 @@ def range_search(q: np.ndarray, x: np.ndarray, graph: np.ndarray, threshold: flo
         sims[:, start] = own @ x32[start]
         beam = np.full((b, BEAM), -1)
         beam[:, 0] = start
+        if members:
+            sims[rows, a + rows] = np.einsum("bd,bd->b", own, x32[a:a + b])
+            beam[:, 1] = np.where(a + rows == start, -1, a + rows)
 
         def look(queries, nodes, sims=sims, done=done, own=own):
-            """Expand nodes for queries; returns the (query, node) pairs seen for the first time."""
+            """Expand nodes for queries; returns the (query, node) pairs seen for
+            the first time. A few pairs at a time: each has a row of neighbours."""
             done[queries, nodes] = True
-            near = graph[nodes]
-            pair_q, node = np.repeat(queries, near.shape[1]), near.ravel()
-            fresh = node >= 0
-            fresh[fresh] = sims[pair_q[fresh], node[fresh]] == -2
-            flat = np.unique(pair_q[fresh] * n + node[fresh])
-            pair_q, node = flat // n, flat % n
-            for c in range(0, len(flat), 1 << 18):
-                s = slice(c, c + (1 << 18))
-                sims[pair_q[s], node[s]] = np.einsum("pd,pd->p", own[pair_q[s]], x32[node[s]])
-            return pair_q, node
+            seen_q, seen_n, step = [], [], max(1, LOOK_AT // graph.shape[1])
+            for at in range(0, len(queries), step):
+                near = graph[nodes[at:at + step]]
+                pair_q, node = np.repeat(queries[at:at + step], near.shape[1]), near.ravel()
+                fresh = node >= 0
+                pair_q, node = pair_q[fresh], node[fresh]
+                fresh = sims[pair_q, node] == -2
+                flat = np.unique(pair_q[fresh] * n + node[fresh])
+                pair_q, node = flat // n, flat % n
+                for c in range(0, len(flat), 1 << 16):
+                    s = slice(c, c + (1 << 16))
+                    sims[pair_q[s], node[s]] = np.einsum("pd,pd->p", own[pair_q[s]], x32[node[s]])
+                seen_q.append(pair_q), seen_n.append(node)
+            pair_q, node = np.concatenate(seen_q), np.concatenate(seen_n)
+            order = np.argsort(pair_q, kind="stable")
+            return pair_q[order], node[order]
 
         while True:                                       # greedy: the best of the beam not yet expanded
             safe = np.maximum(beam, 0)
@@ -216,9 +230,12 @@ def range_search(q: np.ndarray, x: np.ndarray, graph: np.ndarray, threshold: flo
                 break
             look(r, c)
         r, c = np.nonzero(sims >= threshold - 1e-3)
-        exact = np.einsum("pd,pd->p", q[a + r], x[c]) >= threshold
-        out_q.append(a + r[exact]), out_m.append(c[exact])
-    return np.concatenate(out_q), np.concatenate(out_m)
+        for at in range(0, len(r), 1 << 16):
+            i, j = a + r[at:at + (1 << 16)], c[at:at + (1 << 16)]
+            exact = np.einsum("pd,pd->p", q[i], x[j]) >= threshold
+            out_q.append(i[exact]), out_m.append(j[exact])
+    none = [np.empty(0, dtype=int)]
+    return np.concatenate(none + out_q), np.concatenate(none + out_m)
 
 
 def _roots(n: int, u: np.ndarray, v: np.ndarray) -> np.ndarray:
@@ -245,11 +262,11 @@ def _search_shard(threshold: float):
         n = int((side == 0).sum())
         at = {int(r): k for k, r in enumerate(reps[:n])}
         lists = [[at[r] for r in near if r in at] for near in table.column("near").slice(0, n).to_pylist()]
-        graph = np.full((n, max(map(len, lists), default=0) or 1), -1)
+        graph = np.full((n, max(map(len, lists), default=0) or 1), -1, dtype=np.int32)
         for k, near in enumerate(lists):
             graph[k, :len(near)] = near
         own = n == len(reps)
-        q, m = range_search(x if own else x[n:], x[:n], graph, threshold) if n else (np.zeros(0, int),) * 2
+        q, m = range_search(x if own else x[n:], x[:n], graph, threshold, members=own) if n else (np.zeros(0, int),) * 2
         q = q if own else q + n
         q, m = np.minimum(q, m), np.maximum(q, m)         # a link found from either end is a link
         pairs = np.unique(np.stack([q, m])[:, q != m], axis=1)
