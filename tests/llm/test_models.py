@@ -214,3 +214,41 @@ def test_audit_counts_true_links(spark):
     found = spark.createDataFrame([(i, n) for i, (n, _) in truth.items()], "rep long, links long")
     assert vectorgraph.audit_recall(nodes, found, 0.93) == 1.0
     assert vectorgraph.audit_recall(nodes, found.withColumn("links", F.lit(0)), 0.93) < 0.2
+
+
+def rare_links(spark, n=2000, dim=32):
+    """One label of random vectors, of which a few have a loose near copy; these are the last that an audit draws."""
+    ids = [r.id for r in spark.range(n + 8).orderBy(F.xxhash64("id"), "id").collect()]
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=(n, dim))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    turned = rng.normal(size=(8, dim))
+    turned -= (turned * x[-8:]).sum(axis=1, keepdims=True) * x[-8:]
+    turned /= np.linalg.norm(turned, axis=1, keepdims=True)
+    return [(i, v.tolist(), 0) for i, v in zip(ids, np.concatenate([x, 0.935 * x[-8:] + math.sqrt(1 - 0.935**2) * turned]))]
+
+
+@pytest.mark.parametrize("most", [16_384, 256])
+def test_rare_links_are_all_found(spark, monkeypatch, most):
+    """The first audit draw may have no link; that measures nothing."""
+    monkeypatch.setattr(vectorgraph, "TARGET", 20)
+    monkeypatch.setattr(vectorgraph, "CAP", 300)
+    monkeypatch.setattr(vectorgraph, "OVERLAPS", (1, 2))
+    monkeypatch.setattr(vectorgraph, "AUDIT_MOST", most, raising=False)
+    rows = rare_links(spark)
+    expected = vector_brute(rows)
+    assert sum(n for n, _ in expected.values()) == 16
+    out = vectorgraph.near_duplicate_vectors(vector_frame(spark, rows)).collect()
+    assert all((r.n_links, r.component_id) == expected[r.vec_id] for r in out)
+
+
+@pytest.mark.parametrize("target", [1500, 40])
+def test_search_that_misses_links_is_not_returned(spark, monkeypatch, target):
+    """Also where no label has several clusters."""
+    monkeypatch.setattr(vectorgraph, "TARGET", target)
+    monkeypatch.setattr(vectorgraph, "CAP", 100)
+    monkeypatch.setattr(vectorgraph, "range_search", lambda *args, **options: (np.zeros(0, int), np.zeros(0, int)))
+    rows = vector_rows()
+    expected = vector_brute(rows)
+    out = vectorgraph.near_duplicate_vectors(vector_frame(spark, rows)).collect()
+    assert all((r.n_links, r.component_id) == expected[r.vec_id] for r in out)

@@ -14,9 +14,13 @@ smallest id first, so a group of copies is one node of the graph.
    from the medoid (and from its own node in the shard that holds it), then from every node found within range to its
    neighbours, until no new one is in range. Pairs are verified in double
    precision. A pair that meets in two clusters counts in the first.
-4. Recall is audited: for up to ``AUDIT`` vectors, chosen by a hash, all links
-   are counted by brute force, in blocks over all vectors. Below
-   ``MIN_RECALL`` the work is repeated with twice the overlap.
+4. Recall is audited on every table: for vectors chosen by a hash, all links are
+   counted by brute force, in blocks over all vectors. ``AUDIT`` vectors are drawn,
+   then four times as many, until they have ``AUDIT_LINKS`` links or all vectors are
+   drawn. Below ``MIN_RECALL`` (below 1 if all are drawn) the work is repeated with
+   twice the overlap.
+5. Where ``AUDIT_MOST`` vectors have too few links to measure recall, or no overlap
+   is enough, all vectors of a label are compared with each other, in blocks.
 
 A shard returns one row per vector (links counted, smallest vector it hangs
 together with there), never its pairs; components are joined up from those.
@@ -45,7 +49,8 @@ BEAM, WIDTH = 16, 4
 RANGE_SLACK = 0.03
 QUERY_BLOCK = 256
 LOOK_AT = 1 << 19        # neighbours of expanded nodes that are looked at together
-AUDIT = 256
+AUDIT, AUDIT_MOST = 256, 16_384   # vectors of the first and the last audit draw; the draws go through the driver
+AUDIT_LINKS = 1000       # links that measure recall
 MIN_RECALL = 0.99
 OVERLAPS = (2, 4, 8)
 
@@ -285,35 +290,92 @@ def _search_shard(threshold: float):
 def _audit_batches(x: np.ndarray, labels: list, reps: list, threshold: float):
     def run(batches):
         names, ids = np.array(labels), np.array(reps)
+        total = np.zeros(len(ids), dtype=np.int64)
         for batch in batches:
+            batch = batch.filter(pa.array([d == x.shape[1] for d in batch.column("dim").to_pylist()], pa.bool_()))
             if not batch.num_rows:
                 continue
-            same = batch.column("label").to_numpy()[:, None] == names
-            same &= batch.column("rep").to_numpy()[:, None] != ids
-            keep = np.array([d == x.shape[1] for d in batch.column("dim").to_pylist()])
-            near = np.zeros(same.shape, dtype=bool)
-            if keep.any():
-                near[keep] = unit_rows(batch.column("vector").filter(pa.array(keep))) @ x.T >= threshold
-            found = (near & same).T @ batch.column("copies").to_numpy()
-            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(found.astype(np.int64))], names=["rep", "truth"])
+            rows, label, rep, copies = (unit_rows(batch.column("vector")), *(batch.column(c).to_numpy() for c in ("label", "rep", "copies")))
+            for at in range(0, len(ids), QUERY_BLOCK):
+                s = slice(at, at + QUERY_BLOCK)
+                near = (rows @ x[s].T >= threshold) & (label[:, None] == names[s]) & (rep[:, None] != ids[s])
+                total[s] += near.T @ copies
+        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total)], names=["rep", "truth"])
     return run
 
 
-def audit_recall(nodes: DataFrame, found: DataFrame, threshold: float) -> float:
-    """Share of the links of up to ``AUDIT`` vectors that were found. The vectors
-    are sent to all tasks and compared with every vector of their label, in blocks."""
-    sample = nodes.orderBy(F.xxhash64("rep"), "rep").limit(AUDIT).select("rep", "label", "dim", "vector").collect()
-    dims = {r["dim"] for r in sample}
-    truth = hit = 0
-    for dim in sorted(dims):
-        own = [r for r in sample if r["dim"] == dim]
-        x = unit_rows(pa.array([r["vector"] for r in own], pa.list_(pa.float64())))
-        true = (nodes.select("rep", "label", "dim", "copies", "vector")
-                .mapInArrow(_audit_batches(x, [r["label"] for r in own], [r["rep"] for r in own], threshold), "rep bigint, truth bigint")
-                .groupBy("rep").agg(F.sum("truth").alias("truth")))
-        row = true.join(found, "rep", "left").agg(F.sum("truth"), F.sum(F.least("truth", F.coalesce("links", F.lit(0))))).first()
-        truth, hit = truth + (row[0] or 0), hit + (row[1] or 0)
-    return hit / truth if truth else 1.0
+def audit_truth(nodes: DataFrame, threshold: float) -> tuple[DataFrame | None, bool]:
+    """``(rep, truth)`` of the vectors drawn for the audit, and whether these are all; None if
+    ``AUDIT_MOST`` vectors have less than ``AUDIT_LINKS`` links, which measures nothing. The
+    vectors are sent to all tasks and compared with every vector of their label, in blocks."""
+    size = AUDIT
+    while True:
+        sample = nodes.orderBy(F.xxhash64("rep"), "rep").limit(size + 1).select("rep", "label", "dim", "vector").collect()
+        whole, sample = len(sample) <= size, sample[:size]
+        truth = nodes.sparkSession.createDataFrame([], "rep bigint, truth bigint")
+        for dim in sorted({r["dim"] for r in sample}):
+            own = [r for r in sample if r["dim"] == dim]
+            x = unit_rows(pa.array([r["vector"] for r in own], pa.list_(pa.float64())))
+            truth = truth.unionByName(nodes.select("rep", "label", "dim", "copies", "vector").mapInArrow(
+                _audit_batches(x, [r["label"] for r in own], [r["rep"] for r in own], threshold), "rep bigint, truth bigint"))
+        truth = written(truth.groupBy("rep").agg(F.sum("truth").alias("truth")), "graph-audit")
+        if whole or (truth.agg(F.sum("truth")).first()[0] or 0) >= AUDIT_LINKS:
+            return truth, whole
+        if size >= AUDIT_MOST:
+            return None, False
+        size *= 4
+
+
+def recall_of(truth: DataFrame, found: DataFrame) -> float:
+    row = truth.join(found, "rep", "left").agg(F.sum("truth"), F.sum(F.least("truth", F.coalesce("links", F.lit(0))))).first()
+    return row[1] / row[0] if row[0] else 1.0
+
+
+def audit_recall(nodes: DataFrame, found: DataFrame, threshold: float) -> float | None:
+    """Share of the links of the audit's vectors that were found; None: not measured."""
+    truth, _ = audit_truth(nodes, threshold)
+    return None if truth is None else recall_of(truth, found)
+
+
+def _compare_blocks(threshold: float):
+    def run(key, table):
+        """Rows of two blocks (``side`` 0 and 1; one block with itself has side 0
+        only) -> links and root of each vector, from all pairs."""
+        table = table.take(pa.array(np.argsort(table.column("rep").to_numpy(), kind="stable")))
+        side, reps = table.column("side").to_numpy(), table.column("rep").to_numpy()
+        copies, x = table.column("copies").to_numpy(), unit_rows(table.column("vector"))
+        one, two = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        alone = not len(two)
+        two = one if alone else two
+        links, root = np.zeros(len(reps), dtype=np.int64), np.arange(len(reps))
+        for at in range(0, len(one), QUERY_BLOCK):
+            rows = one[at:at + QUERY_BLOCK]
+            near = x[rows] @ x[two].T >= threshold
+            if alone:
+                near &= rows[:, None] < two
+            r, c = np.nonzero(near)
+            u, v = rows[r], two[c]
+            np.add.at(links, u, copies[v])
+            np.add.at(links, v, copies[u])
+            if len(u):
+                root = _roots(len(reps), np.concatenate([np.arange(len(reps)), u]), np.concatenate([root, v]))
+        return pa.table({"rep": pa.array(reps), "links": pa.array(links), "root": pa.array(reps[root])})
+    return run
+
+
+def all_links(nodes: DataFrame, threshold: float) -> DataFrame:
+    """``(rep, links, root)`` partial rows as of ``search_links``, from comparing all vectors of a label."""
+    keys = ["label", "dim"]
+    blocks = nodes.groupBy(*keys).agg(F.ceil(F.count("*") / CAP).cast("int").alias("blocks"))
+    each = written(nodes.select(*keys, "rep", "copies", "vector").join(blocks, keys)
+                   .withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")), "graph-blocks")
+    # Each pair of blocks of a label once: i <= j.
+    asked = each.select(*keys, "rep", "copies", "vector", F.col("block").alias("i"),
+                        F.explode(F.sequence(F.col("block"), F.col("blocks") - 1)).alias("j"), F.lit(0).alias("side"))
+    other = each.where("block > 0").select(*keys, "rep", "copies", "vector", F.explode(F.sequence(F.lit(0), F.col("block") - 1)).alias("i"),
+                                           F.col("block").alias("j"), F.lit(1).alias("side"))
+    return written(asked.unionByName(other).groupBy(*keys, "i", "j")
+                   .applyInArrow(_compare_blocks(threshold), "rep bigint, links bigint, root bigint"), "graph-found")
 
 
 def search_links(nodes: DataFrame, sizes: list, threshold: float, overlap: int) -> DataFrame:
@@ -356,11 +418,18 @@ def near_duplicate_vectors(vectors: DataFrame, *, id_col: str = "vec_id", vector
                          F.first("vector").alias("vector")).withColumn("dim", F.size("vector")), "graph-nodes")
     sizes = nodes.groupBy("label", "dim").agg(F.count("*").alias("n")).where(F.col("n") > TARGET) \
         .orderBy(F.desc("n"), "label", "dim").limit(MAX_CENTRES).collect()
-    for overlap in OVERLAPS:
-        found = search_links(nodes, sizes, threshold, overlap)
-        links = found.groupBy("rep").agg(F.sum("links").alias("links"))
-        if not sizes or audit_recall(nodes, links, threshold) >= MIN_RECALL:
+    truth, whole = audit_truth(nodes, threshold)
+    total = lambda found: found.groupBy("rep").agg(F.sum("links").alias("links"))
+    found = None
+    # Without a label of several clusters, more overlap changes nothing.
+    for overlap in (OVERLAPS if sizes else OVERLAPS[:1]) if truth is not None else ():
+        tried = search_links(nodes, sizes, threshold, overlap)
+        if recall_of(truth, total(tried)) >= (1 if whole else MIN_RECALL):
+            found = tried
             break
+    if found is None:
+        found = all_links(nodes, threshold)
+    links = total(found)
     components = connected_components(found.select(F.col("rep").alias("u"), F.col("root").alias("v")))
     per_node = (nodes.select("key", "rep", "copies").join(links, "rep", "left")
                 .join(components.select(F.col("node").alias("rep"), "component"), "rep", "left")
