@@ -307,6 +307,28 @@ def test_line_dedup_texts(spark, rows):
     assert got[0].text == rows[0][1] and passage[0] is None
 
 
+def test_line_dedup_of_crossed_passages(spark):
+    """Every line in 20 words that an earlier text holds in a row goes, in whatever order the passages lie."""
+    rng = random.Random(17)
+    own = lambda: "\n".join(f"own{rng.randrange(10**9)} line" for _ in range(3))
+    one, two = (X.prose(rng, 50, per_line=10) for _ in range(2))
+    long = X.prose(rng, 40, per_line=40)
+    tail = X.prose(rng, 30, per_line=30)
+    texts = [[two, own(), one], [one, own(), two], [own(), one, own(), two], [own(), two, own(), one],          # 0..3
+             [long, own(), "menu", own(), "hello"], ["menu", own(), "hello", own(), long],                       # 4, 5
+             [tail, own()], [own(), tail, "signed"], [tail, "signed", own()]]                                   # 6..8
+    rows = [(i, "\n".join(t), "en", "s", 0) for i, t in enumerate(texts)]
+    rng.shuffle(rows)
+    got = {r.doc_id: r.text.split("\n") for r in linedup.dedup_lines(X.frame(spark, rows)).collect()}
+    lines = {r[0]: r[1].split("\n") for r in rows}
+    gone = {1: [one, two], 2: [one, two], 3: [one, two], 5: [long], 7: [tail], 8: [tail, "signed"]}
+    for i, has in lines.items():
+        drop = {x for t in gone.get(i, []) for x in t.split("\n")}
+        assert got[i] == [x for x in has if x not in drop], i
+    report = {r.doc_id: r.n_removed_words for r in linedup.line_report(X.frame(spark, rows)).collect()}
+    assert report == {i: sum(len(X.words(t)) for t in gone.get(i, [])) for i in lines}
+
+
 # Secrets
 
 def test_secrets(spark):

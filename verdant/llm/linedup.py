@@ -1,18 +1,21 @@
 """Line dedup by pairwise alignment.
 
-Two documents are aligned if they share a rare run of lines: from every line on,
-the fewest following lines that hold ``min_words`` words are hashed together.
-A run of so many words is rare by itself, and every common block that may be
-deleted starts with one, so none is missed. Runs held by many documents are
-never expanded into pairs: each document is aligned with the first holder of
-each of its runs, which is linear in the lines.
+Two documents are aligned if they share a rare run of lines: for every line, the
+fewest lines from it on, and the fewest up to it, that hold ``min_words`` words
+are hashed together. A run of so many words is rare by itself, and every line of
+a common block that may be deleted lies in one that the block holds, so none is
+missed. Runs held by many documents are never expanded into pairs: each document
+is aligned with the first holder of each of its runs, which is linear in the lines.
 
 The alignment is a patience diff: equal lines at both ends are matched, lines
 that occur once on either side are anchors, the longest chain of anchors in
 order is kept, and the stretches between them are aligned in the same way;
 where no line is unique, the k-th occurrences are paired. Maximal runs of matched lines
 with ``min_words`` words or more are deleted from the later document (larger
-id); the earlier one keeps them. Lines are compared without outer white space,
+id); the earlier one keeps them. An alignment cannot match passages that lie in
+another order in the two documents: runs that it leaves although the earlier
+document holds them are deleted too. So a line goes if, and only if, it lies in a
+block of ``min_words`` words that an earlier document holds. Lines are compared without outer white space,
 blank lines are left out of the alignment and go if they lie inside a deleted
 block.
 
@@ -64,12 +67,19 @@ def _split(digests: bytes) -> list[bytes]:
     return [digests[i:i + _DIGEST] for i in range(0, len(digests), _DIGEST)]
 
 
-def run_hashes(digests: bytes, counts: bytes, min_words: int) -> list[int]:
-    """A hash for each line from which on ``min_words`` words follow, over the fewest lines that hold them."""
-    upto = np.concatenate([[0], np.cumsum(np.frombuffer(counts, dtype=np.int32), dtype=np.int64)])
+def run_bounds(words: np.ndarray, min_words: int) -> list[tuple[int, int]]:
+    """The fewest lines from each line on, and up to each line, that hold ``min_words`` words, as rising ``lo <= line < hi``."""
+    upto = np.concatenate([[0], np.cumsum(words, dtype=np.int64)])
     ends = np.searchsorted(upto, upto[:-1] + min_words)
-    return [xxhash.xxh64_intdigest(digests[_DIGEST * i:_DIGEST * int(j)]) - 2**63
-            for i, j in enumerate(ends) if j < len(upto)]
+    starts = np.searchsorted(upto, upto[1:] - min_words, side="right") - 1
+    return sorted({*((i, int(j)) for i, j in enumerate(ends) if j < len(upto)),
+                   *((int(i), j + 1) for j, i in enumerate(starts) if i >= 0)})
+
+
+def run_hashes(digests: bytes, counts: bytes, min_words: int) -> list[int]:
+    """A hash for each run of ``run_bounds``."""
+    return [xxhash.xxh64_intdigest(digests[_DIGEST * i:_DIGEST * j]) - 2**63
+            for i, j in run_bounds(np.frombuffer(counts, dtype=np.int32), min_words)]
 
 
 def _run_batches(min_words: int):
@@ -145,9 +155,32 @@ def patience(a: list, b: list) -> list[tuple[int, int]]:
     return sorted(matched)
 
 
+def _left_over(later: bytes, words: np.ndarray, earlier: bytes, min_words: int, blocks: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Runs of the later document that the earlier one holds anywhere and that lie in none of ``blocks``."""
+    inside = np.full(len(words), -1)
+    for k, (lo, hi) in enumerate(blocks):
+        inside[lo:hi] = k
+    open_ = [(i, j) for i, j in run_bounds(words, min_words) if inside[i] < 0 or inside[i] != inside[j - 1]]
+    if not open_:
+        return []
+    # Lines that the later document lacks are in no common run, so their words do not matter.
+    known = dict(zip(_split(later), words.tolist(), strict=True))
+    others = np.array([known.get(x, 0) for x in _split(earlier)], dtype=np.int64)
+    held = {earlier[_DIGEST * i:_DIGEST * j] for i, j in run_bounds(others, min_words)}
+    out: list[tuple[int, int]] = []
+    for i, j in open_:
+        if later[_DIGEST * i:_DIGEST * j] in held:
+            if out and i < out[-1][1]:
+                out[-1] = out[-1][0], max(j, out[-1][1])
+            else:
+                out.append((i, j))
+    return out
+
+
 def common_blocks(later: bytes, counts: bytes, earlier: bytes, min_words: int) -> list[tuple[int, int]]:
-    """Runs ``lo <= line < hi`` of the later document that are matched line by
-    line with a run of the earlier one and hold ``min_words`` words."""
+    """Runs ``lo <= line < hi`` of the later document that hold ``min_words``
+    words and are matched line by line with a run of the earlier one, and what
+    lies in other common runs."""
     words = np.frombuffer(counts, dtype=np.int32)
     out, block = [], []
 
@@ -161,7 +194,7 @@ def common_blocks(later: bytes, counts: bytes, earlier: bytes, min_words: int) -
             close()
         block.append((i, j))
     close()
-    return out
+    return out + _left_over(later, words, earlier, min_words, out)
 
 
 def _align_batches(min_words: int):
