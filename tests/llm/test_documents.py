@@ -346,6 +346,24 @@ def test_secrets(spark):
     assert {r.doc_id for r in out} == {i for i in range(200) if i % 4 != 3} | {902}
 
 
+def test_secrets_of_any_length_and_characters(spark):
+    rng, rows, at = random.Random(9), [], {}
+    key = lambda n, chars: "a1" + "".join(rng.choice(chars) for _ in range(n - 2))
+    letters = "abcdefghkmnpqrstuvwxyz0123456789"
+    for i in range(240):
+        short, marked, long = key(10, letters), key(5, letters) + "!$" + key(6, letters) + "%", key(20, letters)
+        text, value = [(f"password={short}", short), (f"api_key: {short}", short), (f'secret = "{marked}"', marked),
+                       (f"postgres://user:{long}@host/db", long), (f"amqp://user:{marked}@host", marked),
+                       (f"mail someone.{i}@mail{i % 5}.example.com", None), (f"see number: {i}", None), ("", None)][i % 8]
+        rows.append((i, X.prose(rng, 40) + " " + text + " " + X.prose(rng, 5), "en", "src", 0))
+        at[i] = value
+    out = secrets.scan(X.frame(spark, rows)).collect()
+    flagged = {(r.doc_id, r.found) for r in out if r.is_secret}
+    assert {(i, v) for i, v in at.items() if v} <= flagged
+    assert {i for i, _ in flagged} == {i for i, v in at.items() if v}
+    assert len(out) == len({(r.doc_id, r.word_index, r.part) for r in out})
+
+
 def test_secrets_without_labels_keep_all(spark):
     out = secrets.scan(X.frame(spark, [(1, "0123456789012345678", "en", None, 0)])).collect()
     assert [(r.score, r.is_secret) for r in out] == [(1.0, True)]

@@ -1,12 +1,15 @@
 """Secret scans with a random forest that removes false positives.
 
-Candidates are runs of 16 or more key characters inside a word. A forest judges
+Candidates are runs of 16 or more key characters inside a word, and, at any length
+and of any characters, the values assigned to a credential's name (in the same
+word or the next ones) and the passwords of addresses (``scheme://user:password@host``).
+A forest judges
 each by its length, its character classes and transitions (mean log-probability
 of its letter pairs, learned from the corpus's own dictionary), the share of it
 that dictionary words cover, the document's path, and the neighbouring words. It
 is trained on labelled findings: by default candidates whose form settles the
-matter (values assigned to a credential's name; numbers, plain words, addresses
-and placeholders), or any table of findings with labels.
+matter (values assigned to a credential's name; numbers, plain words, mail
+addresses and placeholders), or any table of findings with labels.
 
 DataFrame functions and Spark's own forest only. The dictionary holds the words
 of at least ``MIN_DOCS`` documents and is joined, never sent whole.
@@ -21,7 +24,7 @@ from __future__ import annotations
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from verdant.llm.common import words, written
@@ -33,23 +36,54 @@ TREES, DEPTH, SEED = 24, 7, 7
 BEFORE, AFTER = 3, 2
 # Names that credentials are assigned to, and paths that hold examples.
 NAMES = r"(?i)(token|secret|passw|pwd|api[_\-]?key|apikey|auth|credential|bearer|private|access[_\-]?key)"
+# A name with what may stand between it and its value, and marks that open or end a value.
+ASSIGNED = NAMES + r"[\w.\-\]\[]*[\"'`]*(?::=|=>|==|[=:])"
+OPENS, ENDS = r"[\"'`(<\[{]*", r"[\"'`,;]+$"
+PASSWORD = r"://[^/\s:@]*:([^/\s]+)@"
+MAIL = r"^[\"'`(<\[{]*(?i:mailto:)?[\w.%+\-]+@[\w\-]+(\.[\w\-]+)*[\"'`)>\]},;.:!?]*$"
 EXAMPLES = r"(?i)(test|example|sample|fixture|mock|doc|demo|template)"
 FEATURES = ("length", "digits", "uppers", "changes", "distinct", "pairs", "covered", "slashes", "dots", "equals",
             "named", "assigned", "quoted", "path_example", "path_depth", "path_kind", "before_kind", "after_kind")
 
 
+def _values(w, i) -> Column:
+    """The values in word ``i`` of ``w`` that are assigned to a credential's name, and passwords of addresses."""
+    word, last, one_before = w[i], F.coalesce(F.get(w, i - 1), F.lit("")), F.coalesce(F.get(w, i - 2), F.lit(""))
+    none = F.array().cast("array<string>")
+    bare = lambda x: F.regexp_replace(F.regexp_replace(x, "^" + OPENS, ""), ENDS, "")
+    mark, named = r"^[\"'`]*(?::=|=>|==|[=:])", NAMES + r"[\w.\-\]\[]*[\"'`]*$"
+    inside = F.when(F.contains(word, F.lit("=")) | F.contains(word, F.lit(":")), F.concat(
+        F.when(word.rlike(ASSIGNED), F.concat(
+            F.array(bare(F.regexp_extract(word, ASSIGNED + "(.*)$", 2))),
+            # Parts of a list of assignments (query strings, connection strings).
+            F.transform(F.regexp_extract_all(word, F.lit(ASSIGNED + OPENS + r"([^&;,]+)"), F.lit(2)), bare))).otherwise(none),
+        F.regexp_extract_all(word, F.lit(PASSWORD), F.lit(1)))).otherwise(none)
+    opens = F.startswith(word, F.lit("=")) | F.startswith(word, F.lit(":"))
+    ends = F.endswith(last, F.lit("=")) | F.endswith(last, F.lit(":")) | F.endswith(last, F.lit("=>"))
+    after = (F.when(ends & (last.rlike(ASSIGNED + "$") | (last.rlike(mark + "$") & one_before.rlike(named))), F.array(bare(word)))
+             .when(opens & last.rlike(named), F.array(bare(F.regexp_replace(word, mark, "")))).otherwise(none))
+    return F.array_distinct(F.filter(F.concat(inside, after), lambda x: x != ""))
+
+
 def candidates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", path_col: str = "source") -> DataFrame:
-    """``(doc_id, path, word_index, part, found, word, before, after)``: ``part`` numbers the candidates of a word."""
+    """``(doc_id, path, word_index, word, before, after, part, found, value)``: ``part`` numbers the candidates
+    of a word, ``value`` says whether it is a value of ``_values``."""
     w = F.col("w")
-    at = F.filter(F.sequence(F.lit(0), F.size("w") - 1), lambda i: (F.length(w[i]) >= 16) & w[i].rlike(CANDIDATE))
+    long = lambda i: (F.length(w[i]) >= 16) & w[i].rlike(CANDIDATE)
+    sign = lambda x: F.coalesce(F.contains(x, F.lit("=")) | F.contains(x, F.lit(":")), F.lit(False))
+    at = F.filter(F.sequence(F.lit(0), F.size("w") - 1),
+                  lambda i: long(i) | ((sign(w[i]) | sign(F.get(w, i - 1))) & (F.size(_values(w, i)) > 0)))
     rows = (docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.coalesce(F.col(f"`{path_col}`").cast("string"), F.lit("")).alias("path"),
                         words(F.col(f"`{text_col}`")).alias("w"))
             .where(F.size("w") > 0).withColumn("word_index", F.explode(at)))
     i = F.col("word_index")
     start = F.greatest(i - BEFORE, F.lit(0))
-    return rows.select("doc_id", "path", "word_index", w[i].alias("word"), F.slice("w", start + 1, i - start).alias("before"),
-                       F.slice("w", i + 2, AFTER).alias("after"),
-                       F.posexplode(F.regexp_extract_all(w[i], F.lit(CANDIDATE), F.lit(0))).alias("part", "found"))
+    runs = F.regexp_extract_all(w[i], F.lit(CANDIDATE), F.lit(0))
+    each = rows.select("doc_id", "path", "word_index", w[i].alias("word"), F.slice("w", start + 1, i - start).alias("before"),
+                       F.slice("w", i + 2, AFTER).alias("after"), runs.alias("runs"), _values(w, i).alias("values"))
+    # Runs keep their places; a value that is no run comes after them.
+    return (each.select("*", F.posexplode(F.concat("runs", F.array_except("values", "runs"))).alias("part", "found"))
+            .withColumn("value", F.array_contains("values", F.col("found"))).drop("runs", "values"))
 
 
 def dictionary(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -97,8 +131,8 @@ def place_features(rows: DataFrame) -> DataFrame:
     kind = lambda c: F.pmod(F.xxhash64(F.lower(F.coalesce(c, F.lit("")))), F.lit(16)).cast("double")
     yes = lambda c: c.cast("double")
     return rows.select(
-        "*", yes(before.rlike(NAMES) | F.col("word").rlike(NAMES)).alias("named"),
-        yes(before.rlike(r"[=:]>?\s*$") | F.col("word").rlike(r"^[A-Za-z_\-]+[=:]")).alias("assigned"),
+        "*", yes(F.col("value") | before.rlike(NAMES) | F.col("word").rlike(NAMES)).alias("named"),
+        yes(F.col("value") | before.rlike(r"[=:]>?\s*$") | F.col("word").rlike(r"^[A-Za-z_\-]+[=:]")).alias("assigned"),
         yes(F.col("word").rlike("[\"'`]")).alias("quoted"), yes(F.col("path").rlike(EXAMPLES)).alias("path_example"),
         F.size(F.split("path", "/")).cast("double").alias("path_depth"),
         kind(F.regexp_extract("path", r"\.([A-Za-z0-9]+)$", 1)).alias("path_kind"),
@@ -108,8 +142,8 @@ def place_features(rows: DataFrame) -> DataFrame:
 def form_labels(rows: DataFrame) -> DataFrame:
     """Labelled findings among candidates with features: 1, 0, or null where the form settles nothing."""
     f = F.col("found")
-    harmless = (f.rlike(r"^[0-9.\-/+=_]+$") | f.rlike(r"^[A-Za-z.\-_]+$") | F.col("word").rlike("@")
-                | f.rlike(r"(?i)(xxxx|example|placeholder|changeme|12345678|(.)\2{7})") | f.rlike(r"^/|://"))
+    harmless = (f.rlike(r"^[0-9.\-/+=_]+$") | f.rlike(r"^[A-Za-z.\-_]+$") | F.col("word").rlike(MAIL)
+                | f.rlike(r"(?i)(xxxx|example|placeholder|changeme|12345678|(.)\2{7})") | (f.rlike(r"^/|://") & ~f.rlike(PASSWORD)))
     secret = (F.col("named") == 1) & (F.col("assigned") == 1) & (F.col("digits") > 0.1) & (F.col("digits") < 1)
     return rows.withColumn("label", F.when(harmless, 0.0).when(secret, 1.0))
 
