@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from verdant.llm import hyperlang, linedup, mixing, packing, quality, secrets, setsketch, suffixes, toxicity, vectorgraph
+from verdant.llm import (conversations, hyperlang, linedup, mixing, packing, quality, resample, secrets, setsketch, suffixes, tokens,
+                         toxicity, vectorgraph)
 from verdant.sources.tables import table
 
 QUERIES: dict = {}
@@ -72,3 +74,18 @@ def toxicity_query(spark, sf_dir):
 @_query("op10_mixing", mixing.ORACLE.format(documents="documents"))
 def mixing_query(spark, sf_dir):
     return mixing.mix_report(table(spark, sf_dir, "documents"))
+
+
+@_query("op11_token_counts")
+def token_query(spark, sf_dir):
+    return tokens.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@_query("op12_importance_resampling")
+def resample_query(spark, sf_dir):
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@_query("op13_conversation_repair")
+def conversation_query(spark, sf_dir):
+    return conversations.repair_conversations(conversations.damaged(table(spark, sf_dir, "conversations")))
