@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from verdant.operators.broadcast import broadcast_if_small
 from verdant.session import scratch_path
 
 # A word is a maximal run of bytes other than space and \t..\r.
@@ -23,12 +24,24 @@ def n_words(text: Column) -> Column:
     return F.when(text.isNull(), F.lit(0)).otherwise(F.size(words(text))).cast("long")
 
 
-def written(df: DataFrame, prefix: str) -> DataFrame:
+_ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def written(df: DataFrame, prefix: str, arrow_bytes: int | None = None) -> DataFrame:
     """Write ``df`` under ``spark.checkpoint.dir`` and read it back: the lineage
-    is cut, and a lost executor costs only the reading of a file."""
+    is cut, and a lost executor costs only the reading of a file. With
+    ``arrow_bytes`` the Arrow batches of this write are no larger, whatever the
+    session's setting, so that long texts don't add up in a Python worker."""
     spark = df.sparkSession
     path = scratch_path(spark, prefix)
-    df.write.parquet(path)
+    before = spark.conf.get(_ARROW_BYTES, None)
+    if arrow_bytes:
+        spark.conf.set(_ARROW_BYTES, str(arrow_bytes))
+    try:
+        df.write.parquet(path)
+    finally:
+        if arrow_bytes:
+            spark.conf.set(_ARROW_BYTES, before) if before else spark.conf.unset(_ARROW_BYTES)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -37,6 +50,17 @@ def whole_row(df: DataFrame, name: str = "row") -> Column:
     return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(name)
 
 
+def dealt_join(many: DataFrame, one: DataFrame, key: str, spread: tuple[str, ...], per_part: int = 1000) -> DataFrame:
+    """Inner join of ``many`` with ``one``, which has one row a key. A key with more than ``per_part`` rows is dealt out:
+    its rows go by the hash of their columns ``spread``, and its row of ``one`` is replicated once for every
+    ``per_part`` of them."""
+    hot = written(many.groupBy(key).agg(F.ceil(F.count("*") / per_part).cast("int").alias("_parts")).where("_parts > 1"), "hot-keys")
+    parts = F.coalesce("_parts", F.lit(1))
+    left = many.join(broadcast_if_small(hot), key, "left").withColumn("_part", F.pmod(F.xxhash64(*spread), parts).cast("int")).drop("_parts")
+    right = one.join(broadcast_if_small(hot), key, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("_parts")
+    return left.join(right, [key, "_part"]).drop("_part")
+
+
 def _min_neighbour(edges: DataFrame) -> DataFrame:
     return edges.groupBy("u").agg(F.min("v").alias("m"))
 

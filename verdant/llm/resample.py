@@ -47,9 +47,10 @@ from pyspark.sql import functions as F
 from verdant.llm.common import written
 
 BUCKETS = 10_000
-BATCH_BYTES = 1 << 18
+BATCH_BYTES = 1 << 17
 _LANES = 8                  # n-grams up to 64 bytes are verified in array operations, eight bytes at a time
 
+_WIDTHS = {2: np.uint16, 4: np.uint32}
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 # A word is a run of code points outside \x00-\x2F, \x3A-\x60 and \x7B-\x7F.
@@ -170,17 +171,16 @@ def _intern_batches(batch_bytes: int):
         """One output row; ``texts`` is one long text or the texts of a batch."""
         if len(texts) == 1 and len(texts[0]) > batch_bytes:
             n, buckets, counts = long_text(texts[0], batch_bytes)
-            words, slots, width = np.array([n]), None, 0
+            words, slots, width = np.array([n]), None, 4
         else:
             sizes = np.array([len(t) + 1 for t in texts], dtype=np.int64)
             words, slots, buckets, counts = interned(b"\n".join(texts), np.concatenate([[0], np.cumsum(sizes)[:-1]]))
-            slots = slots.astype(np.uint16 if len(buckets) <= 1 << 16 else np.uint32)
-            width = slots.dtype.itemsize
-            slots = slots.tobytes()
+            width = 2 if len(slots) < 1 << 16 else 4             # bytes that hold a slot id or a count
+            slots = slots.astype(_WIDTHS[width]).tobytes()
         return pa.RecordBatch.from_arrays(
             [pa.array([ids], pa.list_(arrow)), pa.array([words.astype(np.int64).tobytes()], pa.binary()),
              pa.array([slots], pa.binary()), pa.array([width], pa.int32()), pa.array([buckets.tobytes()], pa.binary()),
-             pa.array([counts.astype(np.int64).tobytes()], pa.binary())],
+             pa.array([counts.astype(_WIDTHS[width]).tobytes()], pa.binary())],
             names=["ids", "words", "slots", "width", "buckets", "counts"])
 
     def run(batches):
@@ -206,14 +206,15 @@ def interned_batches(docs: DataFrame, batch_bytes: int = BATCH_BYTES) -> DataFra
     """One row a batch of rows ``(doc_id, text)``, written to the shared folder."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     return written(docs.mapInArrow(_intern_batches(batch_bytes), f"ids array<{kind}>, words binary, slots binary, "
-                                   "width int, buckets binary, counts binary"), "resample-batches")
+                                   "width int, buckets binary, counts binary"), "resample-batches", arrow_bytes=8 << 20)
 
 
 def _total_batches(batches):
     total = np.zeros(BUCKETS, dtype=np.int64)
     for batch in batches:
-        for b, c in zip(batch.column("buckets").to_pylist(), batch.column("counts").to_pylist(), strict=True):
-            np.add.at(total, np.frombuffer(b, dtype=np.uint16), np.frombuffer(c, dtype=np.int64))
+        for width, b, c in zip(*(batch.column(c) for c in ("width", "buckets", "counts")), strict=True):
+            counts = np.frombuffer(c.as_buffer(), dtype=_WIDTHS[width.as_py()])
+            total += np.bincount(np.frombuffer(b.as_buffer(), dtype=np.uint16), weights=counts, minlength=BUCKETS).astype(np.int64)
     used = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(total[used], pa.int64())], names=["bucket", "n"])
 
@@ -221,7 +222,7 @@ def _total_batches(batches):
 def bucket_totals(batches: DataFrame) -> list[int]:
     """Occurrences by bucket: sums of the slots' counts, at most ``BUCKETS`` rows to the driver."""
     out = [0] * BUCKETS
-    summed = batches.select("buckets", "counts").mapInArrow(_total_batches, "bucket int, n bigint").groupBy("bucket").agg(F.sum("n").alias("n"))
+    summed = batches.select("width", "buckets", "counts").mapInArrow(_total_batches, "bucket int, n bigint").groupBy("bucket").agg(F.sum("n").alias("n"))
     for row in summed.collect():
         out[row["bucket"]] = row["n"]
     return out
@@ -238,14 +239,15 @@ def _weight_batches(gain: np.ndarray):
     def run(batches):
         for batch in batches:
             for ids, words, slots, width, buckets, counts in zip(
-                    *(batch.column(c).to_pylist() for c in ("ids", "words", "slots", "width", "buckets", "counts")), strict=True):
-                n_words = np.frombuffer(words, dtype=np.int64)
-                by_slot = gain[np.frombuffer(buckets, dtype=np.uint16)]
+                    *(batch.column(c) for c in ("ids", "words", "slots", "width", "buckets", "counts")), strict=True):
+                kind = _WIDTHS[width.as_py()]
+                n_words = np.frombuffer(words.as_buffer(), dtype=np.int64)
+                by_slot = gain[np.frombuffer(buckets.as_buffer(), dtype=np.uint16)]
                 pairs = np.maximum(n_words - 1, 0)
-                if slots is None:
-                    total = np.array([(by_slot * np.frombuffer(counts, dtype=np.int64)).sum()])
+                if not slots.is_valid:
+                    total = np.array([(by_slot * np.frombuffer(counts.as_buffer(), dtype=kind)).sum()])
                 else:
-                    gathered = by_slot[np.frombuffer(slots, dtype=np.uint16 if width == 2 else np.uint32)]
+                    gathered = by_slot[np.frombuffer(slots.as_buffer(), dtype=kind)]
                     upto = np.concatenate([[0], np.cumsum(gathered)])
                     last = np.cumsum(n_words)
                     last_pair = last[-1] + np.cumsum(pairs)
@@ -253,7 +255,7 @@ def _weight_batches(gain: np.ndarray):
                 features = n_words + pairs
                 weight = np.where(features > 0, total // np.maximum(features, 1), 0)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids, batch.column("ids").type.value_type), pa.array(n_words), pa.array(features), pa.array(weight)],
+                    [ids.values, pa.array(n_words), pa.array(features), pa.array(weight)],
                     names=["doc_id", "n_words", "n_features", "weight"])
     return run
 
@@ -275,7 +277,7 @@ def resample(docs: DataFrame, target: DataFrame, *, id_col: str = "doc_id", text
     h = F.conv(F.substring(F.sha2(F.concat(F.lit(f"{seed}:"), F.col("doc_id").cast("string")), 256), 1, 8), 16, 10).cast("long")
     noise = F.floor(-1000 * F.log(-F.log((h + 0.5) / F.lit(4294967296.0))))
     scored = written(weights(docs, target, batch_bytes=batch_bytes).withColumn("score", (F.col("weight") + noise).cast("long")),
-                     "resample-scores")
+                     "resample-scores", arrow_bytes=8 << 20)
     fits = (F.col("n_words") >= min_words) & F.col("score").isNotNull()
     by_score = scored.where(fits).groupBy("score").agg(F.count("*").alias("n"))
     # Scores are whole thousandths of logarithms: at most some 100,000 rows, whatever the number of documents.
