@@ -1,6 +1,8 @@
 """The operators on documents against plain-Python versions, on awkward rows."""
 
+import hashlib
 import random
+import time
 from collections import Counter
 
 import duckdb
@@ -259,26 +261,120 @@ def test_patience_matches_in_order():
         assert linedup.patience(a, a) == [(i, i) for i in range(len(a))]
 
 
-def line_brute(rows, min_words):
-    """(doc_id, text) -> remaining lines, from aligning every pair of different texts."""
+def longest_chain(pairs):
+    """Longest chain rising in both, by the quadratic program; of equal ones the latest pairs count."""
+    size = []
+    for k, (_, j) in enumerate(pairs):
+        size.append(1 + max((size[h] for h in range(k) if pairs[h][1] < j), default=0))
+    chain = []
+    for k in range(len(pairs) - 1, -1, -1):
+        if size[k] == (size[chain[-1]] - 1 if chain else max(size)):
+            chain.append(k)
+    return [pairs[k] for k in reversed(chain)]
+
+
+def aligned(a, b):
+    """Patience alignment of two lists of lines, written as recursion over slices."""
+    if not a or not b:
+        return []
+    if a[0] == b[0]:
+        return [(0, 0)] + [(i + 1, j + 1) for i, j in aligned(a[1:], b[1:])]
+    if a[-1] == b[-1]:
+        return aligned(a[:-1], b[:-1]) + [(len(a) - 1, len(b) - 1)]
+    anchors = [(i, b.index(x)) for i, x in enumerate(a) if a.count(x) == 1 and b.count(x) == 1]
+    if not anchors:
+        rank = lambda s, i: s[:i].count(s[i])
+        anchors = [(i, j) for i, x in enumerate(a) for j, y in enumerate(b) if x == y and rank(a, i) == rank(b, j)]
+    chain = longest_chain(anchors)
+    out, start = [], (0, 0)
+    for end in [*chain, (len(a), len(b))] if chain else []:
+        if start[0] < end[0] and start[1] < end[1]:
+            out += [(i + start[0], j + start[1]) for i, j in aligned(a[start[0]:end[0]], b[start[1]:end[1]])]
+        start = end
+    return out
+
+
+def windows_of(lines, min_words):
+    """The fewest lines from each line on, and up to each line, with ``min_words`` words."""
+    n, out = [len(X.words(x)) for x in lines], set()
+    for i in range(len(lines)):
+        ends = [j for j in range(i + 1, len(lines) + 1) if sum(n[i:j]) >= min_words]
+        starts = [j for j in range(i + 1) if sum(n[j:i + 1]) >= min_words]
+        out |= {(i, min(ends))} if ends else set()
+        out |= {(max(starts), i + 1)} if starts else set()
+    return {tuple(lines[i:j]) for i, j in out}
+
+
+def deleted_by(later, earlier, min_words, align=aligned):
+    """Numbers of the later lines that alignments of stretch after stretch put in blocks."""
+    if not windows_of(later, min_words) & {tuple(earlier[i:j]) for i in range(len(earlier)) for j in range(i + 1, len(earlier) + 1)}:
+        return set()
+    pairs, blocks = align(later, earlier), []
+    for i, j in pairs:
+        if blocks and blocks[-1][-1] == (i - 1, j - 1):
+            blocks[-1].append((i, j))
+        else:
+            blocks.append([(i, j)])
+    blocks = [[i for i, _ in b] for b in blocks]
+    found = {i for b in blocks if sum(len(X.words(later[i])) for i in b) >= min_words for i in b}
+    borders = found or {i for i, _ in pairs}
+    out, start = set(found), 0
+    for end in [*sorted(borders), len(later)] if borders else []:
+        out |= {start + i for i in deleted_by(later[start:end], earlier, min_words, align)} if start < end else set()
+        start = end + 1
+    return out
+
+
+def line_brute(rows, min_words, align=aligned):
+    """First holder of every text, and its remaining lines by plain Python: every text is aligned with the first holder
+    of each of its runs."""
     first = {}
     for r in rows:
         if r[0] is not None and r[1] is not None:
             first[r[1]] = min(first.get(r[1], r[0]), r[0])
-    texts = sorted(first, key=lambda t: (first[t], linedup.xxhash.xxh3_128_digest(t.encode())))
-    own = {t: [x for x in t.split("\n") if X.words(x)] for t in texts}
-    tables = {t: linedup.line_table(t.encode()) for t in texts}
-    out = {}
+    texts = sorted(first, key=lambda t: (first[t], hashlib.sha256(t.encode()).hexdigest()))
+    own = {t: [x.strip(" \t\n\v\f\r") for x in t.split("\n") if X.words(x)] for t in texts}
+    holder, out = {}, {}
     for t in texts:
+        runs = windows_of(own[t], min_words)
         gone = set()
-        for other in texts:
-            if first[other] < first[t]:
-                for lo, hi in linedup.common_blocks(tables[t][0], tables[t][1], tables[other][0], min_words):
-                    gone.update(range(lo, hi))
-        out[t] = [x for k, x in enumerate(own[t]) if k not in gone]
+        for other in {holder[x] for x in runs if x in holder}:
+            gone |= deleted_by(own[t], own[other], min_words, align)
+        for x in runs:
+            holder.setdefault(x, t)
+        raw = [x for x in t.split("\n") if X.words(x)]
+        out[t] = [x for k, x in enumerate(raw) if k not in gone]
     return first, out
 
 
+def test_alignments_equal_plain_ones():
+    rng = random.Random(23)
+    for _ in range(300):
+        a, b = ([rng.choice("abcdefghijklmnop"[:rng.randrange(2, 16)]) for _ in range(rng.randrange(12))] for _ in range(2))
+        assert linedup.patience(a, b) == aligned(a, b)
+    for _ in range(300):
+        pool = [" ".join([c] * rng.randrange(1, 8)) for c in "abcdefghij"]
+        a, b = ([rng.choice(pool) for _ in range(rng.randrange(14))] for _ in range(2))
+        ta, tb = (linedup.line_table("\n".join(x).encode()) for x in (a, b))
+        got = {k for lo, hi in linedup.common_blocks(ta[0], ta[1], tb[0], 8) for k in range(lo, hi)}
+        assert got == (deleted_by(a, b, 8) if a and b else set()), (a, b)
+
+
+def test_alignment_decides(spark, rows, monkeypatch):
+    """Without its alignments the operator deletes nothing but copies."""
+    monkeypatch.setattr(linedup, "patience", lambda a, b: [])
+    table = linedup.line_table(next(r[1] for r in rows if r[0] == 80).encode())
+    assert linedup.common_blocks(table[0], table[1], table[0], 20) == []
+    monkeypatch.undo()
+    assert linedup.common_blocks(table[0], table[1], table[0], 20) == [(0, len(table[0]) // 16)]
+
+
+def test_hot_first_holder_is_dealt_out(spark, rows, monkeypatch):
+    plain = sorted(map(tuple, linedup.line_report(X.frame(spark, rows)).collect()), key=str)
+    monkeypatch.setattr(linedup, "PARTNERS", 1)
+    assert sorted(map(tuple, linedup.line_report(X.frame(spark, rows)).collect()), key=str) == plain
+
+
 def test_line_dedup_equals_alignment_of_all_pairs(spark, rows):
     first, rest = line_brute(rows, 20)
     out = linedup.line_report(X.frame(spark, rows)).collect()
@@ -329,6 +425,36 @@ def test_line_dedup_of_crossed_passages(spark):
     assert report == {i: sum(len(X.words(t)) for t in gone.get(i, [])) for i in lines}
 
 
+def test_reused_ids(spark):
+    """Texts that share an id are judged each by itself; the two entry points agree."""
+    rng = random.Random(31)
+    text, other = X.prose(rng, 120), X.prose(rng, 90)
+    rows = [(1, text, "en", "s", 0), (2, text + " more", "en", "s", 0), (2, other, "en", "s", 0), (3, other + " end", "en", "s", 0),
+            (2, "A b c d e f", "en", "s", 0), (2, "a  b c d e f", "en", "s", 0), (4, other, "en", "s", 0)]
+    df = X.frame(spark, rows)
+    got = Counter((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in setsketch.near_duplicates(df).collect())
+    n = lambda t: len(X.shingles(t, 5))
+    assert got == Counter([(1, n(text), 1, True), (2, n(text) + 1, 1, False), (2, n(other), 2, True), (3, n(other) + 1, 2, False),
+                           (2, 2, 2, True), (2, 2, 2, True), (4, n(other), 2, False)])
+    kept = [(r.doc_id, r.text) for r in setsketch.keep_one_each(df).collect()]
+    assert sorted(t for i, t in kept if i == 2 and t != other) in (["A b c d e f"], ["a  b c d e f"])
+    assert {(1, text), (2, other)} <= set(kept) and len(kept) == 3
+
+
+def test_slope_tells_what_the_estimate_tells():
+    rng = np.random.default_rng(4)
+    sets = [np.unique(rng.integers(0, 2**63, 300, dtype=np.uint64)) for _ in range(3)]
+    pairs = [(np.concatenate([sets[0][:k], sets[1][:m]]), np.concatenate([sets[0][:k], sets[2][:q]]))
+             for k in range(20, 300, 9) for m, q in ((0, 40), (20, 20), (5, 60), (60, 5))]
+    ra, rb = (np.array([setsketch.registers(p[x], 200) for p in pairs]) for x in (0, 1))
+    na, nb = (np.array([float(len(p[x])) for p in pairs]) for x in (0, 1))
+    j = setsketch.estimate(ra, rb, na, nb)
+    for limit in (0.3, 0.63, 0.8):
+        clear = np.abs(j - limit) > 1e-6
+        assert np.array_equal(setsketch.may_reach(ra, rb, na, nb, limit)[clear], (j >= limit)[clear])
+    assert np.array_equal(setsketch.may_reach(ra, ra[3], na, na[3], 0.63), setsketch.may_reach(ra, np.tile(ra[3], (len(ra), 1)), na, np.full(len(na), na[3]), 0.63))
+
+
 # Secrets
 
 def test_secrets(spark):
@@ -364,6 +490,22 @@ def test_secrets_of_any_length_and_characters(spark):
     assert len(out) == len({(r.doc_id, r.word_index, r.part) for r in out})
 
 
+def test_secrets_in_very_long_words(spark):
+    """Words of a megabyte, with and without '@', whole and in time in proportion to them."""
+    rng = random.Random(4)
+    n = 1 << 20
+    letters = "".join(rng.choice("abcdefXYZ0123456789+/") for _ in range(n))
+    words = ["x@" + "a." * (n // 2), "x@" + "." * n + "#", letters, "@".join(letters[i:i + 30] for i in range(0, n, 30)), "=" * n, "a=" * 3000]
+    rows = [(k, f"mail {w} here", "en", "src", 0) for k, w in enumerate(words)] + [(9, 'token = "0123456789abcdef0123456789abcdef"', "en", "src", 0)]
+    began = time.time()
+    out = secrets.scan(X.frame(spark, rows)).collect()
+    assert time.time() - began < 60
+    size = Counter()
+    for r in out:
+        size[r.doc_id] += r.length
+    assert size[2] == n and len([r for r in out if r.doc_id == 3]) >= n // 30 and size[9] == 32
+
+
 def test_secrets_without_labels_keep_all(spark):
     out = secrets.scan(X.frame(spark, [(1, "0123456789012345678", "en", None, 0)])).collect()
     assert [(r.score, r.is_secret) for r in out] == [(1.0, True)]

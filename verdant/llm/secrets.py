@@ -14,9 +14,16 @@ addresses and placeholders), or any table of findings with labels.
 DataFrame functions and Spark's own forest only. The dictionary holds the words
 of at least ``MIN_DOCS`` documents and is joined, never sent whole.
 
+Strings and their words may be of any length: all patterns take time in proportion
+to them, a string's letter pairs and dictionary words are counted under its
+128-bit key, and what neighbours and word tell is worked out once a word, so that
+no row of a candidate carries more than the candidate.
+
 Defined results: null and empty texts have no candidates; repeated rows are
 scanned each; a null path counts as empty; if the labelled findings lack one of
-the two labels nothing can be told apart and every candidate keeps score 1.
+the two labels nothing can be told apart and every candidate keeps score 1;
+candidates of equal features have equal scores; other columns, whatever their
+names, are left out; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -27,20 +34,21 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from verdant.llm.common import words, written
+from verdant.llm.common import dealt_join, words, written
 
 CANDIDATE = r"[A-Za-z0-9_+/=.\-]{16,}"
 MIN_DOCS = 5
 FIT_ROWS = 50_000        # labelled findings at most that the forest is trained on
 TREES, DEPTH, SEED = 24, 7, 7
-BEFORE, AFTER = 3, 2
+BEFORE = 3               # words before a candidate that may name it
 # Names that credentials are assigned to, and paths that hold examples.
 NAMES = r"(?i)(token|secret|passw|pwd|api[_\-]?key|apikey|auth|credential|bearer|private|access[_\-]?key)"
 # A name with what may stand between it and its value, and marks that open or end a value.
 ASSIGNED = NAMES + r"[\w.\-\]\[]*[\"'`]*(?::=|=>|==|[=:])"
 OPENS, ENDS = r"[\"'`(<\[{]*", r"[\"'`,;]+$"
 PASSWORD = r"://[^/\s:@]*:([^/\s]+)@"
-MAIL = r"^[\"'`(<\[{]*(?i:mailto:)?[\w.%+\-]+@[\w\-]+(\.[\w\-]+)*[\"'`)>\]},;.:!?]*$"
+# Possessive repeats and no repeated group: time in proportion to the word, and no recursion.
+MAIL = r"^[\"'`(<\[{]*+(?i:mailto:)?[\w.%+\-]++@[\w.\-]++[\"'`)>\]},;:!?.]*+$"
 EXAMPLES = r"(?i)(test|example|sample|fixture|mock|doc|demo|template)"
 FEATURES = ("length", "digits", "uppers", "changes", "distinct", "pairs", "covered", "slashes", "dots", "equals",
             "named", "assigned", "quoted", "path_example", "path_depth", "path_kind", "before_kind", "after_kind")
@@ -66,8 +74,9 @@ def _values(w, i) -> Column:
 
 
 def candidates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", path_col: str = "source") -> DataFrame:
-    """``(doc_id, path, word_index, word, before, after, part, found, value)``: ``part`` numbers the candidates
-    of a word, ``value`` says whether it is a value of ``_values``."""
+    """``(doc_id, path, word_index, part, found, key, value)`` and the features of the candidate's place: ``part``
+    numbers the candidates of a word, ``key`` is the hash of the string, ``value`` says whether it is a value of
+    ``_values``, and ``mail`` whether the word is a mail address."""
     w = F.col("w")
     long = lambda i: (F.length(w[i]) >= 16) & w[i].rlike(CANDIDATE)
     sign = lambda x: F.coalesce(F.contains(x, F.lit("=")) | F.contains(x, F.lit(":")), F.lit(False))
@@ -79,11 +88,14 @@ def candidates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     i = F.col("word_index")
     start = F.greatest(i - BEFORE, F.lit(0))
     runs = F.regexp_extract_all(w[i], F.lit(CANDIDATE), F.lit(0))
-    each = rows.select("doc_id", "path", "word_index", w[i].alias("word"), F.slice("w", start + 1, i - start).alias("before"),
-                       F.slice("w", i + 2, AFTER).alias("after"), runs.alias("runs"), _values(w, i).alias("values"))
+    each = place_features(rows.select(
+        "doc_id", "path", "word_index", w[i].alias("word"), F.slice("w", start + 1, i - start).alias("before"),
+        F.get("w", i + 1).alias("after"), runs.alias("runs"), _values(w, i).alias("values")))
     # Runs keep their places; a value that is no run comes after them.
-    return (each.select("*", F.posexplode(F.concat("runs", F.array_except("values", "runs"))).alias("part", "found"))
-            .withColumn("value", F.array_contains("values", F.col("found"))).drop("runs", "values"))
+    parts = each.select("*", F.posexplode(F.concat("runs", F.array_except("values", "runs"))).alias("part", "found"))
+    parts = parts.withColumn("value", F.array_contains("values", F.col("found"))).drop("runs", "values")
+    yes = lambda c: F.greatest(F.col(c), F.col("value").cast("double")).alias(c)
+    return parts.select(*[yes(c) if c in ("named", "assigned") else c for c in parts.columns], F.unhex(F.md5("found")).alias("key"))
 
 
 def dictionary(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -94,7 +106,8 @@ def dictionary(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def _pairs(text):
-    return F.transform(F.sequence(F.lit(1), F.length(text) - 1), lambda i: F.substring(text, i, F.lit(2)))
+    """All pairs of neighbouring characters, found in one pass."""
+    return F.regexp_extract_all(text, F.lit("(?s)(?=(..))"), F.lit(1))
 
 
 def pair_weights(entries: DataFrame) -> DataFrame:
@@ -106,43 +119,44 @@ def pair_weights(entries: DataFrame) -> DataFrame:
 
 
 def string_features(found: DataFrame, entries: DataFrame) -> DataFrame:
-    """Features of the distinct strings in the column ``found``."""
+    """Features of the distinct strings in the columns ``(key, found)``, by key."""
     f = F.col("found")
     size = F.length(f).cast("double")
     share = lambda others: F.length(F.regexp_replace(f, others, "")) / size
     classes = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.regexp_replace(
         f, "[0-9]+", "~"), "[A-Z]+", "^"), "[a-z]+", "|"), r"[_+/=.\-]+", "#")
-    distinct = found.select("found").distinct()
+    distinct = written(found.groupBy("key").agg(F.first("found").alias("found")), "secret-strings")
     logp = F.broadcast(pair_weights(entries))
-    pairs = (distinct.select("found", F.explode(_pairs(F.lower(f))).alias("pair")).join(logp, "pair", "left")
-             .groupBy("found").agg(F.avg(F.coalesce("logp", F.lit(-14.0))).alias("pairs")))
-    parts = distinct.select("found", F.explode(F.regexp_extract_all(F.lower(f), F.lit("[a-z]{3,}"), F.lit(0))).alias("entry"))
-    covered = (parts.join(entries.select("entry"), "entry").groupBy("found").agg(F.sum(F.length("entry")).alias("chars")))
-    return distinct.join(pairs, "found", "left").join(covered, "found", "left").select(
-        "found", size.alias("length"), share("[^0-9]").alias("digits"), share("[^A-Z]").alias("uppers"),
+    pairs = (distinct.select("key", F.explode(_pairs(F.lower(f))).alias("pair")).join(logp, "pair", "left")
+             .groupBy("key").agg(F.avg(F.coalesce("logp", F.lit(-14.0))).alias("pairs")))
+    parts = distinct.select("key", F.explode(F.regexp_extract_all(F.lower(f), F.lit("[a-z]{3,}"), F.lit(0))).alias("entry"))
+    covered = (parts.join(entries.select("entry"), "entry").groupBy("key").agg(F.sum(F.length("entry")).alias("chars")))
+    return distinct.join(pairs, "key", "left").join(covered, "key", "left").select(
+        "key", size.alias("length"), share("[^0-9]").alias("digits"), share("[^A-Z]").alias("uppers"),
         (F.length(classes) / size).alias("changes"), (F.size(F.array_distinct(F.split(f, ""))) / size).alias("distinct"),
         F.coalesce("pairs", F.lit(-14.0)).alias("pairs"), (F.coalesce("chars", F.lit(0)) / size).alias("covered"),
         share("[^/]").alias("slashes"), share("[^.]").alias("dots"), share("[^=]").alias("equals"))
 
 
 def place_features(rows: DataFrame) -> DataFrame:
-    """Candidates with the features of their place: neighbouring words and path."""
+    """Words with candidates, with the features of their place instead of word, neighbours and path."""
     before = F.concat_ws(" ", "before")
+    word = F.col("word")
     kind = lambda c: F.pmod(F.xxhash64(F.lower(F.coalesce(c, F.lit("")))), F.lit(16)).cast("double")
     yes = lambda c: c.cast("double")
     return rows.select(
-        "*", yes(F.col("value") | before.rlike(NAMES) | F.col("word").rlike(NAMES)).alias("named"),
-        yes(F.col("value") | before.rlike(r"[=:]>?\s*$") | F.col("word").rlike(r"^[A-Za-z_\-]+[=:]")).alias("assigned"),
-        yes(F.col("word").rlike("[\"'`]")).alias("quoted"), yes(F.col("path").rlike(EXAMPLES)).alias("path_example"),
-        F.size(F.split("path", "/")).cast("double").alias("path_depth"),
+        "doc_id", "word_index", "runs", "values", yes(before.rlike(NAMES) | word.rlike(NAMES)).alias("named"),
+        yes(before.rlike(r"[=:]>?\s*+$") | word.rlike(r"^[A-Za-z_\-]+[=:]")).alias("assigned"),
+        yes(word.rlike("[\"'`]")).alias("quoted"), word.rlike(MAIL).alias("mail"),
+        yes(F.col("path").rlike(EXAMPLES)).alias("path_example"), F.size(F.split("path", "/")).cast("double").alias("path_depth"),
         kind(F.regexp_extract("path", r"\.([A-Za-z0-9]+)$", 1)).alias("path_kind"),
-        kind(F.try_element_at("before", F.lit(-1))).alias("before_kind"), kind(F.try_element_at("after", F.lit(1))).alias("after_kind"))
+        kind(F.try_element_at("before", F.lit(-1))).alias("before_kind"), kind(F.col("after")).alias("after_kind"))
 
 
 def form_labels(rows: DataFrame) -> DataFrame:
     """Labelled findings among candidates with features: 1, 0, or null where the form settles nothing."""
     f = F.col("found")
-    harmless = (f.rlike(r"^[0-9.\-/+=_]+$") | f.rlike(r"^[A-Za-z.\-_]+$") | F.col("word").rlike(MAIL)
+    harmless = (f.rlike(r"^[0-9.\-/+=_]+$") | f.rlike(r"^[A-Za-z.\-_]+$") | F.col("mail")
                 | f.rlike(r"(?i)(xxxx|example|placeholder|changeme|12345678|(.)\2{7})") | (f.rlike(r"^/|://") & ~f.rlike(PASSWORD)))
     secret = (F.col("named") == 1) & (F.col("assigned") == 1) & (F.col("digits") > 0.1) & (F.col("digits") < 1)
     return rows.withColumn("label", F.when(harmless, 0.0).when(secret, 1.0))
@@ -154,7 +168,8 @@ def scan(docs: DataFrame, *, labelled=form_labels, id_col: str = "doc_id", text_
     positives have ``is_secret`` false. ``labelled`` adds the column ``label`` (1, 0 or null) to the candidates."""
     found = written(candidates(docs, id_col=id_col, text_col=text_col, path_col=path_col), "secret-found")
     entries = written(dictionary(docs, text_col), "secret-words")
-    rows = written(labelled(place_features(found).join(string_features(found, entries), "found")), "secret-rows")
+    strings = written(string_features(found, entries), "secret-strings")
+    rows = written(labelled(dealt_join(found, strings, "key", ("doc_id", "word_index", "part"))), "secret-rows")
     out = rows.select("doc_id", "word_index", "part", "found", F.col("length").cast("int").alias("length"), "label", *[c for c in FEATURES if c != "length"],
                       F.col("length").alias("size"))
     known = rows.where("label is not null")

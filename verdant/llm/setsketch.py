@@ -18,16 +18,20 @@ registers agree about as often as the sets overlap (locality-sensitive).
    first and then those still in different components.
 4. Where a band's documents are still in different components, all pairs
    between components are looked at: by a join in bands of up to ``SMALL_BAND``
-   documents, and within blocks of ``BLOCK`` documents of larger ones. A block
-   skips pairs whose registers agree too rarely, that agree in an earlier band,
+   documents, and within blocks of ``BLOCK`` documents of larger ones. Both drop
+   pairs by set sizes and likelihood as above. A block also
+   skips pairs that agree in an earlier band
    or that it has connected already, confirms the rest on full sets, and returns
    the links that join components: fewer than it has documents. So no link
    between different texts is lost, and no group is expanded into pairs.
 
 Defined results: a text with fewer words than a shingle is one shingle; without
 words (or null) the set is empty and linked with nothing; rows that share an id
-and text are the same document; a row with a null id is linked with nothing and
-kept; an empty table gives an empty result.
+and text are the same document; texts that share an id but differ are judged each
+by itself; a row with a null id is linked with nothing and kept; texts of any length
+are treated whole; of equally similar partners the one with the larger id is
+confirmed first, which changes no component; other columns may have any names; an
+empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -35,10 +39,11 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from verdant.llm.common import connected_components, written
+from verdant.llm.common import connected_components, whole_row, written
+from verdant.operators.broadcast import broadcast_if_small
 
 BASE = 1.001            # b: nearly the resolution of full minima in two bytes
 RATE = 20.0             # a
@@ -136,6 +141,19 @@ def estimate(ra: np.ndarray, rb: np.ndarray, na: np.ndarray, nb: np.ndarray) ->
     return (lo + hi) / 2
 
 
+def may_reach(ra: np.ndarray, rb: np.ndarray, na: np.ndarray, nb: np.ndarray, j: float) -> np.ndarray:
+    """Whether ``estimate`` is at least ``j``: the log-likelihood is concave, so its slope at ``j`` tells."""
+    more, fewer = (ra > rb).sum(axis=1), (ra < rb).sum(axis=1)
+    even = ra.shape[1] - more - fewer
+    u, v = na / (na + nb), nb / (na + nb)
+    c, scale = (BASE - 1) / BASE, np.log(BASE)
+    x, y = u - v * j, v - u * j
+    a, b = (np.maximum(-np.log1p(-np.clip(z, 0, 1) * c) / scale, 1e-300) for z in (x, y))
+    da, db = (w * c / ((1 - np.clip(z, 0, 1) * c) * scale) for w, z in ((v, x), (u, y)))
+    slope = even * (da + db) / np.maximum(1 - a - b, 1e-300) - more * da / a - fewer * db / b
+    return (slope >= 0) & (j <= np.minimum(u / v, v / u))
+
+
 def _text_bytes(column) -> list[bytes | None]:
     return column.cast(pa.binary()).to_pylist()
 
@@ -144,8 +162,8 @@ def _sketch_batches(size: int, n: int):
     def run(batches):
         for batch in batches:
             keys, counts, regs = [], [], []
-            for text in _text_bytes(batch.column("text")):
-                words = words_of(text)
+            for value in batch.column("text").cast(pa.binary()):
+                words = words_of(value.as_py())
                 if not words:
                     keys.append(None), counts.append(0), regs.append(None)
                     continue
@@ -154,15 +172,15 @@ def _sketch_batches(size: int, n: int):
                 counts.append(len(s))
                 regs.append(registers(s, n).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(keys, pa.binary()), pa.array(counts, pa.int64()),
-                 pa.array(regs, pa.binary())], names=["doc_id", "key", "n_shingles", "registers"])
+                [batch.column("doc_id"), batch.column("sha"), pa.array(keys, pa.binary()), pa.array(counts, pa.int64()),
+                 pa.array(regs, pa.binary())], names=["doc_id", "sha", "key", "n_shingles", "registers"])
     return run
 
 
 def sketches(docs: DataFrame, size: int, n: int) -> DataFrame:
-    """``(doc_id, key, n_shingles, registers)`` for rows ``(doc_id, text)``."""
+    """``(doc_id, sha, key, n_shingles, registers)`` for rows ``(doc_id, sha, text)``."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(_sketch_batches(size, n), f"doc_id {kind}, key binary, n_shingles bigint, registers binary")
+    return docs.mapInArrow(_sketch_batches(size, n), f"doc_id {kind}, sha binary, key binary, n_shingles bigint, registers binary")
 
 
 def _estimate_batches(percent: int):
@@ -209,11 +227,10 @@ def _links_in_block(shingle: int, percent: int, rows: int):
         for i in one.tolist():
             near = two[(c[two] != c[i]) & (100 * np.minimum(sizes[two], sizes[i]) >= percent * np.maximum(sizes[two], sizes[i]))]
             near = near[reps[near] > reps[i]] if same else near
-            equal = regs[near] == regs[i]
-            often = equal.mean(axis=1) >= least_estimate(percent, regs.shape[1])
-            near, equal = near[often], equal[often]
+            near = near[may_reach(regs[near], regs[i], sizes[near], sizes[i], least_estimate(percent, regs.shape[1]))]
             if not len(near):
                 continue
+            equal = regs[near] == regs[i]
             near = near[equal.reshape(len(near), -1, rows).all(axis=2).argmax(axis=1) == band]
             for j in near.tolist():
                 x, y = find(int(c[i])), find(int(c[j]))
@@ -246,11 +263,11 @@ def _labelled(frame: DataFrame, on: str, components: DataFrame, name: str) -> Da
     return frame.join(found, on, "left").withColumn(name, F.coalesce(name, on))
 
 
-def duplicate_links(reps: DataFrame, texts: DataFrame, *, shingle: int, percent: int, bands: int, rows: int):
+def duplicate_links(reps: DataFrame, texts_of, *, shingle: int, percent: int, bands: int, rows: int):
     """``(node, component)`` of the documents that are linked.
 
-    ``reps`` has one row per text: ``(rep, n_shingles, registers)``; ``texts``
-    has rows ``(rep, text)``."""
+    ``reps`` has one row per text: ``(rep, n_shingles, registers)``; ``texts_of``
+    gives rows ``(rep, text)`` for a frame of column ``rep``."""
     kind = reps.schema["rep"].dataType.simpleString()
     sliced = F.array(*[F.xxhash64(F.lit(k), F.substring(F.col("registers"), 2 * rows * k + 1, 2 * rows))
                        for k in range(bands)])
@@ -259,7 +276,7 @@ def duplicate_links(reps: DataFrame, texts: DataFrame, *, shingle: int, percent:
     entries = written(banded.join(shared, "band").select("k", "band", "rep", "pivot"), "near-bands")
     # The texts that may be compared are written once; all rounds read them.
     involved = entries.select("rep").distinct()
-    texts = written(texts.join(involved, "rep", "left_semi").dropDuplicates(["rep"]), "near-texts")
+    texts = written(texts_of(involved).dropDuplicates(["rep"]), "near-texts")
     sketch = reps.select("rep", "n_shingles", "registers")
 
     def likely(pairs: DataFrame) -> DataFrame:
@@ -307,31 +324,67 @@ def duplicate_links(reps: DataFrame, texts: DataFrame, *, shingle: int, percent:
     return written(united(links.unionByName(more).unionByName(blocked)), "near-components")
 
 
-def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
-                    percent: int = 80, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """``(doc_id, n_shingles, component_id, kept)``, one row per row of ``docs``:
-    documents are linked if ``100 * |A and B| >= percent * |A or B|``, and the
-    smallest id of a component is kept."""
-    docs = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
-    sketched = written(sketches(docs, shingle, bands * rows), "near-sketches")
+def _sha(text_col: str) -> Column:
+    return F.unhex(F.substring(F.sha2(F.col(f"`{text_col}`"), 256), 1, 32)).alias("sha")
+
+
+def _with_sha(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(f"`{id_col}`").alias("doc_id"), _sha(text_col), F.col(f"`{text_col}`").alias("text"))
+
+
+def classes_of(sketched: DataFrame) -> DataFrame:
+    """``(key, first, sha, rep)`` for each word sequence: the id and hash of the text that stands for it, and its number
+    ``rep`` in the graph: that id, or, where different texts of one id stand for something, a number below all ids for
+    all but one of them."""
     whole = sketched.where("key is not null and doc_id is not null")
     # Copies: one partial row per key and task before the shuffle.
-    classes = written(whole.groupBy("key").agg(F.min("doc_id").alias("rep")), "near-classes")
-    reps = written(whole.join(classes, "key").where("doc_id = rep").dropDuplicates(["rep"])
-                   .select("rep", "n_shingles", "registers"), "near-reps")
-    linked = duplicate_links(reps, docs.select(F.col("doc_id").alias("rep"), "text"),
-                             shingle=shingle, percent=percent, bands=bands, rows=rows)
-    member = _labelled(classes, "rep", linked, "component_id").select("key", "component_id")
+    classes = written(whole.groupBy("key").agg(F.min(F.struct("doc_id", "sha")).alias("m"))
+                      .select("key", F.col("m.doc_id").alias("first"), F.col("m.sha").alias("sha")), "near-classes")
+    reused = written(classes.groupBy("first").agg(F.min("key").alias("kept_key"), F.count("*").alias("n")).where("n > 1").drop("n"), "near-reused")
+    least = classes.agg(F.min("first")).first()[0] or 0
+    # The table is read as it was written, so its rows keep their numbers if a task is run again.
+    number = F.lit(least) - 1 - F.monotonically_increasing_id()
+    other = F.col("kept_key").isNotNull() & (F.col("key") != F.col("kept_key"))
+    return written(classes.withColumn("number", number).join(broadcast_if_small(reused), "first", "left")
+                   .select("key", "first", "sha", F.when(other, F.col("number")).otherwise(F.col("first")).alias("rep")), "near-numbers")
+
+
+def judged(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
+           percent: int = 80, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """``(doc_id, sha, n_shingles, component_id, chosen)``, one row per row of ``docs``; ``chosen`` says whether the
+    row's text is the one of its component that stays: that of the smallest id."""
+    docs = _with_sha(docs, id_col, text_col)
+    sketched = written(sketches(docs, shingle, bands * rows), "near-sketches")
+    classes = classes_of(sketched)
+    reps = written(sketched.join(classes.select("key", F.col("first").alias("doc_id"), "sha", "rep"), ["key", "doc_id", "sha"])
+                   .dropDuplicates(["rep"]).select("rep", "n_shingles", "registers"), "near-reps")
+    held = classes.select(F.col("first").alias("doc_id"), "sha", "rep")
+    linked = duplicate_links(reps, lambda wanted: docs.join(held.join(wanted, "rep"), ["doc_id", "sha"]).select("rep", "text"), shingle=shingle, percent=percent, bands=bands, rows=rows)
+    member = written(_labelled(classes, "rep", linked, "component"), "near-members")
+    best = member.groupBy("component").agg(F.min(F.struct("first", "rep")).alias("best"))
+    named = member.join(best, "component").select("key", F.col("best.first").alias("component_id"), "first",
+                                                  F.when(F.col("rep") == F.col("best.rep"), F.col("sha")).alias("best_sha"))
     known = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    return (sketched.select("doc_id", "key", "n_shingles").join(member, "key", "left")
-            .select("doc_id", "n_shingles", known.alias("component_id"))
-            .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
+    return (sketched.select("doc_id", "sha", "key", "n_shingles").join(named, "key", "left")
+            .select("doc_id", "sha", "n_shingles", known.alias("component_id"),
+                    (F.col("doc_id").isNull() | F.col("component_id").isNull()
+                     | F.coalesce((F.col("sha") == F.col("best_sha")) & (F.col("doc_id") == F.col("first")), F.lit(False))).alias("chosen")))
+
+
+def near_duplicates(docs: DataFrame, **options) -> DataFrame:
+    """``(doc_id, n_shingles, component_id, kept)``, one row per row of ``docs``:
+    documents are linked if ``100 * |A and B| >= percent * |A or B|``, and the
+    smallest id of a component is kept."""
+    return judged(docs, **options).select("doc_id", "n_shingles", "component_id",
+                                          F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
-def keep_one_each(docs: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``docs`` that are kept, with the same columns."""
-    gone = near_duplicates(docs, id_col=id_col, **options).where(~F.col("kept")).select(F.col("doc_id").alias(id_col))
-    return docs.join(gone.distinct(), id_col, "left_anti").select(docs.columns)
+def keep_one_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` that stay, with the same columns: of every component those of its smallest id (one
+    text, if that id is reused)."""
+    gone = judged(docs, id_col=id_col, text_col=text_col, **options).where(~F.col("chosen")).select("doc_id", "sha").distinct()
+    rows = docs.select(whole_row(docs), F.col(f"`{id_col}`").alias("doc_id"), _sha(text_col))
+    return rows.join(gone, ["doc_id", "sha"], "left_anti").select("row.*")
 
 
 ORACLE = """
