@@ -27,9 +27,11 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from verdant.functions.vectors import linear_margin, sigmoid
+from verdant.functions.vectors import active_entries, linear_margin, sigmoid, sparse_margin
+from verdant.operators.batched_sgd import BatchFit, TrainingTable, fit_batch, training_table
+from verdant.operators.broadcast import MAX_BROADCAST_BYTES
 from verdant.operators.features import continuous
-from verdant.session import scratch_path
+from verdant.session import scratch_path, written
 
 # Default parameters of the classic page jobs.
 LR_SGD_DEFAULTS = {"iterations": 5, "step": 50.0, "mini_batch": 0.5}
@@ -109,6 +111,29 @@ def labeled_points(df: DataFrame, label: str = "label", features: str = "feature
     return LabeledPoints(load_points(spark, path), n)
 
 
+LITERAL_WEIGHTS = 256      # up to so many weights stand in the scoring expression itself
+
+
+def weighted_margin(df: DataFrame, features: str, weights: list[float], intercept: float,
+                    max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """``df`` with the column ``margin`` for any number of weights; the plan's size does not depend on it.
+
+    Weights are a written table. Under the bound they are broadcast as one row and looked up by the active entries of
+    each vector; beyond it, active entries meet the weights by index and are summed up by row."""
+    spark, names = df.sparkSession, df.columns
+    if 8 * len(weights) <= max_broadcast_bytes:
+        row = written(spark.createDataFrame([(weights,)], "w array<double>"), "weights")
+        return (df.crossJoin(F.broadcast(row.withColumnRenamed("w", "_w")))
+                .select(*[F.col(f"`{c}`") for c in names], sparse_margin(active_entries(features), F.col("_w"), intercept).alias("margin")))
+    table = written(spark.createDataFrame(list(enumerate(map(float, weights))), "i int, w double"), "weights")
+    rows = written(df.withColumn("_row", F.monotonically_increasing_id()), "scored-rows")        # numbered once, then read
+    e = active_entries(features)
+    flat = rows.select("_row", F.explode(F.arrays_zip(e["indices"].alias("i"), e["values"].alias("x"))).alias("e")).select("_row", "e.i", "e.x")
+    sums = flat.join(table, "i").groupBy("_row").agg(F.sum(F.col("x") * F.col("w")).alias("_sum"))
+    return rows.join(sums, "_row", "left").select(*[F.col(f"`{c}`") for c in names],
+                                                  (F.coalesce("_sum", F.lit(0.0)) + F.lit(float(intercept))).alias("margin"))
+
+
 @dataclass
 class LinearScorer:
     """Scores ``w.x + b`` inside the JVM. ``kind='logistic'``: score is the
@@ -123,12 +148,17 @@ class LinearScorer:
     features: str = "features"
 
     def __call__(self, df: DataFrame) -> DataFrame:
-        m = linear_margin(vector_to_array(F.col(self.features), "float64"), self.weights, self.intercept)
+        if len(self.weights) > LITERAL_WEIGHTS:
+            df = weighted_margin(df, self.features, self.weights, self.intercept)
+            m = F.col("margin")
+        else:
+            m = linear_margin(vector_to_array(F.col(self.features), "float64"), self.weights, self.intercept)
         if self.kind == "logistic":
             score, cut = sigmoid(m), 0.5 if self.threshold is None else self.threshold
         else:
             score, cut = m, 0.0 if self.threshold is None else self.threshold
-        return df.withColumn("score", score).withColumn("prediction", (F.col("score") > cut).cast("double"))
+        out = df.withColumn("score", score).withColumn("prediction", (F.col("score") > cut).cast("double"))
+        return out.drop("margin") if len(self.weights) > LITERAL_WEIGHTS else out
 
 
 def fit_lr_sgd(df: DataFrame, iterations: int = 5, step: float = 50.0, mini_batch: float = 0.5,
@@ -157,6 +187,21 @@ def fit_svm_sgd(df: DataFrame, iterations: int = 25, step: float = 50.0, reg: fl
     return Fitted("svm_sgd", {"iterations": iterations, "step": step, "reg": reg}, model, ms, sc)
 
 
+# How the learners of the batched solver score.
+SGD_KINDS = {"lr_sgd": "logistic", "svm_sgd": "svm"}
+
+
+def from_batch(name: str, params: dict, found: BatchFit) -> Fitted:
+    return Fitted(name, params, found, found.train_ms, LinearScorer(found.weights, 0.0, SGD_KINDS[name]))
+
+
+def fit_sgd(name: str, df: DataFrame, data: TrainingTable | None = None, **params) -> Fitted:
+    """M1/M4 by the batched solver: the rule of the RDD solvers, with mini-batches by row hash."""
+    kind = SGD_KINDS[name]
+    params = {**(LR_SGD_DEFAULTS if kind == "logistic" else SVM_SGD_DEFAULTS), **params}
+    return from_batch(name, params, fit_batch(data or training_table(df), kind, [params])[0])
+
+
 def _ml_scorer(model, score_from: str = "probability"):
     def score(df: DataFrame) -> DataFrame:
         out = model.transform(df)

@@ -1,9 +1,10 @@
 """Parameter sweeps and cross-grid search.
 
-Every grid point is one fit (a set of Spark jobs) plus one evaluation (one
-aggregation returning a single number). Points are independent, so they run
-on a small driver-side thread pool; Spark schedules their jobs concurrently.
-The report is a DataFrame ``(param, value, auc, train_ms)`` instead of a chart.
+The SGD learners fit all points of all sweeps and the grid together
+(``batched_sgd``): as many passes over the training rows as the longest point
+has iterations, and one pass over the validation rows for all evaluations. For
+other learners every point is one fit plus one evaluation; these are
+independent and run on a small driver-side thread pool. The report is a DataFrame ``(param, value, auc, train_ms)`` instead of a chart.
 """
 
 from __future__ import annotations
@@ -15,7 +16,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from verdant.operators.learners import RDD_LEARNERS, Fitted, fit, labeled_points
+from verdant.operators.batched_sgd import TrainingTable, auc_of_counts, fit_batch, score_counts, training_table
+from verdant.operators.learners import SGD_KINDS, Fitted, fit, fit_sgd
 from verdant.operators.metrics import auc_hard
 
 # Sweeps and cross grids of the classic page jobs.
@@ -48,9 +50,7 @@ PLANS = {
 }
 
 
-# Every running SGD fit keeps its own copy of the training set (the solver's
-# bridge persists it), so only a few run at a time.
-CONCURRENT_FITS = 2
+CONCURRENT_FITS = 2         # fits of the other learners at a time
 
 
 def expand(grid: dict[str, list]) -> list[dict]:
@@ -72,26 +72,33 @@ class GridPoint:
     train_ms: float
 
 
+@dataclass
+class SearchTables:
+    """Training and validation rows of the batched solver, written once for a whole search."""
+    train: TrainingTable
+    valid: TrainingTable
+
+
+def search_tables(learner: str, train: DataFrame, valid: DataFrame) -> SearchTables | None:
+    return SearchTables(training_table(train), training_table(valid)) if learner in SGD_KINDS else None
+
+
 def run_points(learner: str, train: DataFrame, valid: DataFrame, points: list[dict],
-               parallelism: int = CONCURRENT_FITS, converted=None) -> list[GridPoint]:
-    """Fit and evaluate every grid point, ``parallelism`` fits at a time.
-    ``converted``: the training set already converted for the RDD learners."""
-    shared, own = {}, None
-    if learner in RDD_LEARNERS:
-        # One conversion (a written table), cached, for every grid point.
-        own = None if converted is not None else labeled_points(train).cache()
-        shared["points"] = converted if converted is not None else own
+               parallelism: int = CONCURRENT_FITS, tables: SearchTables | None = None) -> list[GridPoint]:
+    """Fit and evaluate every point. ``tables``: the rows already written for the batched solver; other learners run
+    ``parallelism`` fits at a time."""
+    if learner in SGD_KINDS:
+        tables, kind = tables or search_tables(learner, train, valid), SGD_KINDS[learner]
+        fits = fit_batch(tables.train, kind, points)
+        counts = score_counts(tables.valid, kind, [f.weights for f in fits])
+        return [GridPoint(i, p, auc_of_counts(c), f.train_ms) for i, (p, f, c) in enumerate(zip(points, fits, counts, strict=True))]
 
     def one(i_p):
         i, p = i_p
-        f = fit(learner, train, **p, **shared)
+        f = fit(learner, train, **p)
         return GridPoint(i, p, evaluate(f, valid), f.train_ms)
-    try:
-        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
-            return list(ex.map(one, enumerate(points)))
-    finally:
-        if own is not None:
-            own.unpersist()
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
+        return list(ex.map(one, enumerate(points)))
 
 
 def pick_best(points: list[GridPoint]) -> GridPoint:
@@ -99,22 +106,42 @@ def pick_best(points: list[GridPoint]) -> GridPoint:
     return max(points, key=lambda g: (float("-inf") if g.auc is None else g.auc, g.index))
 
 
+def _report(spark: SparkSession, name: str, points: list[GridPoint]) -> DataFrame:
+    return spark.createDataFrame([(name, str(g.params[name]), g.auc, float(g.train_ms)) for g in points],
+                                 "param string, value string, auc double, train_ms double")
+
+
+def sweep_all(spark: SparkSession, learner: str, train: DataFrame, valid: DataFrame, sweeps: list[tuple[str, dict]],
+              parallelism: int = CONCURRENT_FITS, tables: SearchTables | None = None) -> DataFrame:
+    """Several sweeps ``(parameter, grid)``, all their points together; one report ``(param, value, auc, train_ms)``."""
+    grids = [(name, expand(grid)) for name, grid in sweeps]
+    points = run_points(learner, train, valid, [p for _, g in grids for p in g], parallelism, tables)
+    out, at = None, 0
+    for name, grid in grids:
+        report = _report(spark, name, points[at:at + len(grid)])
+        out, at = report if out is None else out.unionByName(report), at + len(grid)
+    return out
+
+
 def sweep(spark: SparkSession, learner: str, train: DataFrame, valid: DataFrame,
-          name: str, grid: dict[str, list], parallelism: int = CONCURRENT_FITS, converted=None) -> DataFrame:
+          name: str, grid: dict[str, list], parallelism: int = CONCURRENT_FITS, tables: SearchTables | None = None) -> DataFrame:
     """Vary one parameter; report ``(param, value, auc, train_ms)``."""
-    pts = run_points(learner, train, valid, expand(grid), parallelism, converted)
-    rows = [(name, str(g.params[name]), g.auc, float(g.train_ms)) for g in pts]
-    return spark.createDataFrame(rows, "param string, value string, auc double, train_ms double")
+    return sweep_all(spark, learner, train, valid, [(name, grid)], parallelism, tables)
+
+
+def refitted(learner: str, train: DataFrame, valid: DataFrame, best: GridPoint) -> Fitted:
+    """The best parameters on train ∪ validation (the corrected refit)."""
+    both = train.unionByName(valid)
+    return fit_sgd(learner, both, **best.params) if learner in SGD_KINDS else fit(learner, both, **best.params)
 
 
 def cross_grid(learner: str, train: DataFrame, valid: DataFrame, grid: dict[str, list],
-               parallelism: int = CONCURRENT_FITS, refit: bool = True, converted=None) -> tuple[Fitted | None, GridPoint, list[GridPoint]]:
+               parallelism: int = CONCURRENT_FITS, refit: bool = True, tables: SearchTables | None = None) -> tuple[Fitted | None, GridPoint, list[GridPoint]]:
     """Evaluate the full cross grid on ``valid``; refit the best
-    parameters on train ∪ validation (the corrected refit)."""
-    pts = run_points(learner, train, valid, expand(grid), parallelism, converted)
+    parameters on train ∪ validation."""
+    pts = run_points(learner, train, valid, expand(grid), parallelism, tables)
     best = pick_best(pts)
-    model = fit(learner, train.unionByName(valid), **best.params) if refit else None
-    return model, best, pts
+    return refitted(learner, train, valid, best) if refit else None, best, pts
 
 
 def tune(spark: SparkSession, learner: str, train: DataFrame, valid: DataFrame,
@@ -125,17 +152,9 @@ def tune(spark: SparkSession, learner: str, train: DataFrame, valid: DataFrame,
     default_sweeps, default_grid = PLANS[learner]
     sweeps = default_sweeps if sweeps is None else sweeps
     grid = default_grid if grid is None else grid
-    # Converted once for all sweeps and the grid.
-    converted = labeled_points(train).cache() if learner in RDD_LEARNERS else None
-    try:
-        reports = [sweep(spark, learner, train, valid, name, g, parallelism, converted) for name, g in sweeps]
-        report = reports[0]
-        for r in reports[1:]:
-            report = report.unionByName(r)
-        if on_sweep:
-            on_sweep(report)
-        model, best, _ = cross_grid(learner, train, valid, grid, parallelism, converted=converted)
-    finally:
-        if converted is not None:
-            converted.unpersist()
+    tables = search_tables(learner, train, valid)
+    report = sweep_all(spark, learner, train, valid, sweeps, parallelism, tables)
+    if on_sweep:
+        on_sweep(report)
+    model, best, _ = cross_grid(learner, train, valid, grid, parallelism, tables=tables)
     return model, best, report

@@ -15,10 +15,10 @@ from pyspark.sql import functions as F
 from verdant.functions.text import tokenize_spaces
 from verdant.operators.broadcast import broadcast_if_small
 from verdant.operators.hashed_text import NUM_FEATURES, hashed_tf
-from verdant.operators.learners import LR_SGD_DEFAULTS, RDD_LEARNERS, SVM_SGD_DEFAULTS, TREE_DEFAULTS, fit, labeled_points
+from verdant.operators.learners import LR_SGD_DEFAULTS, SVM_SGD_DEFAULTS, TREE_DEFAULTS, fit
 from verdant.operators.metrics import accuracy, auc, prediction_report, score_curve, success_rate
 from verdant.operators.split import hash_split
-from verdant.operators.tune import LR_GRID, LR_SWEEPS, SVM_GRID, SVM_SWEEPS, TREE_GRID, TREE_SWEEPS, cross_grid, sweep
+from verdant.operators.tune import LR_GRID, LR_SWEEPS, SVM_GRID, SVM_SWEEPS, TREE_GRID, TREE_SWEEPS, cross_grid, sweep_all
 from verdant.plans.jobs import (SCALED, embeddings_labelled, exact_summary, flag_points, objective_history,
                                 prepare_pages, release, run_page_classification, train_spam_classifier,
                                 tree_save_load)
@@ -127,14 +127,8 @@ def q_m_dt(spark, sf_dir):
 
 def _sweeps(spark, sf_dir, learner, sweeps):
     parts, _, _ = prepare_pages(labelled_page_rows(spark, sf_dir), SCALED[learner])
-    converted = labeled_points(parts["train"]).cache() if learner in RDD_LEARNERS else None
-    reports = [sweep(spark, learner, parts["train"], parts["validation"], n, g, converted=converted) for n, g in sweeps]
-    if converted is not None:
-        converted.unpersist()
+    out = sweep_all(spark, learner, parts["train"], parts["validation"], sweeps)
     release(parts)
-    out = reports[0]
-    for r in reports[1:]:
-        out = out.unionByName(r)
     return out.drop("train_ms")
 
 
@@ -158,7 +152,7 @@ def q_tune_sweep_svm(spark, sf_dir):
 
 def _grid(spark, sf_dir, learner, grid, schema):
     parts, _, _ = prepare_pages(labelled_page_rows(spark, sf_dir), SCALED[learner])
-    _, best, pts = cross_grid(learner, parts["train"], parts["validation"], grid)
+    _, best, pts = cross_grid(learner, parts["train"], parts["validation"], grid, refit=False)
     release(parts)
     rows = [(p.index, *[p.params[k] for k in grid], p.auc, p.index == best.index) for p in pts]
     return spark.createDataFrame(rows, f"grid_index int, {schema}, auc double, best boolean")
@@ -166,8 +160,8 @@ def _grid(spark, sf_dir, learner, grid, schema):
 
 @query("tune_grid")
 def q_tune_grid(spark, sf_dir):
-    """SGD logistic regression cross grid (36 points), best flagged
-    (ties: last grid point), refit on train ∪ validation."""
+    """SGD logistic regression cross grid (36 points) in ten passes, best
+    flagged (ties: last grid point)."""
     return _grid(spark, sf_dir, "lr_sgd", LR_GRID, "iterations int, step double, mini_batch double")
 
 
