@@ -12,6 +12,7 @@ _MODULES = (
     "verdant.plans.metric_queries",
     "verdant.plans.model_queries",
     "verdant.plans.stream_queries",
+    "verdant.plans.operation_queries",
 )
 
 

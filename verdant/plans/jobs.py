@@ -127,6 +127,11 @@ def libsvm_frame(df: DataFrame, label: Any, array_col: str, keep: tuple[str, ...
                      array_to_vector(F.col(array_col)).alias("features"))
 
 
+def embeddings_by_sign(emb: DataFrame) -> DataFrame:
+    """Stand-in data that an elastic-net penalty does not flatten: class = the first component is positive."""
+    return libsvm_frame(emb, F.col("embedding")[0] > 0, "embedding", keep=("vec_id",))
+
+
 def embeddings_labelled(emb: DataFrame) -> DataFrame:
     """Stand-in LibSVM data: embeddings, class = (label < 5)."""
     return libsvm_frame(emb, (F.col("label") < 5), "embedding", keep=("vec_id",))

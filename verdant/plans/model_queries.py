@@ -18,8 +18,8 @@ from verdant.operators.hashed_text import NUM_FEATURES, hashed_tf
 from verdant.operators.learners import LR_SGD_DEFAULTS, SVM_SGD_DEFAULTS, TREE_DEFAULTS, fit
 from verdant.operators.metrics import accuracy, auc, prediction_report, score_curve, success_rate
 from verdant.operators.split import hash_split
-from verdant.operators.tune import LR_GRID, LR_SWEEPS, SVM_GRID, SVM_SWEEPS, TREE_GRID, TREE_SWEEPS, cross_grid, sweep_all
-from verdant.plans.jobs import (SCALED, embeddings_labelled, exact_summary, flag_points, objective_history,
+from verdant.operators.tune import LR_GRID, LR_SWEEPS, SVM_GRID, SVM_SWEEPS, TREE_GRID, TREE_SWEEPS, cross_grid, evaluate, sweep_all
+from verdant.plans.jobs import (DEFAULTS, SCALED, embeddings_by_sign, embeddings_labelled, exact_summary, flag_points, objective_history,
                                 prepare_pages, release, run_page_classification, train_spam_classifier,
                                 tree_save_load)
 from verdant.plans.registry import query
@@ -78,12 +78,13 @@ def q_score_refit_scaler(spark, sf_dir):
 @query("page_run_metrics")
 def q_page_run_metrics(spark, sf_dir):
     """Validation and test AUC of the run with each learner's defaults."""
-    train_raw, score_raw = _pages(spark, sf_dir)
-    rows = []
-    for learner in ("lr_sgd", "svm_sgd", "decision_tree"):
-        run = run_page_classification(spark, train_raw, score_raw, learner=learner)
-        run.unpersist()
-        rows.append((learner, run.validation_auc, run.test_auc))
+    rows, raw = [], labelled_page_rows(spark, sf_dir)
+    for learners in (("lr_sgd", "svm_sgd"), ("decision_tree",)):          # of one scaling: prepared once
+        parts, _, _ = prepare_pages(raw, SCALED[learners[0]])
+        for learner in learners:
+            model = fit(learner, parts["train"], **DEFAULTS[learner])
+            rows.append((learner, evaluate(model, parts["validation"]), evaluate(model, parts["test"])))
+        release(parts)
     return spark.createDataFrame(rows, "learner string, validation_auc double, test_auc double")
 
 
@@ -243,7 +244,7 @@ def q_m_lr_lbfgs_libsvm(spark, sf_dir):
     """M2 (+E3): L-BFGS on LibSVM files, fitted on 0.3 of the rows, accuracy on the rest."""
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/libsvm-{uuid.uuid4().hex}"
     write_libsvm(_emb(spark, sf_dir), path)
-    train, test = read_libsvm(spark, path, num_features=64).randomSplit(list(LBFGS_LIBSVM_SPLIT), seed=LBFGS_LIBSVM_SEED)
+    train, test = read_libsvm(spark, path).randomSplit(list(LBFGS_LIBSVM_SPLIT), seed=LBFGS_LIBSVM_SEED)
     return accuracy(fit("lr_lbfgs", train).transform(test))
 
 
@@ -252,7 +253,7 @@ def q_m_lr_elasticnet(spark, sf_dir):
     """M3 + E8/E9/E10: elastic-net LR; threshold with the best F-measure and
     AUC, both from the exact curve of its training predictions; predictions on
     all rows."""
-    data = _emb(spark, sf_dir)
+    data = embeddings_by_sign(table(spark, sf_dir, "embeddings"))
     f = fit("lr_elasticnet", data, **ELASTIC_NET)
     _, training_auc = exact_summary(f, data)
     out = f.model.transform(data)
@@ -263,7 +264,7 @@ def q_m_lr_elasticnet(spark, sf_dir):
 @query("eval_objective_history")
 def q_eval_objective_history(spark, sf_dir):
     """Loss per solver iteration of the elastic-net fit."""
-    f = fit("lr_elasticnet", _emb(spark, sf_dir), **ELASTIC_NET)
+    f = fit("lr_elasticnet", embeddings_by_sign(table(spark, sf_dir, "embeddings")), **ELASTIC_NET)
     return objective_history(spark, f.model)
 
 
@@ -276,7 +277,7 @@ def q_src_libsvm(spark, sf_dir):
     base = ensure_checkpoint_dir(spark)
     path = f"{base.rstrip('/')}/libsvm-{uuid.uuid4().hex}"
     write_libsvm(_emb(spark, sf_dir), path)
-    df = read_libsvm(spark, path, num_features=64)
+    df = read_libsvm(spark, path)
     return df.select("label", vector_to_array("features").alias("features"))
 
 

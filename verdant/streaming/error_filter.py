@@ -8,6 +8,7 @@ file sink with a checkpoint (exactly-once), or to the console.
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -69,3 +70,28 @@ def run_error_filter_once(spark: SparkSession, directory: str, schema: str, col:
     q.awaitTermination()                 # raises what stopped the stream
     # Explicit schema: an empty result still reads back.
     return spark.read.schema(spark.createDataFrame([], schema).schema).parquet(f"{run}/out")
+
+
+def stopped_after(query, batches: int, limit_s: float = 600.0) -> int:
+    """Stops a running query once ``batches`` of its micro-batches are done, or earlier if it ends; returns how many were
+    done. A batch that the stop cuts off is run again, under the same number, by the next start."""
+    done, began = 0, time.monotonic()
+    while done < batches and query.isActive and time.monotonic() - began < limit_s:
+        last = query.lastProgress
+        done = last["batchId"] + 1 if last and last["numInputRows"] else done
+        time.sleep(0.05)
+    query.stop()
+    query.awaitTermination()                 # raises what else stopped the stream
+    return done
+
+
+def run_error_filter_resumed(spark: SparkSession, directory: str, schema: str, col: str, stop_after: int = 2,
+                             files_per_batch: int = 1) -> DataFrame:
+    """The filter over the files of ``directory`` in micro-batches of ``files_per_batch`` files, stopped after
+    ``stop_after`` batches and started again from its checkpoint. The sink commits files by batch number, so a batch that
+    is run again replaces what it left, and the rows are those of one run."""
+    run = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    source = lambda: file_stream(spark, directory, schema, max_files_per_trigger=files_per_batch)
+    stopped_after(start_filter(source(), f"{run}/out", f"{run}/ck", col=col, interval="0 seconds"), stop_after)
+    start_filter(source(), f"{run}/out", f"{run}/ck", col=col, available_now=True).awaitTermination()
+    return spark.read.schema(spark.createDataFrame([], schema).schema).parquet(f"{run}/out")
