@@ -242,6 +242,29 @@ def test_rare_links_are_all_found(spark, monkeypatch, most):
     assert all((r.n_links, r.component_id) == expected[r.vec_id] for r in out)
 
 
+def test_rare_pairs_go_through_the_graph(spark, monkeypatch):
+    """200 near pairs among 20,000 vectors of one label: found by the search, not by comparing all."""
+    calls = []
+    monkeypatch.setattr(vectorgraph, "all_links", lambda nodes, t, f=vectorgraph.all_links: calls.append(nodes.count()) or f(nodes, t))
+    rng = np.random.default_rng(21)
+    x = rng.normal(size=(20_000, 64))
+    near = x[:200] / np.linalg.norm(x[:200], axis=1, keepdims=True) + 0.03 * rng.normal(size=(200, 64))
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(np.concatenate([x, near]))]
+    out = {r.vec_id: (r.n_links, r.component_id) for r in vectorgraph.near_duplicate_vectors(vector_frame(spark, rows)).collect()}
+    unit = lambda v: v / np.linalg.norm(v, axis=1, keepdims=True)
+    pairs = [k for k in range(200) if (unit(x[:200])[k] @ unit(near)[k]) >= 0.93]
+    assert len(pairs) > 150 and set(calls) == {0}
+    assert sum(out[k] == (1, k) and out[20_000 + k] == (1, k) for k in pairs) >= 0.99 * len(pairs)
+    assert sum(n for n, _ in out.values()) <= 2 * len(pairs)
+
+
+def test_doubles_stay_doubles(spark):
+    """Components beyond the range of floats are finite, and a cosine is not rounded to floats first."""
+    rows = [(1, [1e200, 2e200], 0), (2, [1.0, 2.0], 0), (3, [1.0, float("inf")], 0), (4, [2e-300, 4e-300], 0)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    assert {(r.vec_id, r.n_links, r.component_id) for r in vectorgraph.near_duplicate_vectors(df).collect()} == {(1, 2, 1), (2, 2, 1), (3, 0, 3), (4, 2, 1)}
+
+
 @pytest.mark.parametrize("target", [1500, 40])
 def test_search_that_misses_links_is_not_returned(spark, monkeypatch, target):
     """Also where no label has several clusters."""

@@ -14,13 +14,16 @@ smallest id first, so a group of copies is one node of the graph.
    from the medoid (and from its own node in the shard that holds it), then from every node found within range to its
    neighbours, until no new one is in range. Pairs are verified in double
    precision. A pair that meets in two clusters counts in the first.
-4. Recall is audited on every table: for vectors chosen by a hash, all links are
-   counted by brute force, in blocks over all vectors. ``AUDIT`` vectors are drawn,
-   then four times as many, until they have ``AUDIT_LINKS`` links or all vectors are
-   drawn. Below ``MIN_RECALL`` (below 1 if all are drawn) the work is repeated with
-   twice the overlap.
-5. Where ``AUDIT_MOST`` vectors have too few links to measure recall, or no overlap
-   is enough, all vectors of a label are compared with each other, in blocks.
+4. Recall is audited on every table: for vectors chosen by a hash, and for vectors that found a
+   link, chosen in the same way, all links are counted by brute force, in blocks over all
+   vectors. ``AUDIT`` vectors are drawn of each kind, then four times as many, until they
+   have ``AUDIT_LINKS`` links, ``AUDIT_MOST`` vectors or all vectors are drawn. A label passes if
+   it has ``MIN_RECALL`` there (1 if all are drawn). Where the vectors chosen by hash have fewer
+   than ``AUDIT_LEAST`` links of a label, that measures too little: such a label passes if twice
+   the overlap found no more than 1 - ``MIN_RECALL`` of new links. Other labels are searched again
+   with twice the overlap.
+5. The vectors of labels that no overlap is enough for are compared with each other, in blocks; so
+   are those of a failing label of one cluster, ``TARGET`` vectors at most.
 
 A shard returns one row per vector (links counted, smallest vector it hangs
 together with there), never its pairs; components are joined up from those.
@@ -37,6 +40,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from verdant.llm.common import connected_components, written
 
@@ -49,8 +53,9 @@ BEAM, WIDTH = 16, 4
 RANGE_SLACK = 0.03
 QUERY_BLOCK = 256
 LOOK_AT = 1 << 19        # neighbours of expanded nodes that are looked at together
-AUDIT, AUDIT_MOST = 256, 16_384   # vectors of the first and the last audit draw; the draws go through the driver
-AUDIT_LINKS = 1000       # links that measure recall
+AUDIT, AUDIT_MOST = 256, 4096     # vectors of each kind in the first and the last audit draw; the draws go through the driver
+AUDIT_LINKS = 1000       # links that end the drawing
+AUDIT_LEAST = 50         # links of a label that measure its recall
 MIN_RECALL = 0.99
 OVERLAPS = (2, 4, 8)
 
@@ -304,37 +309,59 @@ def _audit_batches(x: np.ndarray, labels: list, reps: list, threshold: float):
     return run
 
 
-def audit_truth(nodes: DataFrame, threshold: float) -> tuple[DataFrame | None, bool]:
-    """``(rep, truth)`` of the vectors drawn for the audit, and whether these are all; None if
-    ``AUDIT_MOST`` vectors have less than ``AUDIT_LINKS`` links, which measures nothing. The
-    vectors are sent to all tasks and compared with every vector of their label, in blocks."""
+def audit_truth(nodes: DataFrame, found: DataFrame, threshold: float) -> tuple[DataFrame, bool]:
+    """``(rep, label, dim, by_hash, truth)`` of the vectors drawn for the audit, and whether these are all. ``found``: ``(rep, links)``.
+    The vectors are sent to all tasks and compared with every vector of their label, in blocks."""
     size = AUDIT
+    linked = nodes.join(found.where("links > 0").select("rep"), "rep", "left_semi")
     while True:
-        sample = nodes.orderBy(F.xxhash64("rep"), "rep").limit(size + 1).select("rep", "label", "dim", "vector").collect()
-        whole, sample = len(sample) <= size, sample[:size]
+        first = lambda rows: rows.orderBy(F.xxhash64("rep"), "rep").limit(size + 1).select("rep", "label", "dim", "vector").collect()  # noqa: B023, E731
+        drawn = first(nodes)
+        whole, by_hash = len(drawn) <= size, {r["rep"] for r in drawn[:size]}
+        sample = list({r["rep"]: r for r in [*drawn[:size], *([] if whole else first(linked)[:size])]}.values())
         truth = nodes.sparkSession.createDataFrame([], "rep bigint, truth bigint")
         for dim in sorted({r["dim"] for r in sample}):
             own = [r for r in sample if r["dim"] == dim]
             x = unit_rows(pa.array([r["vector"] for r in own], pa.list_(pa.float64())))
             truth = truth.unionByName(nodes.select("rep", "label", "dim", "copies", "vector").mapInArrow(
                 _audit_batches(x, [r["label"] for r in own], [r["rep"] for r in own], threshold), "rep bigint, truth bigint"))
-        truth = written(truth.groupBy("rep").agg(F.sum("truth").alias("truth")), "graph-audit")
-        if whole or (truth.agg(F.sum("truth")).first()[0] or 0) >= AUDIT_LINKS:
+        kinds = nodes.sparkSession.createDataFrame([(r["rep"], r["label"], r["dim"], r["rep"] in by_hash) for r in sample],
+                                                   "rep bigint, label bigint, dim int, by_hash boolean")
+        truth = written(kinds.join(truth.groupBy("rep").agg(F.sum("truth").alias("truth")), "rep"), "graph-audit")
+        if whole or size >= AUDIT_MOST or (truth.agg(F.sum("truth")).first()[0] or 0) >= AUDIT_LINKS:
             return truth, whole
-        if size >= AUDIT_MOST:
-            return None, False
         size *= 4
 
 
+def failing_labels(nodes: DataFrame, truth: DataFrame, whole: bool, now: DataFrame, before: DataFrame | None) -> DataFrame:
+    """``(label, dim)`` of the labels of ``nodes`` that do not pass. ``now`` and ``before``: ``(rep, links)`` found with this
+    and with half the overlap."""
+    keys = ["label", "dim"]
+    shares = truth.join(now, "rep", "left").groupBy(*keys).agg(
+        F.sum("truth").alias("all"), F.sum(F.least("truth", F.coalesce("links", F.lit(0)))).alias("hit"),
+        F.sum(F.when(F.col("by_hash"), F.col("truth")).otherwise(0)).alias("measured"))
+    links = lambda found, name: nodes.select("rep", *keys).join(found, "rep", "left").groupBy(*keys).agg(
+        F.coalesce(F.sum("links"), F.lit(0)).alias(name))
+    each = links(now, "now").join(shares, keys, "left")
+    zero = lambda c: F.coalesce(c, F.lit(0))
+    low = zero("hit") < (1 if whole else MIN_RECALL) * zero("all")
+    if whole:
+        return each.where(low).select(*keys)
+    settled = F.lit(False)
+    if before is not None:
+        each = each.join(links(before, "before"), keys)
+        settled = MIN_RECALL * F.col("now") <= F.col("before")
+    return each.where(low | ((zero("measured") < AUDIT_LEAST) & ~settled)).select(*keys)
+
+
 def recall_of(truth: DataFrame, found: DataFrame) -> float:
     row = truth.join(found, "rep", "left").agg(F.sum("truth"), F.sum(F.least("truth", F.coalesce("links", F.lit(0))))).first()
     return row[1] / row[0] if row[0] else 1.0
 
 
-def audit_recall(nodes: DataFrame, found: DataFrame, threshold: float) -> float | None:
-    """Share of the links of the audit's vectors that were found; None: not measured."""
-    truth, _ = audit_truth(nodes, threshold)
-    return None if truth is None else recall_of(truth, found)
+def audit_recall(nodes: DataFrame, found: DataFrame, threshold: float) -> float:
+    """Share of the links of the audit's vectors that were found (1 if they have none)."""
+    return recall_of(audit_truth(nodes, found, threshold)[0], found)
 
 
 def _compare_blocks(threshold: float):
@@ -381,7 +408,8 @@ def all_links(nodes: DataFrame, threshold: float) -> DataFrame:
 def search_links(nodes: DataFrame, sizes: list, threshold: float, overlap: int) -> DataFrame:
     """``(rep, links, root)`` partial rows of every vector and shard, written."""
     centres = label_centres(nodes, sizes)
-    fields = "rep bigint, label bigint, dim int, copies bigint, vector array<float>, clusters array<int>"
+    kind = nodes.schema["vector"].dataType.simpleString()
+    fields = f"rep bigint, label bigint, dim int, copies bigint, vector {kind}, clusters array<int>"
     placed = written(nodes.select("rep", "label", "dim", "copies", "vector").mapInArrow(_assign_batches(centres, overlap), fields), "graph-placed")
     each = placed.withColumn("cluster", F.explode("clusters"))
     shards = each.groupBy("label", "dim", "cluster").agg(F.ceil(F.count("*") / CAP).cast("int").alias("shards"))
@@ -406,29 +434,36 @@ def near_duplicate_vectors(vectors: DataFrame, *, id_col: str = "vec_id", vector
                            label_col: str = "label", threshold: float = 0.93) -> DataFrame:
     """``(vec_id, n_links, component_id, kept)``, one row per row of ``vectors``: vectors of one label with a
     cosine of ``threshold`` or more are linked, and the smallest id of a component is kept."""
+    kind = "float" if isinstance(vectors.schema[vector_col].dataType.elementType, T.FloatType) else "double"
     rows = vectors.select(F.col(f"`{id_col}`").cast("long").alias("vec_id"), F.col(f"`{label_col}`").cast("long").alias("label"),
-                          F.col(f"`{vector_col}`").cast("array<float>").alias("vector"))
+                          F.col(f"`{vector_col}`").cast(f"array<{kind}>").alias("vector"))
     v = F.col("vector")
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0)
     sound = F.coalesce(finite & F.col("label").isNotNull() & F.col("vec_id").isNotNull(), F.lit(False))
     keyed = written(rows.withColumn("sound", sound).withColumn("key", F.when(F.col("sound"), F.sha2(F.concat_ws(
-        ",", F.col("label").cast("string"), F.transform("vector", lambda x: (x + F.lit(0.0).cast("float")).cast("string"))), 256))), "graph-rows")
+        ",", F.col("label").cast("string"), F.transform("vector", lambda x: (x + F.lit(0.0).cast(kind)).cast("string"))), 256))), "graph-rows")
     nodes = written(keyed.where("sound").dropDuplicates(["key", "vec_id"]).groupBy("key")
                     .agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"), F.first("label").alias("label"),
                          F.first("vector").alias("vector")).withColumn("dim", F.size("vector")), "graph-nodes")
-    sizes = nodes.groupBy("label", "dim").agg(F.count("*").alias("n")).where(F.col("n") > TARGET) \
-        .orderBy(F.desc("n"), "label", "dim").limit(MAX_CENTRES).collect()
-    truth, whole = audit_truth(nodes, threshold)
-    total = lambda found: found.groupBy("rep").agg(F.sum("links").alias("links"))
-    found = None
-    # Without a label of several clusters, more overlap changes nothing.
-    for overlap in (OVERLAPS if sizes else OVERLAPS[:1]) if truth is not None else ():
-        tried = search_links(nodes, sizes, threshold, overlap)
-        if recall_of(truth, total(tried)) >= (1 if whole else MIN_RECALL):
-            found = tried
+    total = lambda found: written(found.groupBy("rep").agg(F.sum("links").alias("links")), "graph-links")
+    keys, found, open_nodes, before = ["label", "dim"], None, nodes, None
+    for overlap in OVERLAPS:
+        counts = open_nodes.groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") > TARGET)
+        sizes = counts.orderBy(F.desc("n"), *keys).limit(MAX_CENTRES).collect()
+        tried = search_links(open_nodes, sizes, threshold, overlap)
+        now = total(tried)
+        truth, whole = audit_truth(open_nodes, now, threshold)
+        failing = written(failing_labels(open_nodes, truth, whole, now, before), "graph-failing")
+        passed = tried.join(open_nodes.join(failing, keys, "left_anti").select("rep"), "rep", "left_semi")
+        found = passed if found is None else found.unionByName(passed)
+        again = open_nodes.join(failing, keys, "left_semi")
+        # More overlap changes nothing for a label of one cluster.
+        more = counts.select(*keys) if overlap != OVERLAPS[-1] else counts.select(*keys).limit(0)
+        found = found.unionByName(all_links(again.join(more, keys, "left_anti"), threshold))
+        open_nodes, before = written(again.join(more, keys, "left_semi"), "graph-again"), now
+        if open_nodes.isEmpty():
             break
-    if found is None:
-        found = all_links(nodes, threshold)
+    found = written(found, "graph-all")
     links = total(found)
     components = connected_components(found.select(F.col("rep").alias("u"), F.col("root").alias("v")))
     per_node = (nodes.select("key", "rep", "copies").join(links, "rep", "left")
