@@ -3,22 +3,25 @@
 1. Lexicons come from at most ``LEXICON_ROWS`` labelled rows (chosen by a hash of
    their text): words, and beginnings of five and six letters, that are several
    times as frequent among toxic texts as among others.
-2. Nine voters look at a text: six lexicon voters (two for each kind of entry),
-   the share of words that hit any entry, the number of different entries hit,
-   and an exclamation pattern. Each votes toxic, clean, or abstains.
+2. Voters look at a text. Eight go by the lexicons: six lexicon voters (two for each
+   kind of entry), the share of words that hit any entry, and the number of different
+   entries hit. Five go by patterns: exclamations, runs of marks, masked letters, threats
+   against a second person, and words in capitals. Each votes toxic, clean, or abstains;
+   all patterns but the first only vote toxic or abstain.
 3. A generative model with two classes explains the votes of all documents of
    the learning fold, labelled or not. The voters' rates are estimated by
    expectation-maximisation; their correlations by a tree: each voter depends on
    the class and on the one voter it shares most information with. Labelled rows
-   keep their label. It is fitted on the histogram of vote patterns, which has at
-   most 3^9 patterns for each of the labels 0, 1 and none.
+   keep their label while it is fitted. It is fitted on the histogram of vote patterns, which has at
+   most 3^9 * 2^4 patterns for each of the labels 0, 1 and none.
 4. A logistic regression on what the voters see (the hits of each lexicon as
    shares of the words, their summed evidence, how many entries and words were
-   hit) is trained on the posterior labels of the whole learning fold and scores
-   every text. The texts are read once for votes and features.
+   hit, the patterns) is trained on the posterior labels of the whole learning fold, labelled
+   rows too, and scores every text. The texts are read once for votes and features.
 
 Defined results: a null or empty text has all features zero; a row with a null id is held out; repeated rows count
-as often as they occur; if no row of the learning fold is labelled toxic, or none
+as often as they occur; texts of any length are looked at whole; texts with equal features have equal scores; other columns are
+left out, whatever their names; an empty table gives an empty result; if no row of the learning fold is labelled toxic, or none
 is labelled clean, every score is the share of toxic labels (0 without labels).
 """
 
@@ -42,7 +45,12 @@ LEXICON = 900            # entries at most
 LEAST_DOCS, LEAST_SHARE, LEAST_RATIO = 4, 0.01, 6.0   # of an entry: toxic documents, their share, how many times as frequent
 BEGINNINGS = (5, 6)
 TOXIC, CLEAN, ABSTAIN = 1, 0, 2
-N_VOTERS = 9
+N_VOTERS = 13
+# Patterns that speak for toxicity.
+MARKS = re.compile(r"[!?]{3}")
+MASKED = re.compile(r"(?<![^\W_])[^\W\d_][*@#$%]{1,8}[^\W\d_]")
+THREATS = re.compile(r"\b(?:kill|hurt|beat|destroy|hate|smash)\W{1,3}(?:you|your|u)\b|\b(?:you|u)\W{1,3}(?:will|should|must|deserve to)\W{1,3}(?:die|suffer|pay|burn)\b")
+CAPITALS = re.compile(r"\b[^\W\d_]{3,}\b")
 _TOKEN = re.compile(r"[^\W_]+")
 
 
@@ -98,9 +106,10 @@ class _Entries(dict):
 
 
 def look_at(text: str | None, entries: _Entries) -> tuple[str, list[float]]:
-    """The nine votes as a string of digits, and the features of the classifier."""
+    """The votes as a string of digits, and the features of the classifier."""
     text = text or ""
-    words = _TOKEN.findall(text.lower())
+    lower = text.lower()
+    words = _TOKEN.findall(lower)
     hits, any_hit, evidence, different = [0] * 6, 0, 0.0, set()
     for found in filter(None, map(entries.__getitem__, words)):
         any_hit += 1
@@ -114,9 +123,12 @@ def look_at(text: str | None, entries: _Entries) -> tuple[str, list[float]]:
     votes.append(TOXIC if any_hit >= 0.012 * n and any_hit > 1 else CLEAN if any_hit <= 0.006 * n else ABSTAIN)
     votes.append(TOXIC if len(different) >= 6 else CLEAN if len(different) <= 1 else ABSTAIN)
     votes.append(TOXIC if shouts > 0.3 * n else CLEAN if not shouts else ABSTAIN)
+    marks, masked, threats = (sum(1 for _ in p.finditer(t)) for p, t in ((MARKS, text), (MASKED, text), (THREATS, lower)))
+    loud = sum(x.isupper() for x in CAPITALS.findall(text)) if text != lower else 0
+    votes += [TOXIC if found else ABSTAIN for found in (marks, masked, threats, loud > 0.3 * n)]
     percent = lambda x: min(100.0 * x / n, 3.0)
     seen = [*map(percent, hits), percent(any_hit), min(100.0 * evidence / n, 10.0), math.log1p(len(different)), math.log1p(any_hit),
-            math.log1p(evidence), min(shouts / n, 1.0)]
+            math.log1p(evidence), min(shouts / n, 1.0), percent(marks), percent(masked), percent(threats), min(loud / n, 1.0)]
     return "".join(map(str, votes)), seen
 
 
@@ -196,12 +208,12 @@ class LabelModel:
 
 
 def posterior_labels(voted: DataFrame) -> DataFrame:
-    """``(votes, label, toxic)`` for every pattern and label of rows ``(votes, label)``; at most 3^10 rows."""
+    """``(votes, label, toxic)`` for every pattern and label of rows ``(votes, label)``."""
     rows = sorted((r["votes"], r["label"], r["n"]) for r in voted.groupBy("votes", "label").agg(F.count("*").alias("n")).collect())
     patterns = np.array([[int(x) for x in v] for v, _, _ in rows]).reshape(len(rows), N_VOTERS)
     labels = np.array([y for _, y, _ in rows])
     model = LabelModel(patterns, np.array([n for _, _, n in rows], dtype=float), labels)
-    toxic = np.where(labels >= 0, labels, model.posterior(patterns))
+    toxic = model.posterior(patterns)
     return voted.sparkSession.createDataFrame([(v, int(y), float(p)) for (v, y, _), p in zip(rows, toxic, strict=True)],
                                               "votes string, label int, toxic double")
 
@@ -228,7 +240,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id"
                      .join(seen, "doc_id", "left").withColumn("label", F.coalesce("label", F.lit(-1)))
                      .withColumn("x", array_to_vector("x")), "toxic-looked")
     learning = looked.where("not held_out")
-    weak = F.broadcast(posterior_labels(learning.select("votes", "label")))     # at most 3^10 rows
+    weak = F.broadcast(posterior_labels(learning.select("votes", "label")))     # one row a pattern
     soft = F.explode(F.array(F.struct(F.lit(1.0).alias("y"), F.col("toxic").alias("w")),
                              F.struct(F.lit(0.0).alias("y"), (1 - F.col("toxic")).alias("w"))))
     train = learning.join(weak, ["votes", "label"]).select("x", soft.alias("s")).select("x", "s.y", "s.w").where("w > 0.001")
