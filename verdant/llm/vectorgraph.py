@@ -16,12 +16,13 @@ smallest id first, so a group of copies is one node of the graph.
    precision. A pair that meets in two clusters counts in the first.
 4. Recall is audited on every table: for vectors chosen by a hash, and for vectors that found a
    link, chosen in the same way, all links are counted by brute force, in blocks over all
-   vectors. ``AUDIT`` vectors are drawn of each kind, then four times as many, until they
-   have ``AUDIT_LINKS`` links, ``AUDIT_MOST`` vectors or all vectors are drawn. A label passes if
-   it has ``MIN_RECALL`` there (1 if all are drawn). Where the vectors chosen by hash have fewer
-   than ``AUDIT_LEAST`` links of a label, that measures too little: such a label passes if twice
-   the overlap found no more than 1 - ``MIN_RECALL`` of new links. Other labels are searched again
-   with twice the overlap.
+   vectors. ``AUDIT`` vectors are drawn of each kind, then four times as many, until
+   ``AUDIT_LINKED`` of those chosen by hash have a link, ``AUDIT_MOST`` or all are drawn. A label with
+   ``AUDIT_LINKS`` links there passes by its own recall, the others by theirs together
+   (``MIN_RECALL``; if all vectors are drawn, each label must have all its links). Where the
+   others have fewer than ``AUDIT_LEAST`` links on vectors chosen by hash, that measures too
+   little: they pass if twice the overlap found no more than 1 - ``MIN_RECALL`` of new links.
+   Labels that do not pass are searched again with twice the overlap.
 5. The vectors of labels that no overlap is enough for are compared with each other, in blocks; so
    are those of a failing label of one cluster, ``TARGET`` vectors at most.
 
@@ -54,8 +55,9 @@ RANGE_SLACK = 0.03
 QUERY_BLOCK = 256
 LOOK_AT = 1 << 19        # neighbours of expanded nodes that are looked at together
 AUDIT, AUDIT_MOST = 256, 4096     # vectors of each kind in the first and the last audit draw; the draws go through the driver
-AUDIT_LINKS = 1000       # links that end the drawing
-AUDIT_LEAST = 50         # links of a label that measure its recall
+AUDIT_LINKED = 200       # drawn vectors with a link that end the drawing
+AUDIT_LINKS = 1000       # drawn links that measure a label's own recall
+AUDIT_LEAST = 50         # drawn links that measure recall at all
 MIN_RECALL = 0.99
 OVERLAPS = (2, 4, 8)
 
@@ -328,7 +330,7 @@ def audit_truth(nodes: DataFrame, found: DataFrame, threshold: float) -> tuple[D
         kinds = nodes.sparkSession.createDataFrame([(r["rep"], r["label"], r["dim"], r["rep"] in by_hash) for r in sample],
                                                    "rep bigint, label bigint, dim int, by_hash boolean")
         truth = written(kinds.join(truth.groupBy("rep").agg(F.sum("truth").alias("truth")), "rep"), "graph-audit")
-        if whole or size >= AUDIT_MOST or (truth.agg(F.sum("truth")).first()[0] or 0) >= AUDIT_LINKS:
+        if whole or size >= AUDIT_MOST or truth.where("by_hash and truth > 0").count() >= AUDIT_LINKED:
             return truth, whole
         size *= 4
 
@@ -344,14 +346,14 @@ def failing_labels(nodes: DataFrame, truth: DataFrame, whole: bool, now: DataFra
         F.coalesce(F.sum("links"), F.lit(0)).alias(name))
     each = links(now, "now").join(shares, keys, "left")
     zero = lambda c: F.coalesce(c, F.lit(0))
-    low = zero("hit") < (1 if whole else MIN_RECALL) * zero("all")
     if whole:
-        return each.where(low).select(*keys)
-    settled = F.lit(False)
-    if before is not None:
-        each = each.join(links(before, "before"), keys)
-        settled = MIN_RECALL * F.col("now") <= F.col("before")
-    return each.where(low | ((zero("measured") < AUDIT_LEAST) & ~settled)).select(*keys)
+        return each.where(zero("hit") < zero("all")).select(*keys)
+    each = each.join(links(before, "before"), keys) if before is not None else each.withColumn("before", F.lit(-1))
+    alone = zero("all") >= AUDIT_LINKS
+    others = each.where(~alone).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("all", "hit", "measured", "now", "before")]).first()
+    passed = others["hit"] >= MIN_RECALL * others["all"] and (
+        others["measured"] >= AUDIT_LEAST or (before is not None and MIN_RECALL * others["now"] <= others["before"]))
+    return each.where(F.when(alone, zero("hit") < MIN_RECALL * zero("all")).otherwise(F.lit(not passed))).select(*keys)
 
 
 def recall_of(truth: DataFrame, found: DataFrame) -> float:
