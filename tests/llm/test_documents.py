@@ -248,6 +248,25 @@ def test_blocks_of_long_texts(spark, monkeypatch):
     assert start[0] == 0 and end[-1] == len(text) - 99 and np.array_equal(start[1:], end[:-1]) and again[-1]
 
 
+def test_planted_passages_on_both_sides_of_the_size(spark):
+    """Passages shared by two texts: from 400 bytes on they go, whole; shorter ones, though of over 50 words, stay."""
+    rng = random.Random(29)
+    word = lambda n: "".join(rng.choice("abcdefghij") for _ in range(n))
+    passage = lambda size: (" ".join(word(5) for _ in range(200)))[:size - 1] + "."
+    rows, sizes = [], {}
+    for k, size in enumerate([330, 398, 399, 400, 401, 600]):
+        shared = passage(size)
+        for copy in (0, 1):
+            sizes[2 * k + copy] = size
+            rows.append((2 * k + copy, f"<{word(300)}{2 * k + copy}|{shared}|{copy}{word(300)}>", "en", "s", 0))
+    assert len(X.words(passage(330))) > 50
+    got = {r.doc_id: r for r in suffixes.repeated_bytes(X.frame(spark, rows)).collect()}
+    for i, size in sizes.items():
+        # The marks around a passage are the same in both texts.
+        assert (got[i].n_removed, got[i].n_spans) == ((size + 2, 1) if size + 2 >= 400 else (0, 0)), size
+        assert got[i].n_bytes == len(next(r[1] for r in rows if r[0] == i))
+
+
 # Line alignment
 
 def test_patience_matches_in_order():
