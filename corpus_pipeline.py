@@ -3,6 +3,15 @@
 Each stage takes (spark, docs, sf_dir) and works on all rows its predecessor
 kept; its result is written as Parquet and read again as the next one's docs.
 All stages but the last return the columns of documents.
+
+Defined results, for every stage: a null or empty text is rejected by the quality rules;
+later stages, given one, keep it (no lines, no shingles, size 0) and packing gives it one
+row of length 0. Very long texts are treated whole; packing cuts them into pieces. Repeated
+rows are judged each by the quality rules; line and near dedup take rows of equal id and text as
+one document; mixing and packing count each. Rows with a null id are neither
+changed nor removed by the dedup stages. Ties go to the smaller id or hash, as the operators'
+modules say. An empty table gives an empty result. Extra columns of any name pass through
+all stages but the last, which returns its own columns.
 """
 
 from __future__ import annotations
