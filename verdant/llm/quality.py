@@ -10,7 +10,9 @@ sum of votes, so scoring stays a column expression.
 
 Main path: DataFrame functions only. Defined results: a null or empty text has
 zero counts and fails the base rules; a text whose rules all abstain gets the
-prior; repeated rows are judged each; an empty table gives an empty result.
+prior; repeated rows are judged each; texts of any length are counted whole; texts with equal
+votes have equal posteriors, and one at the threshold is kept; other columns may have any
+names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
