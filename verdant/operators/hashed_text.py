@@ -46,7 +46,8 @@ def _tokens_of_rows(docs: DataFrame, tokens: Column, *columns: Column) -> DataFr
     rows = docs.select(*columns, tokens.alias("terms"))
     key = F.md5(F.concat_ws(":", F.coalesce(F.size("terms"), F.lit(-1)).cast("string"), F.concat_ws("\x00", "terms")))
     names = [c for c in rows.columns if c != "terms"]
-    flat = rows.select(F.unhex(key).alias("key"), *names, F.posexplode_outer("terms").alias("at", "term"))
+    # The key is made below the explode: once a row, not once a token.
+    flat = rows.select(F.unhex(key).alias("key"), *names, "terms").select("key", *names, F.posexplode_outer("terms").alias("at", "term"))
     return flat.withColumn("head", (F.coalesce("at", F.lit(0)) == 0).cast("int")).drop("at")
 
 
