@@ -3,7 +3,7 @@
 import hashlib
 import random
 import time
-from collections import Counter
+from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
@@ -267,6 +267,33 @@ def test_planted_passages_on_both_sides_of_the_size(spark):
         assert got[i].n_bytes == len(next(r[1] for r in rows if r[0] == i))
 
 
+def shared_word_counts(rows, size):
+    """Words of each row in windows of ``size`` words that another row holds."""
+    words = [X.words(r[1]) for r in rows]
+    holders = defaultdict(set)
+    for k, w in enumerate(words):
+        for i in range(len(w) - size + 1):
+            holders[tuple(w[i:i + size])].add(k)
+    return [len({j for i in range(len(w) - size + 1) if len(holders[tuple(w[i:i + size])]) > 1 for j in range(i, i + size)}) for w in words]
+
+
+@pytest.mark.parametrize("size", [8, 51])
+def test_shared_passages_equal_brute_force(spark, rows, size):
+    rng = random.Random(31)
+    w = [f"{k}w{rng.randrange(10**6)}" for k in range(5000)]
+    passage, tail = w[:60], " " + "y" * 20_000
+    rows = [*rows, (9001, " ".join(w[100:180] + passage + w[200:230]), "en", "s", 0), (9002, "\n".join(passage) + "\t" + " ".join(w[300:400]), "en", "s", 0),
+            (9003, " ".join(w[400:470] * 2), "en", "s", 0), (9004, " ".join(passage[:50] + w[500:520]) + tail, "en", "s", 0),
+            (9005, "a " * 3000, "en", "s", 0), (9006, "a " * 55 + "b", "en", "s", 0), (9007, " ".join(w[600:] + passage[:51]), "en", "s", 0),
+            (9008, " ".join(passage[9:]), "en", "s", 0), (9009, "\u00a0".join(passage), "en", "s", 0)]
+    expected = Counter(zip([r[0] for r in rows], shared_word_counts(rows, size)))
+    out = suffixes.repeated_bytes(X.frame(spark, rows), passage_words=size).collect()
+    assert Counter((r.doc_id, r.n_passage_words) for r in out) == expected
+    plain = suffixes.repeated_bytes(X.frame(spark, rows)).collect()
+    same = lambda r: (r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256)
+    assert Counter(map(same, out)) == Counter(map(same, plain))
+
+
 # Line alignment
 
 def test_patience_matches_in_order():

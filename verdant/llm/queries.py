@@ -58,7 +58,7 @@ def language_query(spark, sf_dir):
 
 @_query("op7_suffix_array")
 def suffix_query(spark, sf_dir):
-    return suffixes.repeated_bytes(table(spark, sf_dir, "documents")).drop("spans")
+    return suffixes.repeated_bytes(table(spark, sf_dir, "documents"), passage_words=51).drop("spans")
 
 
 @_query("op8_setsketch", setsketch.ORACLE)

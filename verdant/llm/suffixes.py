@@ -18,13 +18,21 @@ way that equal windows meet:
 3. Neighbours in suffix order whose common prefix reaches ``size`` are repeated
    windows. Their places go back to the texts, overlapping ones are united.
 
+With ``passage_words`` the passages of that many words that another document holds are found too: words are
+split at blanks, and a passage is the same whatever blanks stand between its words. Passages are windows of words,
+with anchors as above (the smallest hash among its grams of ``PASSAGE_GRAM`` words), so their segments take the same
+way up to the texts. Segments there are collapsed, a window is known by its anchor and the hash of its words, and it is shared
+if it lies in two different texts. Nothing is removed for it; ``n_passage_words`` counts the words that shared windows cover.
+
 An anchor whose segments exceed ``GROUP_BYTES`` is not sorted in one task: its
 windows are counted by a 128-bit hash, with partial sums, which gives the same
 rows. Copies of a whole text are found by their SHA-256 and travel once.
 
 Defined results: null is the empty text (nothing removed); texts shorter than
 ``size`` are kept whole; repeated rows are copies of each other, whatever their
-id; an empty table gives an empty result.
+id (all words of a copy of ``passage_words`` or more are in a shared passage); a passage that one text alone repeats
+isn't shared; very long texts are cut into segments like all others; other columns, whatever their names, are left out;
+an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -37,15 +45,19 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from verdant.llm.common import written
+from verdant.llm.common import n_words, written
 
 SIZE = 400
 GRAM = 128
+PASSAGE_GRAM = 16           # words
+CODE_BYTES = 1 << 18        # bytes of a text whose words are coded at a time
 BLOCK = 1 << 18             # windows of a text that are handled at a time
 GROUP_BYTES = 48 << 20      # segments of one anchor that one task may sort
 SORT_WINDOWS = 1 << 16      # windows that are sorted together at least, if there are so many
 _BASE = np.uint64(0x5851F42D4C957F2D)
 _BASE_INVERSE = np.uint64(pow(0x5851F42D4C957F2D, -1, 2**64))
+_BLANK = np.zeros(256, dtype=bool)
+_BLANK[[0x20, *range(0x09, 0x0E)]] = True
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -85,14 +97,37 @@ def sliding_minimum(h: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(tail[:n], head[width - 1:width - 1 + n])
 
 
-def anchor_runs(text: bytes, size: int, gram: int):
-    """``(anchor, start, end, again)`` arrays: the windows ``start <= i < end``
+def word_places(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the words of a text."""
+    edges = np.flatnonzero(np.diff(~_BLANK[np.frombuffer(text, dtype=np.uint8)], prepend=False, append=False))
+    return edges[::2], edges[1::2]
+
+
+def word_codes(text: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of every word; only used to choose anchors."""
+    data, codes = np.frombuffer(text, dtype=np.uint8), np.empty(len(starts), dtype=np.uint64)
+    powers = _power_tables(4096)[0]
+    cuts = np.unique(np.append(np.searchsorted(starts, np.arange(0, len(data), CODE_BYTES)), len(starts)))
+    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+        lengths = ends[a:b] - starts[a:b]
+        first = np.cumsum(lengths) - lengths
+        at = np.arange(int(lengths.sum())) - np.repeat(first, lengths)      # place of each letter in its word
+        letters = data[np.repeat(starts[a:b], lengths) + at].astype(np.uint64) + np.uint64(1)
+        codes[a:b] = np.add.reduceat(letters * powers[at & 4095], first)
+    codes ^= codes >> np.uint64(31)
+    codes *= np.uint64(0x9E3779B97F4A7C15)
+    return codes ^ (codes >> np.uint64(29))
+
+
+def anchor_runs(text: bytes | np.ndarray, size: int, gram: int):
+    """``(anchor, start, end, again)`` arrays: the windows ``start <= i < end`` (of bytes, or of an array's numbers)
     share an anchor; ``again``: its gram occurs more than once among them."""
     parts = []
+    symbols = np.frombuffer(text, dtype=np.uint8) if isinstance(text, bytes) else text
     width = size - gram + 1
     for a in range(0, len(text) - size + 1, BLOCK):
         b = min(a + BLOCK, len(text) - size + 1)
-        h = gram_hashes(np.frombuffer(text, dtype=np.uint8, count=b - a + size - 1, offset=a), gram)
+        h = gram_hashes(symbols[a:b + size - 1], gram)
         least = sliding_minimum(h, width)
         cut = np.flatnonzero(least[1:] != least[:-1]) + 1
         start, end = np.concatenate([[0], cut]), np.concatenate([cut, [b - a]])
@@ -108,20 +143,30 @@ def anchor_runs(text: bytes, size: int, gram: int):
     return [np.concatenate(x) for x in zip(*parts, strict=True)]
 
 
-def _run_batches(size: int, gram: int):
+def _run_batches(size: int, gram: int, passage: int | None):
     def run(batches):
         for batch in batches:
-            at, found = [], []
+            at, found, in_words = [], [], []
+
+            def add(k, runs, of_words, at=at, found=found, in_words=in_words):
+                found.append(runs)
+                at.append(np.full(len(runs[0]), k))
+                in_words.append(np.full(len(runs[0]), of_words))
+
             for k, text in enumerate(batch.column("text").cast(pa.binary()).to_pylist()):
                 if text is not None and len(text) >= size:
-                    found.append(anchor_runs(text, size, gram))
-                    at.append(np.full(len(found[-1][0]), k))
+                    add(k, anchor_runs(text, size, gram), False)
+                if text is not None and passage:
+                    starts, ends = word_places(text)
+                    if len(starts) >= passage:
+                        add(k, anchor_runs(word_codes(text, starts, ends), passage, min(PASSAGE_GRAM, passage)), True)
             if not found:
                 continue
             anchor, start, end, again = (np.concatenate(x) for x in zip(*found, strict=True))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("key").take(pa.array(np.concatenate(at))), pa.array(anchor), pa.array(start.astype(np.int64)),
-                 pa.array(end.astype(np.int64)), pa.array(again)], names=["key", "anchor", "start", "end", "again"])
+                 pa.array(end.astype(np.int64)), pa.array(again), pa.array(np.concatenate(in_words))],
+                names=["key", "anchor", "start", "end", "again", "in_words"])
     return run
 
 
@@ -133,6 +178,7 @@ def _segment_batches(size: int, with_bytes: bool):
             marks = batch.column("marks").to_pylist()
             keys = batch.column("key").to_pylist()
             for text, own, key in zip(texts, marks, keys, strict=True):
+                own = [m for m in own if not m["in_words"]]
                 cut = [text[m["start"]:m["end"] + size - 1] for m in own]
                 if with_bytes:
                     columns = {"anchor": pa.array([m["anchor"] for m in own], pa.int64()), "segment": pa.array(cut, pa.binary())}
@@ -288,6 +334,49 @@ def _window_batches(size: int):
     return run
 
 
+def _passage_batches(passage: int):
+    """Segments of words of marked texts: key, start, anchor, hash and the hashes of their windows."""
+    def run(batches):
+        for batch in batches:
+            for key, text, marks in zip(batch.column("key").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist(),
+                                        batch.column("marks").to_pylist(), strict=True):
+                own = [m for m in marks if m["in_words"]]
+                if not own:
+                    continue
+                starts, ends = word_places(text)
+                columns = {"segment_key": [], "windows": []}
+                for m in own:
+                    s, e = (x[m["start"]:m["end"] + passage - 1].tolist() for x in (starts, ends))
+                    words = b" ".join([text[i:j] for i, j in zip(s, e, strict=True)])
+                    first = np.concatenate([[0], np.cumsum([j - i + 1 for i, j in zip(s, e, strict=True)])])
+                    hashes = [xxhash.xxh3_64_intdigest(words[i:j]) for i, j in zip(first[:-passage].tolist(), (first[passage:] - 1).tolist(), strict=True)]
+                    columns["segment_key"].append(xxhash.xxh3_128_digest(words))
+                    columns["windows"].append(np.array(hashes, dtype=np.uint64).view(np.int64).tolist())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([key] * len(own), pa.binary()), pa.array([m["start"] for m in own], pa.int64()),
+                     pa.array([m["anchor"] for m in own], pa.int64()), pa.array(columns["segment_key"], pa.binary()),
+                     pa.array(columns["windows"], pa.list_(pa.int64()))], names=["key", "start", "anchor", "segment_key", "windows"])
+    return run
+
+
+def shared_words(marked: DataFrame, passage: int) -> DataFrame:
+    """``(key, n_passage_words)`` of the marked texts that share a window of ``passage`` words with another text."""
+    owners = written(marked.mapInArrow(_passage_batches(passage), "key binary, start bigint, anchor bigint, segment_key binary, windows array<bigint>"),
+                     "passage-segments")
+    segments = owners.groupBy("segment_key", "anchor").agg(F.min("key").alias("lo"), F.max("key").alias("hi"), F.first("windows").alias("windows"))
+    windows = written(segments.select("segment_key", "anchor", "lo", "hi", F.posexplode("windows").alias("i", "window")), "passage-windows")
+    shared = windows.groupBy("anchor", "window").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("lo <> hi").select("anchor", "window")
+    hits = windows.join(shared, ["anchor", "window"], "left_semi").groupBy("segment_key").agg(F.collect_list("i").alias("hits"))
+    places = owners.select("key", "start", "segment_key").join(hits, "segment_key") \
+        .groupBy("key").agg(F.flatten(F.collect_list(F.transform("hits", lambda i: i + F.col("start")))).alias("places"))
+    # A window covers what lies before the next one, at most all its words.
+    at = F.array_sort(F.array_distinct("places"))
+    steps = F.zip_with(F.slice("at", 2, F.size("at")), "at",
+                       lambda after, now: F.when(after.isNull(), F.lit(passage)).otherwise(F.least(after - now, F.lit(passage))))
+    return places.select("key", at.alias("at")).select("key", F.aggregate(
+        steps, F.lit(0).cast("long"), lambda total, step: total + step).alias("n_passage_words"))
+
+
 def _removed_batches(size: int):
     """Texts with the places of their repeated windows -> what is removed and the hash of the rest."""
     def run(batches):
@@ -316,23 +405,26 @@ def _removed_batches(size: int):
 
 
 def repeated_bytes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE,
-                   gram: int = GRAM, group_bytes: int = GROUP_BYTES) -> DataFrame:
+                   gram: int = GRAM, group_bytes: int = GROUP_BYTES, passage_words: int | None = None) -> DataFrame:
     """``(doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans)``, one row
-    per row of ``docs``; ``spans`` are the removed byte ranges ``lo <= i < hi``."""
+    per row of ``docs``; ``spans`` are the removed byte ranges ``lo <= i < hi``.
+    With ``passage_words`` there is ``n_passage_words`` too."""
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     sha = F.sha2(text, 256)
     key = F.unhex(F.substring(sha, 1, 32))
-    keyed = docs.select(key.alias("key"), text.alias("text")).where(F.octet_length("text") >= size)
+    keyed = docs.select(key.alias("key"), text.alias("text")).where(
+        F.octet_length("text") >= min(size, 2 * (passage_words or size) - 1))
     meta = written(docs.select(F.col(f"`{id_col}`").alias("doc_id"), key.alias("key"), sha.alias("sha"),
-                               F.octet_length(text).cast("long").alias("n_bytes")), "suffix-texts")
+                               F.octet_length(text).cast("long").alias("n_bytes"),
+                               *([n_words(text).alias("n_words")] if passage_words else [])), "suffix-texts")
     copies = meta.groupBy("key").agg(F.count("*").alias("copies"))
 
-    runs = written(keyed.mapInArrow(_run_batches(size, gram), "key binary, anchor bigint, start bigint, end bigint, again boolean"),
-                   "suffix-runs")
+    runs = written(keyed.mapInArrow(_run_batches(size, gram, passage_words),
+                                    "key binary, anchor bigint, start bigint, end bigint, again boolean, in_words boolean"), "suffix-runs")
     place = F.xxhash64("key", "start")
     again = runs.groupBy("anchor").agg(F.min(place).alias("lo"), F.max(place).alias("hi"), F.max("again").alias("again")) \
         .where("lo <> hi or again").select("anchor")
-    marks = runs.join(again, "anchor").groupBy("key").agg(F.collect_set(F.struct("start", "end", "anchor")).alias("marks"))
+    marks = runs.join(again, "anchor").groupBy("key").agg(F.collect_set(F.struct("start", "end", "anchor", "in_words")).alias("marks"))
     marked = written(keyed.join(marks, "key").dropDuplicates(["key"]), "suffix-marked")
 
     segments = marked.mapInArrow(_segment_batches(size, True), "anchor bigint, segment binary") \
@@ -359,9 +451,14 @@ def repeated_bytes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     span = F.array(F.struct(F.lit(0).cast("long").alias("lo"), F.col("n_bytes").alias("hi")))
     none = F.array().cast("array<struct<lo:bigint,hi:bigint>>")
     zero = F.lit(0).cast("long")
-    return meta.join(copies, "key").join(removed, "key", "left").select(
+    per_text, more = meta.join(copies, "key").join(removed, "key", "left"), []
+    if passage_words:
+        per_text = per_text.join(shared_words(marked, passage_words), "key", "left")
+        copied = (F.col("copies") > 1) & (F.col("n_words") >= passage_words)
+        more = [F.when(copied, F.col("n_words")).otherwise(F.coalesce("n_passage_words", zero)).alias("n_passage_words")]
+    return per_text.select(
         "doc_id", "n_bytes",
         F.when(whole, F.col("n_bytes")).otherwise(F.coalesce("n_removed", zero)).alias("n_removed"),
         F.when(whole, F.lit(1).cast("long")).otherwise(F.coalesce("n_spans", zero)).alias("n_spans"),
         F.when(whole, F.sha2(F.lit(""), 256)).otherwise(F.coalesce("kept_sha256", "sha")).alias("kept_sha256"),
-        F.when(whole, span).otherwise(F.coalesce("spans", none)).alias("spans"))
+        F.when(whole, span).otherwise(F.coalesce("spans", none)).alias("spans"), *more)
