@@ -21,8 +21,8 @@ way that equal windows meet:
 With ``passage_words`` the passages of that many words that another document holds are found too: words are
 split at blanks, and a passage is the same whatever blanks stand between its words. Passages are windows of words,
 with anchors as above (the smallest hash among its grams of ``PASSAGE_GRAM`` words), so their segments take the same
-way up to the texts. Segments there are collapsed, a window is known by its anchor and the hash of its words, and it is shared
-if it lies in two different texts. Nothing is removed for it; ``n_passage_words`` counts the words that shared windows cover.
+way up to the texts. Equal segments of two texts are shared whole. Where an anchor has a segment that a single text holds
+beside others, their windows are compared by the hash of their words. Nothing is removed for it; ``n_passage_words`` counts the words that shared windows cover.
 
 An anchor whose segments exceed ``GROUP_BYTES`` is not sorted in one task: its
 windows are counted by a 128-bit hash, with partial sums, which gives the same
@@ -49,8 +49,9 @@ from verdant.llm.common import n_words, written
 
 SIZE = 400
 GRAM = 128
-PASSAGE_GRAM = 16           # words
+PASSAGE_GRAM = 8            # words
 CODE_BYTES = 1 << 18        # bytes of a text whose words are coded at a time
+LONG_WORD = 4096            # bytes from which a word is coded by itself
 BLOCK = 1 << 18             # windows of a text that are handled at a time
 GROUP_BYTES = 48 << 20      # segments of one anchor that one task may sort
 SORT_WINDOWS = 1 << 16      # windows that are sorted together at least, if there are so many
@@ -106,22 +107,25 @@ def word_places(text: bytes) -> tuple[np.ndarray, np.ndarray]:
 def word_codes(text: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit hash of every word; only used to choose anchors."""
     data, codes = np.frombuffer(text, dtype=np.uint8), np.empty(len(starts), dtype=np.uint64)
-    powers = _power_tables(4096)[0]
-    cuts = np.unique(np.append(np.searchsorted(starts, np.arange(0, len(data), CODE_BYTES)), len(starts)))
+    long = np.flatnonzero(ends - starts > LONG_WORD)
+    cuts = np.unique(np.concatenate([np.searchsorted(starts, np.arange(0, len(data), CODE_BYTES)), long, long + 1, [len(starts)]]))
     for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-        lengths = ends[a:b] - starts[a:b]
-        first = np.cumsum(lengths) - lengths
-        at = np.arange(int(lengths.sum())) - np.repeat(first, lengths)      # place of each letter in its word
-        letters = data[np.repeat(starts[a:b], lengths) + at].astype(np.uint64) + np.uint64(1)
-        codes[a:b] = np.add.reduceat(letters * powers[at & 4095], first)
+        lo, hi = int(starts[a]), int(ends[b - 1])
+        if b == a + 1 and hi - lo > LONG_WORD:
+            codes[a] = xxhash.xxh64_intdigest(text[lo:hi])
+            continue
+        up, down = _power_tables(hi - lo + 1)
+        sums = np.zeros(hi - lo + 1, dtype=np.uint64)
+        np.cumsum((data[lo:hi].astype(np.uint64) + np.uint64(1)) * up[:hi - lo], out=sums[1:])
+        codes[a:b] = (sums[ends[a:b] - lo] - sums[starts[a:b] - lo]) * down[starts[a:b] - lo]
     codes ^= codes >> np.uint64(31)
     codes *= np.uint64(0x9E3779B97F4A7C15)
     return codes ^ (codes >> np.uint64(29))
 
 
-def anchor_runs(text: bytes | np.ndarray, size: int, gram: int):
+def anchor_runs(text: bytes | np.ndarray, size: int, gram: int, inside: bool = True):
     """``(anchor, start, end, again)`` arrays: the windows ``start <= i < end`` (of bytes, or of an array's numbers)
-    share an anchor; ``again``: its gram occurs more than once among them."""
+    share an anchor; ``again``: its gram occurs more than once among them (False without ``inside``)."""
     parts = []
     symbols = np.frombuffer(text, dtype=np.uint8) if isinstance(text, bytes) else text
     width = size - gram + 1
@@ -132,9 +136,9 @@ def anchor_runs(text: bytes | np.ndarray, size: int, gram: int):
         cut = np.flatnonzero(least[1:] != least[:-1]) + 1
         start, end = np.concatenate([[0], cut]), np.concatenate([cut, [b - a]])
         anchor = least[start]
-        again = end - start > width
+        again = (end - start > width) & inside
         near = np.arange(width)
-        for at in range(0, len(start), 512):  # few runs at a time: the comparison has a row of grams for each
+        for at in range(0, len(start) if inside else 0, 512):  # few runs at a time: the comparison has a row of grams for each
             s, e, v = start[at:at + 512, None], end[at:at + 512, None] - 1, anchor[at:at + 512, None]
             first = np.argmax(h[s + near] == v, axis=1) + s[:, 0]
             last = e[:, 0] + width - 1 - np.argmax(h[e + near[::-1]] == v, axis=1)
@@ -159,7 +163,7 @@ def _run_batches(size: int, gram: int, passage: int | None):
                 if text is not None and passage:
                     starts, ends = word_places(text)
                     if len(starts) >= passage:
-                        add(k, anchor_runs(word_codes(text, starts, ends), passage, min(PASSAGE_GRAM, passage)), True)
+                        add(k, anchor_runs(word_codes(text, starts, ends), passage, min(PASSAGE_GRAM, passage), inside=False), True)
             if not found:
                 continue
             anchor, start, end, again = (np.concatenate(x) for x in zip(*found, strict=True))
@@ -344,37 +348,47 @@ def _passage_batches(passage: int):
                 if not own:
                     continue
                 starts, ends = word_places(text)
-                columns = {"segment_key": [], "windows": []}
+                columns = {"segment_key": [], "n": [], "windows": []}
                 for m in own:
                     s, e = (x[m["start"]:m["end"] + passage - 1].tolist() for x in (starts, ends))
                     words = b" ".join([text[i:j] for i, j in zip(s, e, strict=True)])
                     first = np.concatenate([[0], np.cumsum([j - i + 1 for i, j in zip(s, e, strict=True)])])
                     hashes = [xxhash.xxh3_64_intdigest(words[i:j]) for i, j in zip(first[:-passage].tolist(), (first[passage:] - 1).tolist(), strict=True)]
                     columns["segment_key"].append(xxhash.xxh3_128_digest(words))
+                    columns["n"].append(len(hashes))
                     columns["windows"].append(np.array(hashes, dtype=np.uint64).view(np.int64).tolist())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([key] * len(own), pa.binary()), pa.array([m["start"] for m in own], pa.int64()),
                      pa.array([m["anchor"] for m in own], pa.int64()), pa.array(columns["segment_key"], pa.binary()),
-                     pa.array(columns["windows"], pa.list_(pa.int64()))], names=["key", "start", "anchor", "segment_key", "windows"])
+                     pa.array(columns["n"], pa.int64()), pa.array(columns["windows"], pa.list_(pa.int64()))],
+                    names=["key", "start", "anchor", "segment_key", "n", "windows"])
     return run
 
 
 def shared_words(marked: DataFrame, passage: int) -> DataFrame:
     """``(key, n_passage_words)`` of the marked texts that share a window of ``passage`` words with another text."""
-    owners = written(marked.mapInArrow(_passage_batches(passage), "key binary, start bigint, anchor bigint, segment_key binary, windows array<bigint>"),
-                     "passage-segments")
-    segments = owners.groupBy("segment_key", "anchor").agg(F.min("key").alias("lo"), F.max("key").alias("hi"), F.first("windows").alias("windows"))
-    windows = written(segments.select("segment_key", "anchor", "lo", "hi", F.posexplode("windows").alias("i", "window")), "passage-windows")
+    owners = written(marked.mapInArrow(_passage_batches(passage), "key binary, start bigint, anchor bigint, segment_key binary, n bigint, "
+                                       "windows array<bigint>"), "passage-segments")
+    holders = [F.min(F.xxhash64("key")).alias("lo"), F.max(F.xxhash64("key")).alias("hi")]
+    segments = written(owners.groupBy("segment_key", "anchor").agg(*holders), "passage-distinct")
+    # All windows of a segment of two texts are shared. One of a single text has to be compared with others of its anchor.
+    mixed = segments.groupBy("anchor").agg(F.count("*").alias("n"), F.bool_or(F.col("lo") == F.col("hi")).alias("lone")) \
+        .where("n > 1 and lone").select("anchor")
+    windows = written(owners.join(mixed, "anchor", "left_semi").groupBy("segment_key", "anchor").agg(*holders, F.first("windows").alias("windows"))
+                      .select("segment_key", "anchor", "lo", "hi", F.posexplode("windows").alias("i", "window")), "passage-windows")
     shared = windows.groupBy("anchor", "window").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("lo <> hi").select("anchor", "window")
-    hits = windows.join(shared, ["anchor", "window"], "left_semi").groupBy("segment_key").agg(F.collect_list("i").alias("hits"))
-    places = owners.select("key", "start", "segment_key").join(hits, "segment_key") \
-        .groupBy("key").agg(F.flatten(F.collect_list(F.transform("hits", lambda i: i + F.col("start")))).alias("places"))
-    # A window covers what lies before the next one, at most all its words.
-    at = F.array_sort(F.array_distinct("places"))
-    steps = F.zip_with(F.slice("at", 2, F.size("at")), "at",
-                       lambda after, now: F.when(after.isNull(), F.lit(passage)).otherwise(F.least(after - now, F.lit(passage))))
-    return places.select("key", at.alias("at")).select("key", F.aggregate(
-        steps, F.lit(0).cast("long"), lambda total, step: total + step).alias("n_passage_words"))
+    hits = windows.where("lo = hi").join(shared, ["anchor", "window"], "left_semi").groupBy("segment_key").agg(F.collect_list("i").alias("hits"))
+    place = lambda lo, n: F.struct(lo.alias("lo"), (lo + n + passage - 1).alias("hi"))
+    own = owners.select("key", "start", "segment_key", "n")
+    start = F.col("start")
+    whole = own.join(segments.where("lo <> hi").select("segment_key"), "segment_key").select("key", F.array(place(start, F.col("n"))).alias("places"))
+    parts = own.join(hits, "segment_key").select("key", F.transform("hits", lambda i: place(start + i, F.lit(1).cast("long"))).alias("places"))
+    places = whole.unionByName(parts).groupBy("key").agg(F.array_sort(F.flatten(F.collect_list("places"))).alias("places"))
+    none = F.struct(F.lit(0).cast("long").alias("upto"), F.lit(0).cast("long").alias("total"))
+    more = lambda so, p: F.greatest(p["hi"] - F.greatest(so["upto"], p["lo"]), F.lit(0).cast("long"))
+    return places.select("key", F.aggregate(
+        "places", none, lambda so, p: F.struct(F.greatest(so["upto"], p["hi"]).alias("upto"), (so["total"] + more(so, p)).alias("total")),
+        lambda so: so["total"]).alias("n_passage_words"))
 
 
 def _removed_batches(size: int):
@@ -421,7 +435,8 @@ def repeated_bytes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
 
     runs = written(keyed.mapInArrow(_run_batches(size, gram, passage_words),
                                     "key binary, anchor bigint, start bigint, end bigint, again boolean, in_words boolean"), "suffix-runs")
-    place = F.xxhash64("key", "start")
+    # A text's own repeats count for bytes, not for words.
+    place = F.when(F.col("in_words"), F.xxhash64("key")).otherwise(F.xxhash64("key", "start"))
     again = runs.groupBy("anchor").agg(F.min(place).alias("lo"), F.max(place).alias("hi"), F.max("again").alias("again")) \
         .where("lo <> hi or again").select("anchor")
     marks = runs.join(again, "anchor").groupBy("key").agg(F.collect_set(F.struct("start", "end", "anchor", "in_words")).alias("marks"))
