@@ -258,6 +258,62 @@ def test_rare_pairs_go_through_the_graph(spark, monkeypatch):
     assert sum(n for n, _ in out.values()) <= 2 * len(pairs)
 
 
+def test_bounded_centres_still_give_bounded_clusters(spark, monkeypatch):
+    """Two centres for a label of 4,000 vectors: its clusters are cut again until they are small, but for a ball of near
+    copies of one vector, which no cut could part without losing its links."""
+    for name, value in (("TARGET", 50), ("CAP", 120), ("MAX_CENTRES", 2), ("SPLIT_SAMPLE", 300), ("FANOUT", 8)):
+        monkeypatch.setattr(vectorgraph, name, value)
+    cuts, compared = [], []
+
+    def cut(placed, overlap, threshold, f=vectorgraph.cut_large):
+        out = f(placed, overlap, threshold)
+        each = out.select("rep", F.explode("places.cluster").alias("cluster"))
+        cuts.append((overlap, out.count(), each.groupBy("rep").count().agg(F.max("count")).first()[0],
+                     [(r["n"], r["ball"], r["level"]) for r in each.groupBy("cluster").agg(
+                         F.count("*").alias("n"), F.sum((F.col("rep") >= 4000).cast("int")).alias("ball"),
+                         F.first(F.col("cluster").bitwiseAND(15)).alias("level")).collect()]))
+        return out
+
+    monkeypatch.setattr(vectorgraph, "cut_large", cut)
+    monkeypatch.setattr(vectorgraph, "all_links", lambda nodes, t, f=vectorgraph.all_links: compared.append(nodes.count()) or f(nodes, t))
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(4000, 24))
+    x[3900:] = x[:100] + 0.1 * rng.normal(size=(100, 24))
+    ball = rng.normal(size=24) + 0.1 * rng.normal(size=(600, 24))
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(np.concatenate([x, ball]))]
+    expected = vector_brute(rows)
+    out = vectorgraph.near_duplicate_vectors(vector_frame(spark, rows)).collect()
+    overlap, n, places, sizes = cuts[0]
+    assert (n, places) == (len(rows), overlap) and max(level for _, _, level in sizes) >= 2
+    assert all(size - near <= vectorgraph.split_size(overlap) for size, near, _ in sizes)
+    assert max(near for _, near, _ in sizes) == 600                              # whole in a cluster
+    assert set(compared) == {0}
+    links = sum(n for n, _ in expected.values())
+    assert sum(abs(r.n_links - expected[r.vec_id][0]) for r in out) <= 0.01 * links
+    pairs = [r for r in out if r.vec_id < 100 or 3900 <= r.vec_id < 4000]
+    assert sum((r.n_links, r.component_id) == expected[r.vec_id] for r in pairs) >= 0.95 * len(pairs)
+
+
+def test_cells_of_a_ball_stay_together():
+    rng = np.random.default_rng(6)
+    x = np.concatenate([rng.normal(size=(200, 16)), 3 * rng.normal(size=16) + 0.1 * rng.normal(size=(200, 16))])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    part = vectorgraph.joined_cells(x, x[[0, 1, 2, 200, 250, 399]], 0.93)
+    assert len(set(part[:3])) == 3 and len(set(part[3:])) == 1 and part[3] not in part[:3]
+
+
+def test_numbers_of_clusters_differ():
+    codes = [vectorgraph.child_code(c) for c in range(100)]
+    for parent in codes[:100]:
+        codes += [vectorgraph.child_code(c, parent) for c in range(vectorgraph.FANOUT)]
+    codes += [vectorgraph.child_code(c, parent) for parent in codes[100:300] for c in range(vectorgraph.FANOUT)]
+    assert len(set(codes)) == len(codes)
+    code = vectorgraph.child_code(vectorgraph.MAX_CENTRES - 1)
+    for _ in range(vectorgraph.LEVELS):
+        code = vectorgraph.child_code(vectorgraph.FANOUT - 1, code)
+    assert code < 2**63 and code & 15 == vectorgraph.LEVELS
+
+
 def test_doubles_stay_doubles(spark):
     """Components beyond the range of floats are finite, and a cosine is not rounded to floats first."""
     rows = [(1, [1e200, 2e200], 0), (2, [1.0, 2.0], 0), (3, [1.0, float("inf")], 0), (4, [2e-300, 4e-300], 0)]

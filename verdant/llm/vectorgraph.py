@@ -4,8 +4,12 @@ Vectors are compared only within a label. Equal vectors are collapsed to the
 smallest id first, so a group of copies is one node of the graph.
 
 1. Each label is cut into clusters around centres fitted on a bounded sample;
-   every vector joins its ``overlap`` nearest clusters. Clusters of more than
-   ``CAP`` vectors are dealt by a hash of the id into shards of about that size.
+   every vector joins its ``overlap`` nearest clusters. Those centres are bounded in number, so a
+   cluster of more than ``split_size`` vectors is cut again around centres fitted on a bounded
+   sample of its own, level after level: clusters keep their size when the table grows, and a
+   vector stays in the ``overlap`` nearest of all clusters it comes to. Cells whose vectors link with
+   each other widely stay together; a cluster that is one such ball is not cut. Clusters of more
+   than ``CAP`` vectors are dealt by a hash of the id into shards of about that size.
 2. In each shard a graph is built: the nearest candidates of a node are pruned
    robustly (a candidate goes if a kept one is ``ALPHA`` times nearer to it than
    the node is), edges get their reverse, and what the medoid cannot reach is
@@ -44,11 +48,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from verdant.llm.common import connected_components, written
+from verdant.operators.broadcast import broadcast_if_small
 
 TARGET = 1500            # vectors a cluster is meant to have
 CAP = 3000               # vectors a shard has, about, at most
 MAX_CENTRES = 2048       # bounds the centres sent to the tasks
 SAMPLE = 20_000          # bounds the vectors on which centres are fitted
+SPLIT_SAMPLE = 2_560     # vectors, about, on which the centres of one cluster that is cut again are fitted
+FANOUT, LEVELS = 64, 7   # bound the parts of a cluster and the times it is cut
+BALL = 0.1               # share of linked pairs between two cells that keeps them together; a part with all but this share isn't cut off
 CANDIDATES, DEGREE, ALPHA = 48, 24, 1.2
 BEAM, WIDTH = 16, 4
 RANGE_SLACK = 0.03
@@ -96,32 +104,128 @@ def label_centres(nodes: DataFrame, sizes: list) -> dict:
     part = min(1.0, SAMPLE / max(1, sum(r["n"] for r in sizes if (r["label"], r["dim"]) in wanted)))
     chosen = nodes.where(F.pmod(F.xxhash64("rep"), F.lit(1_000_000)) < int(part * 1_000_000)).orderBy(F.xxhash64("rep"), "rep")
     found: dict = {}
-    for row in chosen.select("label", "dim", "vector").toArrow().to_batches():
-        x, labels, dims = row.column("vector").to_pylist(), row.column("label").to_pylist(), row.column("dim").to_pylist()
-        for v, name, dim in zip(x, labels, dims, strict=True):
-            if (name, dim) in wanted:
-                found.setdefault((name, dim), []).append(v)
-    return {key: fit_centres(unit_rows(pa.array(v, pa.list_(pa.float64()))), min(wanted[key], len(v))) for key, v in found.items()}
+    for batch in chosen.select("label", "dim", "vector").toArrow().to_batches():
+        for key, at in _by_label(batch).items():
+            if key in wanted:
+                found.setdefault(key, []).append(unit_rows(batch.column("vector").take(pa.array(at))))
+    rows = {key: np.concatenate(found.pop(key)) for key in list(found)}
+    return {key: fit_centres(x, min(wanted[key], len(x))) for key, x in rows.items()}
+
+
+def _by_label(batch) -> dict:
+    """(label, length) -> positions of its rows."""
+    groups: dict = {}
+    for k, key in enumerate(zip(batch.column("label").to_pylist(), batch.column("dim").to_pylist(), strict=True)):
+        groups.setdefault(key, []).append(k)
+    return groups
+
+
+PLACES = pa.list_(pa.struct([("far", pa.float64()), ("cluster", pa.int64())]))
 
 
 def _assign_batches(centres: dict, overlap: int):
     def run(batches):
         for batch in batches:
-            groups: dict = {}
-            for k, key in enumerate(zip(batch.column("label").to_pylist(), batch.column("dim").to_pylist(), strict=True)):
-                groups.setdefault(key, []).append(k)
-            clusters = [[0]] * batch.num_rows
-            for key, at in groups.items():
+            places = [[(0.0, 0)]] * batch.num_rows
+            for key, at in _by_label(batch).items():
                 if key in centres:
-                    near = unit_rows(batch.column("vector").take(pa.array(at))) @ centres[key].T
-                    take = np.argsort(-near, axis=1, kind="stable")[:, :overlap]
-                    for k, row in zip(at, np.sort(take, axis=1).tolist(), strict=True):
-                        clusters[k] = row
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(clusters, pa.list_(pa.int32()))],
-                                             names=[*batch.schema.names, "clusters"])
+                    far = -(unit_rows(batch.column("vector").take(pa.array(at))) @ centres[key].T)
+                    take = np.argsort(far, axis=1, kind="stable")[:, :2 * overlap]
+                    for k, row, value in zip(at, take.tolist(), np.take_along_axis(far, take, axis=1).tolist(), strict=True):
+                        places[k] = [(f, child_code(c)) for f, c in zip(value, row, strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(places, PLACES)], names=[*batch.schema.names, "places"])
     return run
 
 
+def child_code(child: int, parent: int | None = None) -> int:
+    """Number of a cluster: its level in the last four bits, its way down the levels before them."""
+    return child << 4 if parent is None else ((((parent >> 4) * FANOUT + child) << 4) | ((parent & 15) + 1))
+
+
+def split_size(overlap: int) -> int:
+    """Vectors of a cluster from which on it is cut again: four times as many as clusters are meant to have."""
+    return 4 * overlap * TARGET
+
+
+def joined_cells(x: np.ndarray, centres: np.ndarray, threshold: float) -> np.ndarray:
+    """Part of each centre: cells of the rows ``x`` between which a share of ``BALL`` or more of the pairs
+    is linked are one part."""
+    cell = np.argmax(x @ centres.T, axis=1)
+    inside = np.zeros((len(x), len(centres)))
+    inside[np.arange(len(x)), cell] = 1
+    linked = inside.T @ ((x @ x.T >= threshold) @ inside)
+    size = inside.sum(axis=0)
+    u, v = np.nonzero(linked >= BALL * np.maximum(np.outer(size, size), 1))
+    return np.unique(_roots(len(centres), u, v), return_inverse=True)[1]
+
+
+def _fit_split(overlap: int, threshold: float):
+    def run(key, table):
+        """Sampled vectors of a cluster -> its centres and their parts; nothing for a cluster that is one ball."""
+        n, x = table.column("n")[0].as_py(), unit_rows(table.column("vector").take(pa.array(np.argsort(table.column("rep").to_numpy()))))
+        centres = fit_centres(x, min(FANOUT, max(4 * overlap, -(-n // (overlap * TARGET))), len(x)))
+        part = joined_cells(x, centres, threshold)
+        fullest = np.bincount(part[np.argmax(x @ centres.T, axis=1)]).max() / len(x)
+        some = slice(0, 1 if fullest < 1 - BALL else 0)
+        return pa.table({"label": pa.array([key[0].as_py()][some], pa.int64()), "dim": pa.array([key[1].as_py()][some], pa.int32()),
+                         "cluster": pa.array([key[2].as_py()][some], pa.int64()), "n": pa.array([n][some], pa.int64()),
+                         "centres": pa.array([centres.tolist()][some], pa.list_(pa.list_(pa.float64()))),
+                         "part": pa.array([part.tolist()][some], pa.list_(pa.int32()))})
+    return run
+
+
+def _assign_split(overlap: int):
+    def run(key, rows, split):
+        """Vectors of a cluster -> the nearest of its parts, twice ``overlap``; a part is as near as its nearest centre."""
+        centres, part = np.array(split.column("centres")[0].as_py()), np.array(split.column("part")[0].as_py())
+        if not rows.num_rows:
+            return pa.table({"rep": pa.array([], pa.int64()), "far": pa.array([], pa.float64()), "cluster": pa.array([], pa.int64())})
+        order = np.argsort(part, kind="stable")
+        starts = np.searchsorted(part[order], np.arange(part.max() + 1))
+        far = np.minimum.reduceat(-(unit_rows(rows.column("vector")) @ centres[order].T), starts, axis=1)
+        take = np.argsort(far, axis=1, kind="stable")[:, :2 * overlap]
+        code = np.array([child_code(c, key[2].as_py()) for c in range(len(starts))], dtype=np.int64)
+        return pa.table({"rep": pa.array(np.repeat(rows.column("rep").to_numpy(), take.shape[1])),
+                         "far": pa.array(np.take_along_axis(far, take, axis=1).ravel()), "cluster": pa.array(code[take.ravel()])})
+    return run
+
+
+def cut_large(placed: DataFrame, overlap: int, threshold: float) -> DataFrame:
+    """``placed`` with its large clusters cut again, level after level. The rows of a cluster are dealt out to tasks
+    of about ``4 * CAP``; each gets the cluster's own centres, fitted on vectors that no other cluster is nearer to, so that the
+    parts of two clusters don't cover the same ground. On the way down a vector keeps twice as many places as it has
+    in the end, since the nearest part need not lie in the nearest cluster."""
+    keys, n = ["label", "dim", "cluster"], F.col("n")
+    nearest = placed.withColumn("places", F.slice("places", 1, overlap))
+    for level in range(LEVELS):
+        each = placed.select("rep", "label", "dim", "vector", F.posexplode("places").alias("pos", "p")).select(
+            "rep", "label", "dim", "vector", "pos", F.col("p.far").alias("far"), F.col("p.cluster").alias("cluster"))
+        large = written(nearest.select("label", "dim", F.posexplode("places.cluster").alias("pos", "cluster"))
+                        .where(F.col("cluster").bitwiseAND(15) == level).groupBy(*keys)
+                        .agg(F.count("*").alias("n"), F.sum(F.when(F.col("pos") == 0, 1).otherwise(0)).alias("own"))
+                        .where(n > split_size(overlap)), "graph-large")
+        if large.isEmpty():
+            break
+        drawn = (F.col("pos") == 0) & (F.pmod(F.xxhash64("rep", F.lit(level)), F.lit(1 << 30)) * F.col("own") < F.lit(SPLIT_SAMPLE * (1 << 30)))
+        split = written(each.join(broadcast_if_small(large), keys).where(drawn).select(*keys, "rep", "n", "vector").groupBy(*keys).applyInArrow(
+            _fit_split(overlap, threshold), "label bigint, dim int, cluster bigint, n bigint, centres array<array<double>>, part array<int>"),
+            "graph-split")
+        if split.isEmpty():
+            break
+        tasks = F.ceil(n / (4 * CAP)).cast("int")
+        sizes = broadcast_if_small(split.select(*keys, "n"))
+        rows = each.join(sizes, keys).select(*keys, F.pmod(F.xxhash64("rep"), tasks).cast("int").alias("deal"), "rep", "vector")
+        copies = split.withColumn("deal", F.explode(F.sequence(F.lit(0), tasks - 1)))
+        cut = rows.groupBy(*keys, "deal").cogroup(copies.groupBy(*keys, "deal")).applyInArrow(
+            _assign_split(overlap), "rep bigint, far double, cluster bigint")
+        left = each.join(sizes, keys, "left_anti").select("rep", "far", "cluster")
+        places = cut.unionByName(left).groupBy("rep").agg(
+            F.slice(F.sort_array(F.collect_list(F.struct("far", "cluster"))), 1, 2 * overlap).alias("places"))
+        placed = written(placed.drop("places").join(places, "rep"), "graph-placed")
+        nearest = placed.withColumn("places", F.slice("places", 1, overlap))
+    return nearest
+
+
 def medoid_of(x: np.ndarray) -> int:
     return int(np.argmax(x @ x.sum(axis=0)))
 
@@ -317,17 +421,21 @@ def audit_truth(nodes: DataFrame, found: DataFrame, threshold: float) -> tuple[D
     size = AUDIT
     linked = nodes.join(found.where("links > 0").select("rep"), "rep", "left_semi")
     while True:
-        first = lambda rows: rows.orderBy(F.xxhash64("rep"), "rep").limit(size + 1).select("rep", "label", "dim", "vector").collect()  # noqa: B023, E731
+        first = lambda rows: rows.orderBy(F.xxhash64("rep"), "rep").limit(size + 1).select("rep", "label", "dim", "vector").toArrow()  # noqa: B023, E731
         drawn = first(nodes)
-        whole, by_hash = len(drawn) <= size, {r["rep"] for r in drawn[:size]}
-        sample = list({r["rep"]: r for r in [*drawn[:size], *([] if whole else first(linked)[:size])]}.values())
+        whole, drawn = drawn.num_rows <= size, drawn.slice(0, size)
+        by_hash = set(drawn.column("rep").to_pylist())
+        if not whole:
+            other = first(linked).slice(0, size)
+            drawn = pa.concat_tables([drawn, other.filter(pa.array([r not in by_hash for r in other.column("rep").to_pylist()], pa.bool_()))])
+        rep, label, dims = (drawn.column(c).to_pylist() for c in ("rep", "label", "dim"))
         truth = nodes.sparkSession.createDataFrame([], "rep bigint, truth bigint")
-        for dim in sorted({r["dim"] for r in sample}):
-            own = [r for r in sample if r["dim"] == dim]
-            x = unit_rows(pa.array([r["vector"] for r in own], pa.list_(pa.float64())))
+        for dim in sorted(set(dims)):
+            own = [k for k, d in enumerate(dims) if d == dim]
+            x = unit_rows(drawn.column("vector").take(pa.array(own)))
             truth = truth.unionByName(nodes.select("rep", "label", "dim", "copies", "vector").mapInArrow(
-                _audit_batches(x, [r["label"] for r in own], [r["rep"] for r in own], threshold), "rep bigint, truth bigint"))
-        kinds = nodes.sparkSession.createDataFrame([(r["rep"], r["label"], r["dim"], r["rep"] in by_hash) for r in sample],
+                _audit_batches(x, [label[k] for k in own], [rep[k] for k in own], threshold), "rep bigint, truth bigint"))
+        kinds = nodes.sparkSession.createDataFrame([(r, name, dim, r in by_hash) for r, name, dim in zip(rep, label, dims, strict=True)],
                                                    "rep bigint, label bigint, dim int, by_hash boolean")
         truth = written(kinds.join(truth.groupBy("rep").agg(F.sum("truth").alias("truth")), "rep"), "graph-audit")
         if whole or size >= AUDIT_MOST or truth.where("by_hash and truth > 0").count() >= AUDIT_LINKED:
@@ -411,9 +519,10 @@ def search_links(nodes: DataFrame, sizes: list, threshold: float, overlap: int)
     """``(rep, links, root)`` partial rows of every vector and shard, written."""
     centres = label_centres(nodes, sizes)
     kind = nodes.schema["vector"].dataType.simpleString()
-    fields = f"rep bigint, label bigint, dim int, copies bigint, vector {kind}, clusters array<int>"
+    fields = f"rep bigint, label bigint, dim int, copies bigint, vector {kind}, places array<struct<far: double, cluster: bigint>>"
     placed = written(nodes.select("rep", "label", "dim", "copies", "vector").mapInArrow(_assign_batches(centres, overlap), fields), "graph-placed")
-    each = placed.withColumn("cluster", F.explode("clusters"))
+    placed = cut_large(placed, overlap, threshold)
+    each = placed.withColumn("clusters", F.col("places.cluster")).drop("places").withColumn("cluster", F.explode("clusters"))
     shards = each.groupBy("label", "dim", "cluster").agg(F.ceil(F.count("*") / CAP).cast("int").alias("shards"))
     keys = ["label", "cluster", "dim"]
     each = written(each.join(shards, keys).withColumn("shard", F.pmod(F.xxhash64("rep"), F.col("shards")).cast("int")), "graph-shards")
