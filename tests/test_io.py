@@ -10,6 +10,7 @@ from pyspark.ml.linalg import Vectors
 from verdant.operators.learners import fit
 from verdant.plans.jobs import run_word_count
 from verdant.sources.libsvm import read_libsvm, write_libsvm
+from verdant.session import scratch_scope, written
 from verdant.sources.sinks import first_rows, load_model, save_model
 
 
@@ -33,6 +34,25 @@ def test_word_count_files(spark, tmp_path):
         run_word_count(spark, str(d / "*"), None, str(tmp_path / "counts"))
 
 
+def test_scratch_scope_deletes_its_own_tables_only(spark, tmp_path):
+    folder = lambda df: os.path.dirname(df.inputFiles()[0].removeprefix("file://"))
+    outside = written(spark.range(5), "outside")
+    with scratch_scope(spark):
+        inside = written(spark.range(7), "inside")
+        with scratch_scope(spark):
+            nested = folder(written(spark.range(3), "nested"))
+        assert not os.path.exists(nested) and inside.count() == 7
+        inside.write.parquet(str(tmp_path / "kept"))
+        gone = folder(inside)
+    assert not os.path.exists(gone)
+    assert outside.count() == 5 and spark.read.parquet(str(tmp_path / "kept")).count() == 7
+    with pytest.raises(ZeroDivisionError), scratch_scope(spark):
+        gone = folder(written(spark.range(7), "inside"))
+        raise ZeroDivisionError
+    assert not os.path.exists(gone)
+    assert os.path.exists(folder(written(spark.range(2), "after")))
+
+
 def test_libsvm_round_trip(spark, tmp_path):
     p = tmp_path / "s.libsvm"
     p.write_text("1 1:0.5 3:2\n0 2:1\n1\n")

@@ -12,6 +12,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -68,7 +69,30 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, prefix: str) -> str:
     """A fresh path under the checkpoint directory (shared storage)."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{prefix}-{uuid.uuid4().hex}"
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{prefix}-{uuid.uuid4().hex}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
+
+
+_SCOPES: list[list[str]] = []      # scratch paths of the open scopes, the innermost last
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Delete, on leaving, the scratch tables that were written inside, also after an error.
+
+    Results are read from such tables, so write them where they are to stay (or collect them) before
+    leaving. Tables from outside the scope, or from a scope inside it, are not touched."""
+    made: list[str] = []
+    _SCOPES.append(made)
+    try:
+        yield
+    finally:
+        _SCOPES[:] = [scope for scope in _SCOPES if scope is not made]
+        for name in made:
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def written(df: DataFrame, prefix: str) -> DataFrame:
