@@ -8,6 +8,7 @@ threshold, which is one expression over the nodes as one broadcast row.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,6 +31,23 @@ def node_table(spark, model) -> DataFrame:
         F.col("leftChild").alias("left"), F.col("rightChild").alias("right"), "prediction")
 
 
+def cut_predictions(spark, model, depths) -> dict:
+    """``{depth: predictions}``: for every leaf, in the order of the model's leaf column, what the tree predicts there when
+    it is grown to ``depth`` only: the prediction of the leaf's ancestor at that depth, or its own if it lies higher."""
+    nodes = node_table(spark, model).select("id", "left", "right", "prediction").toArrow()      # a model
+    ids, left, right, prediction = (nodes.column(c).to_numpy() for c in ("id", "left", "right", "prediction"))
+    order = np.argsort(ids)                       # ids are given from the root down, left before right, as leaves are
+    left, right, prediction = left[order], right[order], prediction[order]
+    out = {d: prediction.copy() for d in depths}
+    level, at = np.array([0]), 0
+    while len(level := level[left[level] >= 0]):
+        for d, cut in out.items():
+            if at >= d:
+                cut[left[level]] = cut[right[level]] = cut[level]
+        level, at = np.concatenate([left[level], right[level]]), at + 1
+    return {d: cut[left < 0] for d, cut in out.items()}
+
+
 def tree_depth(nodes: list) -> int:
     """Edges on the longest way down; fails on a table that is no tree from node 0 with ids 0, 1, 2..."""
     at = {n["id"]: n for n in nodes}

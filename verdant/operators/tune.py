@@ -2,9 +2,12 @@
 
 The SGD learners fit all points of all sweeps and the grid together
 (``batched_sgd``): as many passes over the training rows as the longest point
-has iterations, and one pass over the validation rows for all evaluations. For
-other learners every point is one fit plus one evaluation; these are
-independent and run on a small driver-side thread pool. The report is a DataFrame ``(param, value, auc, train_ms)`` instead of a chart.
+has iterations, and one pass over the validation rows for all evaluations.
+A decision tree grows level by level, and what a node becomes does not depend on
+the greatest depth: points that differ in it only are one fit of the deepest,
+cut at each point's depth, and one pass over the validation rows. For other
+learners every point is one fit plus one evaluation. Fits are independent and
+run on a small driver-side thread pool. The report is a DataFrame ``(param, value, auc, train_ms)`` instead of a chart.
 """
 
 from __future__ import annotations
@@ -12,13 +15,17 @@ from __future__ import annotations
 import itertools
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from verdant.operators.batched_sgd import TrainingTable, auc_of_counts, fit_batch, score_counts, training_table
-from verdant.operators.learners import SGD_KINDS, Fitted, fit, fit_sgd
+from verdant.operators.features import continuous
+from verdant.operators.learners import SGD_KINDS, TREE_DEFAULTS, Fitted, fit, fit_sgd
 from verdant.operators.metrics import auc_hard
+from verdant.operators.tree_table import cut_predictions
 
 # Sweeps and cross grids of the classic page jobs.
 # Each sweep: (parameter varied, {param: values}) with the others held fixed.
@@ -93,6 +100,9 @@ def run_points(learner: str, train: DataFrame, valid: DataFrame, points: list[di
         counts = score_counts(tables.valid, kind, [f.weights for f in fits])
         return [GridPoint(i, p, auc_of_counts(c), f.train_ms) for i, (p, f, c) in enumerate(zip(points, fits, counts, strict=True))]
 
+    if learner == "decision_tree":
+        return _tree_points(train, valid, points, parallelism)
+
     def one(i_p):
         i, p = i_p
         f = fit(learner, train, **p)
@@ -101,6 +111,40 @@ def run_points(learner: str, train: DataFrame, valid: DataFrame, points: list[di
         return list(ex.map(one, enumerate(points)))
 
 
+def _depth(params: dict) -> int:
+    return int(params.get("max_depth", TREE_DEFAULTS["max_depth"]))
+
+
+def tree_counts(fitted: Fitted, valid: DataFrame, depths: list[int]) -> dict[int, dict]:
+    """``{tp, fp, fn, tn}`` of the hard predictions of a fitted tree cut at each depth, from one pass."""
+    model = fitted.model
+    leaves = model.transform(valid.select("label", continuous("features")), {model.leafCol: "leaf"})
+    rows = leaves.groupBy(F.col("leaf").cast("int").alias("leaf"), "label").agg(F.count(F.lit(1)).alias("n")).toArrow()   # two a leaf at most
+    leaf, label, n = (rows.column(c).to_numpy() for c in ("leaf", "label", "n"))
+    return {d: {name: int(n[(label == y) & (cut[leaf] == p)].sum()) for name, y, p in
+                (("tp", 1, 1), ("fp", 0, 1), ("fn", 1, 0), ("tn", 0, 0))}
+            for d, cut in cut_predictions(valid.sparkSession, model, depths).items()}
+
+
+def _tree_points(train: DataFrame, valid: DataFrame, points: list[dict], parallelism: int) -> list[GridPoint]:
+    """One fit for all points that differ in ``max_depth`` only; their ``train_ms`` is that of the deepest."""
+    alike: dict[tuple, list[int]] = {}
+    for i, p in enumerate(points):
+        alike.setdefault(tuple(sorted((k, v) for k, v in p.items() if k != "max_depth")), []).append(i)
+    train, valid = (df.select("label", "features").persist(StorageLevel.MEMORY_AND_DISK) for df in (train, valid))
+
+    def one(members):
+        f = fit("decision_tree", train, **max((points[i] for i in members), key=_depth))
+        counts = tree_counts(f, valid, [_depth(points[i]) for i in members])
+        return [GridPoint(i, points[i], auc_of_counts(counts[_depth(points[i])]), f.train_ms) for i in members]
+    try:
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
+            return sorted((g for found in ex.map(one, alike.values()) for g in found), key=lambda g: g.index)
+    finally:
+        train.unpersist()
+        valid.unpersist()
+
+
 def pick_best(points: list[GridPoint]) -> GridPoint:
     """Best AUC; ties -> the LAST point in grid order."""
     return max(points, key=lambda g: (float("-inf") if g.auc is None else g.auc, g.index))
