@@ -70,6 +70,46 @@ def test_search_evaluates_like_single_models(spark):
     assert model.params["iterations"] == best.params["iterations"]
 
 
+@pytest.mark.parametrize("learner", ["lr_sgd", "svm_sgd"])
+def test_sweeps_and_grid_share_their_passes(spark, learner, monkeypatch):
+    X, y = _rows(8, 120, 4)
+    df = _frame(spark, X, y)
+    train, valid = df.where(F.col("url") < "k7"), df.where(F.col("url") >= "k7")
+    other = {"lr_sgd": {"mini_batch": [0.5, 1.0]}, "svm_sgd": {"reg": [0.1, 1.0]}}[learner]
+    sweeps, grid = [("iterations", {"iterations": [1, 4], "step": [2.0], **other})], {"iterations": [2, 3], "step": [0.5, 2.0], **other}
+    alone = T.cross_grid(learner, train, valid, grid)
+    swept = T.sweep_all(spark, learner, train, valid, sweeps).drop("train_ms").collect()
+    passes, seen = [], []
+    monkeypatch.setattr(B, "_gradients", lambda *a, f=B._gradients: passes.append(a[4]) or f(*a))
+    model, best, report = T.tune(spark, learner, train, valid, sweeps, grid, on_sweep=seen.append)
+    assert passes == [1, 2, 3, 4, *range(1, best.params["iterations"] + 1)]         # the search, then the refit
+    assert (best.index, best.params, best.auc) == (alone[1].index, alone[1].params, alone[1].auc)
+    np.testing.assert_allclose(model.scorer.weights, alone[0].scorer.weights, rtol=1e-12, atol=1e-12)
+    np.testing.assert_allclose(model.scorer.weights, fit_sgd(learner, train.unionByName(valid), **best.params).scorer.weights, rtol=1e-12, atol=1e-12)
+    assert report.drop("train_ms").collect() == swept and seen == [report]
+
+
+def test_a_pass_adds_up_rows_in_arrow_batches(spark, monkeypatch):
+    """No row an entry is made; rows without entries count, and a step meets what NumPy gives, over several batches."""
+    X, y = _rows(9, 70, 6)
+    X[::9] = 0.0
+    data = B.training_table(_frame(spark, X, y).coalesce(2))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "8")
+    try:
+        w = np.random.default_rng(4).normal(size=(3, 6))
+        for kind in ("logistic", "svm"):
+            got, n = B._gradients(data, kind, w, [1.0, 1.0, 1.0], 1)
+            m = X @ w.T
+            slope = 1 / (1 + np.exp(-m)) - y[:, None] if kind == "logistic" else np.where((2 * y - 1)[:, None] * m < 1, (1 - 2 * y)[:, None], 0.0)
+            np.testing.assert_allclose(got, slope.T @ X, rtol=1e-12, atol=1e-12)
+            assert n.tolist() == [70.0] * 3
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    with monkeypatch.context() as m:
+        m.setattr(F, "explode", None)
+        assert B.fit_batch(data, "svm", [{"iterations": 1, "step": 1.0}])[0].iterations == 1
+
+
 def test_many_weights_are_a_broadcast_row(spark, monkeypatch):
     X, y = _rows(5, 60, 4)
     data = B.training_table(_frame(spark, X, y))

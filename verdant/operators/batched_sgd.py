@@ -3,9 +3,9 @@
 A search over step size, mini-batch share, regularisation and iterations needs
 one pass over the training set for each iteration, not for each setting:
 settings that differ in their iterations only are one trajectory, and one
-aggregate computes the gradients of all trajectories. Weights go to the tasks
-as one broadcast row, gradients come back as sums by feature index; rows keep
-their partitions, and nothing but these sums is shuffled.
+pass computes the gradients of all trajectories. Weights go to the tasks with
+the function that adds up Arrow batches of rows, gradients come back as sums by
+feature index; rows keep their partitions, and nothing but these sums is shuffled.
 
 The rule is that of Spark's RDD solvers: step size ``step / sqrt(t)``, gradients
 averaged over the batch, squared L2 penalty, an end when a step is shorter than
@@ -21,6 +21,7 @@ import time
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -67,8 +68,6 @@ def in_batch(share: float, iteration: int) -> str:
 
 
 _MARGIN = "aggregate(zip_with(entries.indices, entries.values, (i, x) -> x * w[i]), 0D, (a, x) -> a + x)"
-# Derivative of the loss by the margin m.
-_SLOPES = {"logistic": "1D / (1D + exp(-m)) - y", "svm": "if((2 * y - 1) * m < 1, 1 - 2 * y, 0D)"}
 # Class 1; the logistic cut is asked of the probability, as the scorer does.
 _CUTS = {"logistic": "1D / (1D + exp(-m)) > 0.5D", "svm": "m > 0D"}
 
@@ -86,24 +85,45 @@ def _margins(data: TrainingTable, weights: list[list[float]], result: str):
 
 
 def _gradients(data: TrainingTable, kind: str, weights: np.ndarray, shares: list[float], iteration: int):
-    """``(gradient sums, rows in the batch)`` of each weight vector, from one pass."""
+    """``(gradient sums, rows in the batch)`` of each weight vector, from one pass.
+
+    A task adds up its rows, Arrow batch by Arrow batch, and hands on one row a feature it saw; these meet by feature."""
     distinct = sorted(set(shares))
     batch = [f"b{k}" for k in range(len(distinct))]
-    frame, slopes = _margins(data, weights.tolist(), _SLOPES[kind])
-    inside = frame.selectExpr("*", *[f"cast({in_batch(s, iteration)} as int) AS {b}" for s, b in zip(distinct, batch, strict=True)])
-    # Index -1 counts rows.
-    flat = inside.where(" + ".join(batch) + " > 0").selectExpr(f"{slopes} AS s", *batch, "entries").selectExpr(
-        "s", *batch, "explode(concat(array(named_struct('i', -1, 'x', 1D)), transform(arrays_zip(entries.indices, entries.values), "
-        "z -> named_struct('i', z.indices, 'x', z.values)))) AS e")
-    sums = flat.groupBy("e.i").agg(*[F.expr(f"sum(s[{p}] * e.x * {batch[distinct.index(s)]}) AS g{p}") for p, s in enumerate(shares)],
-                                   *[F.expr(f"sum({b}) AS {b}") for b in batch])
-    gradient, count = np.zeros_like(weights), np.zeros(len(shares))
-    for row in sums.collect():                      # one row a feature
+    own, points = [batch[distinct.index(s)] for s in shares], range(len(shares))
+    inside = data.rows.where("entries.values IS NOT NULL").selectExpr(
+        "y", "entries.indices AS i", "entries.values AS x", *[f"{in_batch(s, iteration)} AS {b}" for s, b in zip(distinct, batch, strict=True)])
+    width, logistic = weights.shape[1], kind == "logistic"
+
+    def added(batches):
+        sums, count, seen = np.zeros((len(own), width)), np.zeros(len(own)), np.zeros(width, dtype=bool)
+        for r in batches:
+            y = r.column("y").to_numpy(zero_copy_only=False)
+            at = np.repeat(np.arange(len(y)), r.column("i").value_lengths().to_numpy(zero_copy_only=False))
+            i, x = (r.column(c).flatten().to_numpy(zero_copy_only=False) for c in ("i", "x"))
+            found, place = np.unique(i, return_inverse=True)
+            seen[found] = True
+            for p, b in enumerate(own):
+                m = np.bincount(at, weights=x * weights[p][i], minlength=len(y))
+                with np.errstate(over="ignore"):
+                    slope = 1 / (1 + np.exp(-m)) - y if logistic else np.where((2 * y - 1) * m < 1, 1 - 2 * y, 0.0)
+                drawn = r.column(b).to_numpy(zero_copy_only=False).astype(bool)
+                sums[p, found] += np.bincount(place, weights=x * np.where(drawn, slope, 0.0)[at], minlength=len(found))
+                count[p] += drawn.sum()
+        if count.any():
+            kept = np.flatnonzero(seen)
+            yield pa.RecordBatch.from_arrays([pa.array(np.append(kept, -1).astype("int32")),      # index -1 counts rows
+                                              *[pa.array(np.append(g[kept], n)) for g, n in zip(sums, count, strict=True)]],
+                                             names=["i", *[f"g{p}" for p in range(len(own))]])
+
+    parts = inside.where(" OR ".join(batch)).mapInArrow(added, "i int, " + ", ".join(f"g{p} double" for p in points))
+    gradient, totals = np.zeros_like(weights), np.zeros(len(shares))
+    for row in parts.groupBy("i").agg(*[F.sum(f"g{p}").alias(f"g{p}") for p in points]).collect():     # one row a feature
         if row["i"] < 0:
-            count[:] = [row[batch[distinct.index(s)]] for s in shares]
+            totals[:] = row[1:]
         else:
-            gradient[:, row["i"]] = [row[f"g{p}"] for p in range(len(shares))]
-    return gradient, count
+            gradient[:, row["i"]] = row[1:]
+    return gradient, totals
 
 
 @dataclass

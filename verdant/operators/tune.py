@@ -155,16 +155,23 @@ def _report(spark: SparkSession, name: str, points: list[GridPoint]) -> DataFram
                                  "param string, value string, auc double, train_ms double")
 
 
+def _sweep_points(sweeps: list[tuple[str, dict]]) -> list[dict]:
+    return [p for _, grid in sweeps for p in expand(grid)]
+
+
+def _sweep_report(spark: SparkSession, sweeps: list[tuple[str, dict]], points: list[GridPoint]) -> DataFrame:
+    out, at = None, 0
+    for name, grid in sweeps:
+        n = len(expand(grid))
+        report = _report(spark, name, points[at:at + n])
+        out, at = report if out is None else out.unionByName(report), at + n
+    return out
+
+
 def sweep_all(spark: SparkSession, learner: str, train: DataFrame, valid: DataFrame, sweeps: list[tuple[str, dict]],
               parallelism: int = CONCURRENT_FITS, tables: SearchTables | None = None) -> DataFrame:
     """Several sweeps ``(parameter, grid)``, all their points together; one report ``(param, value, auc, train_ms)``."""
-    grids = [(name, expand(grid)) for name, grid in sweeps]
-    points = run_points(learner, train, valid, [p for _, g in grids for p in g], parallelism, tables)
-    out, at = None, 0
-    for name, grid in grids:
-        report = _report(spark, name, points[at:at + len(grid)])
-        out, at = report if out is None else out.unionByName(report), at + len(grid)
-    return out
+    return _sweep_report(spark, sweeps, run_points(learner, train, valid, _sweep_points(sweeps), parallelism, tables))
 
 
 def sweep(spark: SparkSession, learner: str, train: DataFrame, valid: DataFrame,
@@ -173,8 +180,11 @@ def sweep(spark: SparkSession, learner: str, train: DataFrame, valid: DataFrame,
     return sweep_all(spark, learner, train, valid, [(name, grid)], parallelism, tables)
 
 
-def refitted(learner: str, train: DataFrame, valid: DataFrame, best: GridPoint) -> Fitted:
+def refitted(learner: str, train: DataFrame, valid: DataFrame, best: GridPoint, tables: SearchTables | None = None) -> Fitted:
     """The best parameters on train ∪ validation (the corrected refit)."""
+    if learner in SGD_KINDS and tables:
+        both = TrainingTable(tables.train.rows.unionByName(tables.valid.rows), max(tables.train.width, tables.valid.width))
+        return fit_sgd(learner, train, both, **best.params)
     both = train.unionByName(valid)
     return fit_sgd(learner, both, **best.params) if learner in SGD_KINDS else fit(learner, both, **best.params)
 
@@ -183,22 +193,25 @@ def cross_grid(learner: str, train: DataFrame, valid: DataFrame, grid: dict[str,
                parallelism: int = CONCURRENT_FITS, refit: bool = True, tables: SearchTables | None = None) -> tuple[Fitted | None, GridPoint, list[GridPoint]]:
     """Evaluate the full cross grid on ``valid``; refit the best
     parameters on train ∪ validation."""
+    tables = tables or search_tables(learner, train, valid)
     pts = run_points(learner, train, valid, expand(grid), parallelism, tables)
     best = pick_best(pts)
-    return refitted(learner, train, valid, best) if refit else None, best, pts
+    return refitted(learner, train, valid, best, tables) if refit else None, best, pts
 
 
 def tune(spark: SparkSession, learner: str, train: DataFrame, valid: DataFrame,
          sweeps=None, grid=None, parallelism: int = CONCURRENT_FITS,
          on_sweep: Callable[[DataFrame], None] | None = None):
-    """G6 tuning branch: all sweeps, then the cross grid, then the refit.
+    """G6 tuning branch: all sweeps and the cross grid, in one search, then the refit.
     Returns ``(model, best_point, sweep_report)``."""
     default_sweeps, default_grid = PLANS[learner]
     sweeps = default_sweeps if sweeps is None else sweeps
     grid = default_grid if grid is None else grid
     tables = search_tables(learner, train, valid)
-    report = sweep_all(spark, learner, train, valid, sweeps, parallelism, tables)
+    swept = _sweep_points(sweeps)
+    points = run_points(learner, train, valid, swept + expand(grid), parallelism, tables)
+    report = _sweep_report(spark, sweeps, points[:len(swept)])
     if on_sweep:
         on_sweep(report)
-    model, best, _ = cross_grid(learner, train, valid, grid, parallelism, tables=tables)
-    return model, best, report
+    best = pick_best([replace(g, index=i) for i, g in enumerate(points[len(swept):])])
+    return refitted(learner, train, valid, best, tables), best, report
